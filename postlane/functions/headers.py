@@ -53,38 +53,42 @@ def long_header(key: str, number: Column) -> Column:
 
 def _readable(prop: Column) -> Column:
     """False for a typed property whose text does not hold a value of that type."""
-    fits = F.lit(True)
+    kind, text = prop["type"], prop["text"]
+    fits = F.when(text.isNull() | kind.isin("STRING", "BYTES"), F.lit(True))
     for name, spark_type in SPARK_TYPES.items():
-        parsed = prop["text"].try_cast(spark_type).isNotNull()
-        fits = F.when((prop["type"] == name) & prop["text"].isNotNull(), parsed).otherwise(fits)
-    return fits
+        fits = fits.when(kind == name, text.try_cast(spark_type).isNotNull())
+    return fits.otherwise(F.lit(True))
 
 
-def _as_header(prop: Column) -> Column:
-    by_message_id = prop["name"] == MESSAGE_ID_PROPERTY
-    by_correlation_id = prop["name"] == CORRELATION_ID_PROPERTY
+def _as_header(prop: Column, descriptor_fields: bool) -> Column:
     empty = prop["text"].isNull() & prop["bytes"].isNull()
-    stays = prop["type"].isin(*WIRE_TYPES) & ~empty
-    kind = F.when(by_message_id | by_correlation_id | ~F.coalesce(stays, F.lit(False)), "STRING")
-    text = F.when(by_message_id, F.col("message_id")).when(
-        by_correlation_id, F.col("correlation_id")
-    )
-    return header_struct(
-        prop["name"],
-        kind.otherwise(prop["type"]),
-        text.otherwise(prop["text"]),
-        F.when(~by_message_id & ~by_correlation_id, prop["bytes"]),
-    )
+    kind = F.when(empty | ~F.coalesce(prop["type"].isin(*WIRE_TYPES), F.lit(False)), "STRING")
+    kind, text, raw = kind.otherwise(prop["type"]), prop["text"], prop["bytes"]
+    if descriptor_fields:
+        # The two ids are written as the text form the message itself gives.
+        by_message_id = prop["name"] == MESSAGE_ID_PROPERTY
+        by_correlation_id = prop["name"] == CORRELATION_ID_PROPERTY
+        is_id = by_message_id | by_correlation_id
+        ids = F.when(by_message_id, F.col("message_id")).when(
+            by_correlation_id, F.col("correlation_id")
+        )
+        kind, text = F.when(is_id, "STRING").otherwise(kind), ids.otherwise(text)
+        raw = F.when(~is_id, raw)
+    return header_struct(prop["name"], kind, text, raw)
 
 
 def property_headers(descriptor_fields: bool = False) -> Column:
     """All properties as typed headers, in their order, as one array column."""
-    wanted = F.col("properties")
-    if not descriptor_fields:
-        wanted = F.filter(wanted, lambda prop: ~prop["name"].startswith(DESCRIPTOR_PREFIX))
-    readable = F.filter(wanted, _readable)
-    no_properties = F.array().cast(T.ArrayType(HEADER))
-    return F.coalesce(F.transform(readable, _as_header), no_properties)
+
+    def wanted(prop: Column) -> Column:
+        if descriptor_fields:
+            return _readable(prop)
+        return ~prop["name"].startswith(DESCRIPTOR_PREFIX) & _readable(prop)
+
+    copied = F.transform(
+        F.filter("properties", wanted), lambda prop: _as_header(prop, descriptor_fields)
+    )
+    return F.coalesce(copied, F.array().cast(T.ArrayType(HEADER)))
 
 
 def with_headers(

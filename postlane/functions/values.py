@@ -190,23 +190,33 @@ def _build_json_fixed(messages: DataFrame, node: Node) -> DataFrame:
     ).drop(PARSED)
 
 
+ENVELOPE_PARTS = T.StructType(
+    [T.StructField("schema", T.StringType()), T.StructField(CORRUPT, T.StringType())]
+)
+CHECKED = T.StructType(
+    [T.StructField("fits", T.BooleanType()), T.StructField("payload", T.StringType())]
+)
+
+
+def _open_envelope(body: Column) -> Column:
+    """The schema text of a self-describing message, read past its payload."""
+    return F.from_json(body, ENVELOPE_PARTS, {"columnNameOfCorruptRecord": CORRUPT})
+
+
 def embedded_schema_texts(messages: DataFrame, limit: int) -> list[str]:
     """Up to ``limit`` of the schema texts the messages carry, in text order."""
     texts = (
-        messages.select(_embedded_schema(F.try_parse_json(body_as_text())).alias("text"))
-        .where(F.col("text").isNotNull())
+        messages.select(_open_envelope(body_as_text())["schema"].alias("text"))
         .groupBy("text")
-        .count()
+        .agg(F.count(F.lit(1)))
+        .where(F.col("text").isNotNull())
+        .select("text")
         .orderBy("text")
         .limit(limit)
     )
     return [row["text"] for row in texts.collect()]
 
 
-def _embedded_schema(envelope: Column) -> Column:
-    return F.to_json(F.try_variant_get(envelope, "$.schema", "variant"))
-
-
 def _build_json_embedded(
     messages: DataFrame, schemas: Sequence[str] | None, max_typed_schemas: int
 ) -> DataFrame:
@@ -215,35 +225,50 @@ def _build_json_embedded(
     The first ``max_typed_schemas`` schemas get a typed parse inside the JVM. Any further ones
     are checked in Arrow batches, so no number of schemas is too many.
     """
-    if schemas is None:
-        schemas = embedded_schema_texts(messages, max_typed_schemas + 1)
-    typed, has_more = list(schemas[:max_typed_schemas]), len(schemas) > max_typed_schemas
-    envelope = F.col(ENVELOPE)
+    known = None if schemas is None else list(schemas)
+    if known is None:
+        known = embedded_schema_texts(messages, max_typed_schemas + 1)
+    typed, has_more = known[:max_typed_schemas], schemas is not None or len(known) > max_typed_schemas
     body = body_as_text()
-    outer = messages.withColumn(ENVELOPE, F.try_parse_json(body))
-    complete = (F.size(F.json_object_keys(body)) == 2) & F.coalesce(
-        F.schema_of_variant(envelope).startswith("OBJECT<"), F.lit(False)
+    envelope, schema = F.col(ENVELOPE), F.col("value_schema")
+    keys = F.json_object_keys(body)
+    complete = (
+        envelope[CORRUPT].isNull()
+        & envelope["schema"].isNotNull()
+        & (F.size(keys) == 2)
+        & F.array_contains(keys, "payload")
     )
-    text = F.when(complete, _embedded_schema(envelope))
-    outer = outer.withColumn("value_schema", text)
-    payload_text = F.to_json(F.try_variant_get(envelope, "$.payload", "variant"))
-    outer = outer.withColumn("__payload", payload_text)
-
-    outcome = F.lit(None).cast("struct<fits boolean, payload variant>")
+    opened = messages.withColumn(ENVELOPE, _open_envelope(body)).withColumn(
+        "value_schema", F.when(complete, envelope["schema"])
+    )
+    # Parsed once per schema in a projection of its own, then judged in the next.
+    nodes = {text: _node_or_none(text) for text in typed}
+    parses = {
+        f"__parsed_{at}": F.when(schema == text, _parse_envelope(body, node))
+        for at, (text, node) in enumerate(nodes.items())
+        if node is not None
+    }
     if has_more:
-        checked = _check_payload(F.col("value_schema"), F.col("__payload"))
-        rest_of = F.struct(
-            checked["fits"].alias("fits"), F.try_parse_json(checked["payload"]).alias("payload")
+        others = F.when(~schema.isin(*typed) if typed else F.lit(True), body)
+        parses["__checked"] = _check_envelope(schema, others)
+    parsed = opened.withColumns(parses) if parses else opened
+    outcome = F.when(F.lit(False), F.lit(None).cast("struct<fits boolean, payload variant>"))
+    for at, (text, node) in enumerate(nodes.items()):
+        if node is not None:
+            outcome = outcome.when(schema == text, _judge_payload(F.col(f"__parsed_{at}"), node))
+    if has_more:
+        checked = F.col("__checked")
+        payload = F.try_parse_json(checked["payload"])
+        outcome = outcome.otherwise(
+            F.struct(checked["fits"].alias("fits"), payload.alias("payload"))
         )
-        outcome = F.when(~F.col("value_schema").isin(*typed), rest_of)
-    for schema_text in typed:
-        outcome = F.when(
-            F.col("value_schema") == schema_text, _typed_payload(body, schema_text)
-        ).otherwise(outcome)
-    judged = outer.withColumn(PARSED, outcome)
+    judged = parsed.withColumn(PARSED, outcome)
     found = F.col(PARSED)
-    fits = F.coalesce(found["fits"], F.lit(False)) & F.col("__payload").isNotNull()
-    error = _structured_error(envelope.isNotNull(), ~fits)
+    # Only bodies that did not open as an envelope need the question whether they are JSON.
+    readable = (envelope.isNotNull() & envelope[CORRUPT].isNull()) | F.try_parse_json(
+        body
+    ).isNotNull()
+    error = _structured_error(readable, ~F.coalesce(found["fits"], F.lit(False)))
     judged = judged.withColumn("value_error", error)
     good = F.col("value_error").isNull() & ~_is_tombstone()
     return _with_value(
@@ -251,20 +276,27 @@ def _build_json_embedded(
         F.when(good, "STRUCT"),
         value_json=F.when(good, found["payload"]),
         error=F.col("value_error"),
-    ).drop(PARSED, ENVELOPE, "__payload")
+    ).drop(PARSED, ENVELOPE, *parses)
 
 
-def _typed_payload(body: Column, schema_text: str) -> Column:
+def _node_or_none(schema_text: str) -> Node | None:
     try:
-        node = read_schema(schema_text)
+        return read_schema(schema_text)
     except SchemaError:
-        return F.struct(
-            F.lit(False).alias("fits"), F.lit(None).cast("variant").alias("payload")
-        )
-    parsed = _parse_payload(body, node)
-    payload = parsed["payload"]
-    fits = parsed[CORRUPT].isNull() & ~breaks_schema(payload, node)
-    filled = fill_defaults(payload, node)
+        return None
+
+
+def _parse_envelope(body: Column, node: Node) -> Column:
+    """Parse the payload by its schema; the schema itself must be an object."""
+    is_object = T.StructField("schema", T.StructType([T.StructField("type", T.StringType())]))
+    shape = T.StructType([is_object, *_wrapper(node).fields])
+    return F.from_json(body, shape, {"columnNameOfCorruptRecord": CORRUPT})
+
+
+def _judge_payload(parsed: Column, node: Node) -> Column:
+    value = parsed["payload"]
+    fits = parsed[CORRUPT].isNull() & ~breaks_schema(value, node)
+    filled = fill_defaults(value, node)
     if node.kind in ("struct", "array", "map"):
         as_variant = F.to_variant_object(filled)
     else:
@@ -272,32 +304,26 @@ def _typed_payload(body: Column, schema_text: str) -> Column:
     return F.struct(fits.alias("fits"), as_variant.alias("payload"))
 
 
-CHECKED = T.StructType(
-    [T.StructField("fits", T.BooleanType()), T.StructField("payload", T.StringType())]
-)
-
-
 @F.pandas_udf(CHECKED)
-def _check_payload(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+def _check_envelope(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     known: dict[str, Node | None] = {}
 
-    def judge(schema_text: str | None, payload: str | None) -> tuple[bool, str | None]:
-        if schema_text is None or payload is None:
+    def judge(schema_text: str | None, body: str | None) -> tuple[bool, str | None]:
+        if schema_text is None or body is None:
             return False, None
         if schema_text not in known:
-            try:
-                known[schema_text] = read_schema(schema_text)
-            except SchemaError:
-                known[schema_text] = None
+            known[schema_text] = _node_or_none(schema_text)
+        node = known[schema_text]
         try:
-            if known[schema_text] is None:
+            envelope = json.loads(body)
+            if node is None or not isinstance(envelope["schema"], dict):
                 return False, None
-            return True, json.dumps(conform(json.loads(payload), known[schema_text]))
+            return True, json.dumps(conform(envelope["payload"], node))
         except (SchemaError, ValueError):
             return False, None
 
-    for schema_texts, payloads in batches:
-        judged = [judge(*pair) for pair in zip(schema_texts, payloads)]
+    for schema_texts, bodies in batches:
+        judged = [judge(*pair) for pair in zip(schema_texts, bodies)]
         yield pd.DataFrame(judged, columns=["fits", "payload"])
 
 

@@ -116,6 +116,11 @@ def route(
     return kept.withColumns(changed).drop("origin", "__payload")
 
 
+def only_topic(records: DataFrame, topic: str) -> DataFrame:
+    """The records routed to one topic, without building any record twice."""
+    return gate(records, F.col("topic") == topic)
+
+
 def route_by(records: DataFrame, options: IngestOptions) -> DataFrame:
     """``route`` with everything the options say."""
     return route(
@@ -143,7 +148,7 @@ def error_report(records: DataFrame, include_messages: bool = False) -> DataFram
         earliest = F.struct(F.col("source"), F.col("arrival_seq"))
         measures.append(F.min_by(dlq_payload(), earliest).alias("sample"))
     return (
-        records.where(error.isNotNull())
+        gate(records, error.isNotNull())
         .groupBy(
             "topic", error["class"].alias("class"), error_reason(error["message"]).alias("reason")
         )

@@ -266,7 +266,7 @@ def tolerate_none(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dlq_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    routed = routed_events(spark, sf_dir).where(F.col("topic") == DEAD)
+    routed = routing.only_topic(routed_events(spark, sf_dir), DEAD)
     return routed.select(
         *POSITION,
         "topic",
@@ -282,7 +282,8 @@ def dlq_context_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = to_records(fixtures.event_messages(spark, sf_dir), JSON_WITH_HEADERS)
     routed = routing.route(
         records, "all", DEAD, with_context=True, queue="Q", error_time_ms=F.lit(0)
-    ).where(F.col("topic") == DEAD)
+    )
+    routed = routing.only_topic(routed, DEAD)
     exploded = headers.explode_headers(routed.select("arrival_seq", "headers"))
     return exploded.select("arrival_seq", "position", "key", "type", "text")
 
