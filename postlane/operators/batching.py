@@ -24,7 +24,9 @@ def number_in_order(
     their bucket; where a bucket starts comes from a running total over the bucket counts, taken
     in two steps so that this too is spread.
     """
-    bucket, block = F.expr(f"`{order}` div {bucket_width}"), F.expr(f"__bucket div {BUCKETS_PER_BLOCK}")
+    # Never null, so that no join adds a filter that would keep the counts from being reused.
+    bucket = F.expr(f"coalesce(`{order}` div {bucket_width}, 0)")
+    block = F.expr(f"coalesce(__bucket div {BUCKETS_PER_BLOCK}, 0)")
     rows = df.withColumn("__bucket", bucket)
     counts = (
         df.select(by, bucket.alias("__bucket"))
@@ -66,12 +68,14 @@ def batch_by_count(
     return numbered.withColumn("batch_no", F.expr(f"(ordinal - 1) div {size} + 1")).drop("ordinal")
 
 
-def partition_by_key(records: DataFrame, partitions: int) -> DataFrame:
+def partition_by_key(
+    records: DataFrame, partitions: int, chunk_width: int = BUCKET_WIDTH
+) -> DataFrame:
     """Add ``topic_partition`` and lay records out by it, in arrival order.
 
-    Equal keys share a topic partition; records without a key are spread. The layout is a range
-    partitioning on partition and arrival, so a partition made large by one frequent key is cut
-    into several consecutive tasks instead of filling one.
+    Equal keys share a topic partition; records without a key are spread. A topic partition is
+    laid out in chunks of consecutive arrival numbers, each whole and ordered in one task, so a
+    partition made large by one frequent key becomes many chunks instead of one large task.
     """
     if partitions < 1:
         raise ValueError("a topic has at least one partition")
@@ -79,9 +83,9 @@ def partition_by_key(records: DataFrame, partitions: int) -> DataFrame:
     place = F.when(keyless, F.xxhash64("source", "arrival_seq")).otherwise(
         F.xxhash64("key_text", "key_bytes")
     )
-    order = ["topic_partition", "arrival_seq", "source"]
+    chunk = F.expr(f"arrival_seq div {chunk_width}")
     return (
         records.withColumn("topic_partition", F.pmod(place, F.lit(partitions)).cast("int"))
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        .repartition("topic_partition", chunk)
+        .sortWithinPartitions("topic_partition", "arrival_seq", "source")
     )

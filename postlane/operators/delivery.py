@@ -46,19 +46,33 @@ def _fail_if_any(bad: DataFrame, complaint: str) -> None:
         raise DeliveryStateError(f"{complaint}: {', '.join(map(str, found))}")
 
 
-def assign_sequence(batched: DataFrame, state: DataFrame, offsets: DataFrame) -> DataFrame:
-    """Add ``sequence_id``: one per batch, counting on from the state, the offset, or 0."""
-    from_state = state.select("source", F.col("sequence_id").alias("__state"))
-    from_offset = offsets.select("source", F.col("sequence_id").alias("__offset"))
-    base = F.coalesce("__state", "__offset", F.lit(FIRST_SEQUENCE))
+def sequence_bases(state: DataFrame, offsets: DataFrame) -> DataFrame:
+    """Where the sequence of each source stands: at its state, else its offset."""
+    from_state = state.select("source", F.col("sequence_id").alias("state_id"))
+    from_offset = offsets.select("source", F.col("sequence_id").alias("offset_id"))
+    return from_state.join(from_offset, "source", "full").select(
+        "source", F.coalesce("state_id", "offset_id").alias("base")
+    )
+
+
+def continue_sequence(batched: DataFrame, bases: DataFrame) -> DataFrame:
+    """Add ``sequence_id``: one per batch, counting on from ``base``, or from 0.
+
+    ``bases`` has one row per source and should be a stored table: the planner then knows
+    whether it is small enough to be sent to the messages instead of shuffling them.
+    """
     return (
-        batched.join(from_state, "source", "left")
-        .join(from_offset, "source", "left")
-        .withColumn("sequence_id", base + F.col("batch_no"))
-        .drop("__state", "__offset")
+        batched.join(bases.select("source", "base"), "source", "left")
+        .withColumn("sequence_id", F.coalesce("base", F.lit(FIRST_SEQUENCE)) + F.col("batch_no"))
+        .drop("base")
     )
 
 
+def assign_sequence(batched: DataFrame, state: DataFrame, offsets: DataFrame) -> DataFrame:
+    """Add ``sequence_id``: one per batch, counting on from the state, the offset, or 0."""
+    return continue_sequence(batched, settle(sequence_bases(state, offsets), "bases"))
+
+
 def state_snapshot(sequenced: DataFrame, last_known_state: str = IN_FLIGHT) -> DataFrame:
     """The state row of every batch: its message ids in arrival order.
 
@@ -197,10 +211,10 @@ def wait_until_ready(
     _fail_if_any(waiting, "the unfinished batch never came back for")
 
 
-def _planned_ids(plan: DataFrame, action: str) -> DataFrame:
+def planned_ids(plan: DataFrame, *actions: str) -> DataFrame:
     """The messages of unfinished batches, one row each; at most one batch per source."""
     return (
-        plan.where(F.col("action") == action)
+        plan.where(F.col("action").isin(*actions))
         .select(
             "source",
             F.col("state_id").alias("sequence_id"),
@@ -212,7 +226,7 @@ def _planned_ids(plan: DataFrame, action: str) -> DataFrame:
 
 def redeliver(messages: DataFrame, plan: DataFrame) -> DataFrame:
     """The messages of unsent batches, with the sequence id they had before."""
-    return messages.join(_planned_ids(plan, REDELIVER), ["source", "message_id"]).select(
+    return messages.join(planned_ids(plan, REDELIVER), ["source", "message_id"]).select(
         *messages.columns, "sequence_id"
     )
 
@@ -223,7 +237,7 @@ def foreign_heads(messages: DataFrame, plan: DataFrame) -> DataFrame:
     With k delivered messages, the first k must all be known. That is so exactly when k known
     ones come before the first unknown one, which needs counts and minima only.
     """
-    ids = _planned_ids(plan, REMOVE).select("source", "message_id", F.lit(True).alias("__known"))
+    ids = planned_ids(plan, REMOVE).select("source", "message_id", F.lit(True).alias("__known"))
     expected = plan.where(F.col("action") == REMOVE).select(
         "source", F.size(F.coalesce("message_ids", F.array())).alias("expected")
     )
@@ -251,10 +265,15 @@ def foreign_heads(messages: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
+def check_removal(messages: DataFrame, plan: DataFrame) -> None:
+    """Fail when a source does not begin with the messages it has delivered."""
+    _fail_if_any(foreign_heads(messages, plan), "unexpected messages before the delivered batch of")
+
+
 def drop_delivered(messages: DataFrame, plan: DataFrame) -> DataFrame:
     """The messages without those a previous run has delivered already."""
-    _fail_if_any(foreign_heads(messages, plan), "unexpected messages before the delivered batch of")
-    return messages.join(_planned_ids(plan, REMOVE), ["source", "message_id"], "left_anti").select(
+    check_removal(messages, plan)
+    return messages.join(planned_ids(plan, REMOVE), ["source", "message_id"], "left_anti").select(
         *messages.columns
     )
 

@@ -22,9 +22,10 @@ from postlane.options import DEFAULT_BATCH_SIZE
 SEGMENT_ROWS = 50_000
 SEGMENTS_PER_GROUP = 200
 
-CHAIN = "source string, segment long, leaves array<int>, cuts array<int>"
+# Columns to join on are declared not null: a filter for nulls would make two of one exchange.
+CHAIN = "source string NOT NULL, segment long NOT NULL, leaves array<int>, cuts array<int>"
 GROUPS = "source string, grp long, leaves array<int>, cuts array<long>"
-ENTRIES = "source string, grp long, entry int, base long"
+ENTRIES = "source string NOT NULL, grp long NOT NULL, entry int, base long"
 SEGMENT_ENTRIES = "source string, segment long, entry int, base long"
 ASSIGNED = "source string, arrival_seq long, batch_no long"
 
@@ -175,7 +176,9 @@ def batch_by_limits(
         yield from _gather(parts(), 200)
 
     chained = _in_order(rows, ["source", "segment"], ["ordinal"]).mapInPandas(chain, CHAIN)
-    chained = chained.withColumn("grp", F.expr(f"segment div {segments_per_group}"))
+    # Both uses below read this one exchange.
+    chained = chained.withColumn("grp", F.expr(f"coalesce(segment div {segments_per_group}, 0)"))
+    chained = chained.repartition("source", "grp")
 
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for run in _runs(frames, ["source", "grp"]):
@@ -219,7 +222,7 @@ def batch_by_limits(
                     entry = int(row.leaves[entry])
             yield pd.DataFrame(out, columns=["source", "segment", "entry", "base"])
 
-    groups = _in_order(chained, ["source", "grp"], ["segment"]).mapInPandas(fold, GROUPS)
+    groups = chained.sortWithinPartitions("source", "grp", "segment").mapInPandas(fold, GROUPS)
     group_entries = _in_order(groups, ["source"], ["grp"]).mapInPandas(enter_groups, ENTRIES)
     entries = _in_order(
         chained.join(group_entries, ["source", "grp"]), ["source", "grp"], ["segment"]

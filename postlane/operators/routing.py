@@ -132,7 +132,9 @@ def route_by(records: DataFrame, options: IngestOptions) -> DataFrame:
     )
 
 
-def error_report(records: DataFrame, include_messages: bool = False) -> DataFrame:
+def error_report(
+    records: DataFrame, include_messages: bool = False, by_class: bool = True
+) -> DataFrame:
     """How often each error occurred, from when to when, optionally with its earliest body.
 
     Takes records before routing. Counts are combined before the shuffle, so one frequent
@@ -147,10 +149,16 @@ def error_report(records: DataFrame, include_messages: bool = False) -> DataFram
     if include_messages:
         earliest = F.struct(F.col("source"), F.col("arrival_seq"))
         measures.append(F.min_by(dlq_payload(), earliest).alias("sample"))
-    return (
-        gate(records, error.isNotNull())
-        .groupBy(
-            "topic", error["class"].alias("class"), error_reason(error["message"]).alias("reason")
-        )
-        .agg(*measures)
+    keys = [F.col("topic"), error_reason(error["message"]).alias("reason")]
+    if by_class:
+        keys.insert(1, error["class"].alias("class"))
+    return gate(records, error.isNotNull()).groupBy(*keys).agg(*measures)
+
+
+def report_by(records: DataFrame, options: IngestOptions) -> DataFrame:
+    """``error_report`` as detailed as the options ask: reasons, classes, or with bodies."""
+    return error_report(
+        records,
+        include_messages=options.log_errors and options.log_messages,
+        by_class=options.log_errors,
     )

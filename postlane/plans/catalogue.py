@@ -16,6 +16,7 @@ from postlane.operators.limits import batch_by_limits
 from postlane.operators.records import to_records, with_position
 from postlane.options import IngestOptions
 from postlane.plans import fixtures
+from postlane.plans.ingest import publish_table
 from postlane.shared import new_folder
 from postlane.sources import messages as envelopes
 from postlane.sources.topics import read_topic, write_topics
@@ -44,6 +45,7 @@ JSON_WITH_HEADERS = IngestOptions(
     dlq_topic=DEAD,
     dlq_context_headers=True,
 )
+NUMBERED = IngestOptions(**{**JSON_TO_DEAD.__dict__, "state_queue": "STATE", "tasks_max": "1"})
 TYPED = IngestOptions(topic=MAIN, body_jms=True, tolerance="all", copy_properties=True)
 POSITION = ("source", "arrival_seq")
 GRAVE_VALUE = 250.0
@@ -107,7 +109,7 @@ def _value_summary(built: DataFrame) -> DataFrame:
         "value_type",
         F.md5("value_text").alias("text_md5"),
         F.md5("value_bytes").alias("bytes_md5"),
-        F.length("value_bytes").alias("n_bytes"),
+        F.length("value_bytes").cast("long").alias("n_bytes"),
         F.col("value_error.message").alias("error"),
     )
 
@@ -229,9 +231,10 @@ def headers_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _encoded_headers(mode: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        copied = _with_all_headers(spark, sf_dir)
-        return copied.select("arrival_seq", F.posexplode("headers").alias("position", "h")).select(
-            "arrival_seq", "position", headers.encode_header(F.col("h"), mode).alias("encoded")
+        copied = _with_all_headers(spark, sf_dir).select("arrival_seq", "headers")
+        entry = F.struct("type", "text", "bytes")
+        return headers.explode_headers(copied).select(
+            "arrival_seq", "position", headers.encode_header(entry, mode).alias("encoded")
         )
 
     return query
@@ -274,7 +277,7 @@ def dlq_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
         "key_text",
         "ts_ms",
         F.md5("value_bytes").alias("payload_md5"),
-        F.length("value_bytes").alias("n_bytes"),
+        F.length("value_bytes").cast("long").alias("n_bytes"),
     )
 
 
@@ -294,6 +297,11 @@ def error_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumn("sample", F.md5("sample"))
 
 
+def error_reasons_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = to_records(fixtures.event_messages(spark, sf_dir), JSON_TO_DEAD)
+    return routing.report_by(records, JSON_TO_DEAD)
+
+
 def error_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = fixtures.table(spark, sf_dir, "conversations")
     ending = F.when(F.col("turn") % 2 == 0, " : \n").otherwise("")
@@ -306,7 +314,7 @@ def error_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
 def error_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = fixtures.table(spark, sf_dir, "documents")
     trace = failures.truncate_trace(F.col("text"))
-    return documents.select("doc_id", F.length(trace).alias("length"), F.md5(trace).alias("trace_md5"))
+    return documents.select("doc_id", F.length(trace).cast("long").alias("length"), F.md5(trace).alias("trace_md5"))
 
 
 def triage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,7 +357,7 @@ def state_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.select(
         "source",
         "sequence_id",
-        F.size("message_ids").alias("n_ids"),
+        F.size("message_ids").cast("long").alias("n_ids"),
         F.md5(F.array_join("message_ids", ",")).alias("ids_md5"),
         "last_known_state",
     )
@@ -363,7 +371,7 @@ def state_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def state_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = delivery.encode_state(delivery.state_snapshot(_sequenced(spark, sf_dir)))
     return delivery.decode_state(texts).select(
-        "source", "sequence_id", F.size("message_ids").alias("n_ids"), "last_known_state"
+        "source", "sequence_id", F.size("message_ids").cast("long").alias("n_ids"), "last_known_state"
     )
 
 
@@ -397,6 +405,22 @@ def recovery_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivery.recovery_ready(messages, plan)
 
 
+def recovered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages, state, offsets = fixtures.delivery_tables(spark, sf_dir)
+    sink = new_folder(spark, "topics")
+    publish_table(messages, NUMBERED, state, offsets, sink)
+    return (
+        spark.read.parquet(sink)
+        .groupBy("source", "sequence_id")
+        .agg(
+            F.count(F.lit(1)).alias("records"),
+            F.count_if(F.col("topic") == DEAD).alias("dead"),
+            F.min("arrival_seq").alias("first_seq"),
+            F.max("arrival_seq").alias("last_seq"),
+        )
+    )
+
+
 def redeliver(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages, _, plan = _plan(spark, sf_dir)
     return delivery.redeliver(messages, plan).select(*POSITION, "message_id", "sequence_id")
@@ -477,23 +501,30 @@ def message_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stream_effectively_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = envelopes.stream_messages(spark, fixtures.landed_events(spark, sf_dir), max_files=2)
-    options = IngestOptions(**{**JSON_TO_DEAD.__dict__, "state_queue": "STATE", "tasks_max": "1"})
     sink = new_folder(spark, "sink")
-    run_ingest(stream, options, sink, new_folder(spark, "checkpoint")).awaitTermination()
-    written = spark.read.parquet(sink)
-    units = written.groupBy("source", "sequence_id").agg(F.count(F.lit(1)).alias("n"))
-    whole = units.agg((F.max("n") <= options.batch_size).alias("units_fit"))
-    return (
-        written.groupBy("topic")
-        .agg(
-            F.count(F.lit(1)).alias("records"),
-            F.count_distinct("source", "message_id").alias("ids"),
-            F.sum(F.try_variant_get("value_json", "$.k", "bigint")).alias("sum_k"),
-            F.count("sequence_id").alias("numbered"),
-        )
-        .join(F.broadcast(whole))
+    run_ingest(stream, NUMBERED, sink, new_folder(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(sink)
+
+
+def stream_effectively_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingested(spark, sf_dir).groupBy("topic").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_distinct("source", "message_id").alias("ids"),
+        F.sum(F.try_variant_get("value_json", "$.k", "bigint")).alias("sum_k"),
+        F.count("sequence_id").alias("numbered"),
+    )
+
+
+def stream_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    units = _ingested(spark, sf_dir).groupBy("source", "sequence_id").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return units.groupBy("source").agg(
+        F.sum("n").alias("records"),
+        (F.max("n") <= JSON_TO_DEAD.batch_size).alias("units_fit"),
+        (F.count(F.lit(1)) == F.max("sequence_id")).alias("no_number_missing"),
     )
 
 
@@ -558,6 +589,7 @@ def all_queries() -> dict[str, Query]:
         "dlq_payload": dlq_payload,
         "dlq_context_headers": dlq_context_headers,
         "error_report": error_report,
+        "error_reasons_only": error_reasons_only,
         "error_reason": error_reason,
         "error_trace": error_trace,
         "triage": triage,
@@ -573,6 +605,7 @@ def all_queries() -> dict[str, Query]:
         "promote_state": promote_state,
         "recovery_ready": recovery_ready,
         "redeliver": redeliver,
+        "recovered_table": recovered_table,
         "drop_delivered": drop_delivered,
         "committed_prefix": committed_prefix,
         "delivery_audit": delivery_audit,
@@ -586,5 +619,6 @@ def all_queries() -> dict[str, Query]:
         "topic_tables": topic_tables,
         "message_table": message_table,
         "stream_effectively_once": stream_effectively_once,
+        "stream_units": stream_units,
         "stream_dedupe": stream_dedupe,
     }

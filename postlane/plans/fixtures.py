@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postlane.operators.batching import batch_by_count
 from postlane.operators.delivery import DELIVERED, IN_FLIGHT, state_snapshot
-from postlane.shared import new_folder
+from postlane.shared import new_folder, settle
 from postlane.sources.messages import MessageSpec, Property, as_messages, queue_id
 
 STATE_ID = 23
@@ -190,7 +190,7 @@ def delivery_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     first = first.where((F.col("batch_no") == 1) & (F.col("source") != "QM1/Q0"))
     marked = F.when(F.col("source") == "QM1/Q3", DELIVERED).otherwise(IN_FLIGHT)
     state = state_snapshot(first.withColumn("sequence_id", F.lit(STATE_ID).cast("long")))
-    state = state.withColumn("last_known_state", marked)
+    state = settle(state.withColumn("last_known_state", marked), "state")
     proven = F.when(F.col("source") == "QM1/Q1", STATE_ID).otherwise(STATE_ID - 1)
     offsets = state.select("source", proven.cast("long").alias("sequence_id"))
     return messages, state, offsets

@@ -54,8 +54,9 @@ units AS (
     '["' || string_agg(message_id, '","' ORDER BY arrival_seq) || '"]' AS ids_json
   FROM sequenced GROUP BY ALL),
 state AS (
-  SELECT DISTINCT source, {STATE_ID} AS state_id,
-    CASE WHEN source = 'QM1/Q1' THEN {STATE_ID} ELSE {STATE_ID - 1} END AS offset_id,
+  SELECT DISTINCT source, CAST({STATE_ID} AS BIGINT) AS state_id,
+    CAST(CASE WHEN source = 'QM1/Q1' THEN {STATE_ID} ELSE {STATE_ID - 1} END AS BIGINT)
+      AS offset_id,
     CASE WHEN source = 'QM1/Q3' THEN 'DELIVERED' ELSE 'IN_FLIGHT' END AS last_known_state,
     CASE WHEN source = 'QM1/Q2' THEN 'REDELIVER_UNSENT_BATCH'
          ELSE 'REMOVE_DELIVERED_MESSAGES_FROM_SOURCE_QUEUE' END AS action
@@ -123,7 +124,7 @@ def all_oracles() -> dict[str, str]:
         "key_group_id": _key("'STRING'", "group_id"),
         "key_group_turns": """SELECT conv_id * 1000 + turn AS arrival_seq,
             'conv-' || conv_id AS key_text, md5(text) AS body_md5 FROM conversations""",
-        "partitions_by_key": """SELECT 'conv-' || conv_id AS key_text, 1 AS partitions,
+        "partitions_by_key": """SELECT 'conv-' || conv_id AS key_text, CAST(1 AS BIGINT) AS partitions,
             count(*) AS records FROM conversations GROUP BY conv_id""",
         "value_raw": f"""WITH {MESSAGES} SELECT source, arrival_seq, 'BYTES' AS value_type,
             CAST(NULL AS VARCHAR) AS text_md5, md5(body) AS bytes_md5, strlen(body) AS n_bytes,
@@ -243,6 +244,11 @@ def all_oracles() -> dict[str, str]:
             SELECT '{MAIN}' AS topic, class, reason, count(*) AS errors, min(ms) AS first_ms,
               max(ms) AS last_ms, md5(arg_min(dead_payload, (source, arrival_seq))) AS sample
             FROM failed GROUP BY ALL""",
+        "error_reasons_only": f"""WITH {MESSAGES}, failed AS (
+              SELECT *, CASE WHEN body_kind IN ('text', 'bytes') THEN rtrim('{UNREADABLE}', ': ')
+                  ELSE '{UNSUPPORTED}' END AS reason FROM parsed WHERE NOT good)
+            SELECT '{MAIN}' AS topic, reason, count(*) AS errors, min(ms) AS first_ms,
+              max(ms) AS last_ms FROM failed GROUP BY reason""",
         "error_reason": r"""SELECT conv_id, turn, md5(CASE
               WHEN role <> 'user' OR role IS NULL THEN 'Unknown error'
               ELSE regexp_replace(text || CASE WHEN turn % 2 = 0 THEN ' : ' || chr(10) ELSE '' END,
@@ -261,7 +267,7 @@ def all_oracles() -> dict[str, str]:
               row_number() OVER (PARTITION BY source ORDER BY arrival_seq) AS place,
               lag(ms) OVER (PARTITION BY source ORDER BY arrival_seq) AS previous FROM messages),
             walk AS (
-              SELECT source, arrival_seq, place, ms, ms AS start_ms, 1 AS held, 1 AS batch_no
+              SELECT source, arrival_seq, place, ms, ms AS start_ms, 1 AS held, CAST(1 AS BIGINT) AS batch_no
               FROM numbered WHERE place = 1
               UNION ALL
               SELECT source, arrival_seq, place, ms, CASE WHEN fresh THEN ms ELSE start_ms END,
@@ -293,8 +299,18 @@ def all_oracles() -> dict[str, str]:
         "recovery_ready": f"""WITH {BATCHED} SELECT source, action,
             arg_min(message_id, arrival_seq) AS head_id, 'ready' AS decision
             FROM state JOIN messages USING (source) GROUP BY source, action""",
+        "recovered_table": f"""WITH {BATCHED}, kept AS (
+              SELECT b.source, b.arrival_seq, NOT p.good AS dead, CASE
+                  WHEN b.source = 'QM1/Q0' THEN batch_no
+                  WHEN b.source = 'QM1/Q2' AND batch_no = 1 THEN {STATE_ID}
+                  ELSE {STATE_ID - 1} + batch_no END AS sequence_id
+              FROM batched b JOIN parsed p USING (message_id)
+              WHERE NOT (b.source IN ('QM1/Q1', 'QM1/Q3') AND batch_no = 1))
+            SELECT source, sequence_id, count(*) AS records,
+              CAST(count(*) FILTER (dead) AS BIGINT) AS dead, min(arrival_seq) AS first_seq,
+              max(arrival_seq) AS last_seq FROM kept GROUP BY 1, 2""",
         "redeliver": f"""WITH {BATCHED} SELECT source, arrival_seq, message_id,
-            {STATE_ID} AS sequence_id FROM batched WHERE source = 'QM1/Q2' AND batch_no = 1""",
+            CAST({STATE_ID} AS BIGINT) AS sequence_id FROM batched WHERE source = 'QM1/Q2' AND batch_no = 1""",
         "drop_delivered": f"""WITH {BATCHED} SELECT source, arrival_seq, message_id FROM batched
             WHERE NOT (source IN ('QM1/Q1', 'QM1/Q3') AND batch_no = 1)""",
         "committed_prefix": f"""WITH {BATCHED}, failed AS (
@@ -335,7 +351,9 @@ def all_oracles() -> dict[str, str]:
               count(DISTINCT message_id) AS ids,
               CAST(sum(CASE WHEN good THEN CAST(json_extract(body, '$.k') AS BIGINT) END)
                 AS BIGINT) AS sum_k,
-              count(*) AS numbered, true AS units_fit FROM parsed GROUP BY 1""",
+              count(*) AS numbered FROM parsed GROUP BY 1""",
+        "stream_units": f"""WITH {MESSAGES} SELECT source, count(*) AS records,
+            true AS units_fit, true AS no_number_missing FROM messages GROUP BY source""",
         "stream_dedupe": f"""WITH {MESSAGES}
             SELECT source, arrival_seq, message_id FROM messages""",
     }

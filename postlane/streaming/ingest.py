@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from postlane.operators.batching import batch_by_count
-from postlane.operators.delivery import assign_sequence, state_snapshot
+from postlane.operators.delivery import continue_sequence, state_snapshot
 from postlane.operators.records import to_records
 from postlane.operators.routing import route_by
 from postlane.options import IngestOptions, delivery_mode
+from postlane.plans.ingest import cut_batches
 from postlane.schemas import OFFSETS, STATE
 from postlane.sources.state import forget_versions, read_table, replace_table
 
@@ -73,15 +73,14 @@ def publish_batch(
 
     All three are overwritten when the micro-batch runs again, so nothing appears twice.
     """
-    spark = batch.sparkSession
     folder = f"{sink}/run={run}/batch_id={batch_id}"
     if delivery_mode(options) == "at-least-once":
         records = to_records(batch.withColumn("sequence_id", F.lit(None).cast("long")), options)
         _write(route_by(records, options), folder)
         return
     known = log.positions(batch_id)
-    no_state = spark.createDataFrame([], STATE)
-    sequenced = assign_sequence(batch_by_count(batch, options.batch_size), no_state, known)
+    bases = known.withColumnRenamed("sequence_id", "base")
+    sequenced = continue_sequence(cut_batches(batch, options), bases)
     units = log.record_units(batch_id, state_snapshot(sequenced))
     _write(route_by(to_records(sequenced, options), options), folder)
     log.commit(batch_id, known, units)

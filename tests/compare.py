@@ -49,12 +49,30 @@ def _sorted_rows(columns: list[str], rows) -> list[tuple]:
     return sorted(plain, key=lambda row: tuple((v is None, str(v)) for v in row))
 
 
+# What each Spark type is called in DuckDB.
+SAME_TYPE = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "double": "DOUBLE",
+}
+
+
 def difference(df, connection: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """What differs between a DataFrame and a SQL result, or None."""
     result = connection.execute(sql)
     names = [entry[0] for entry in result.description]
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
+    types = {entry[0]: str(entry[1]) for entry in result.description}
+    other = {
+        name: f"{kind} / {types[name]}"
+        for name, kind in df.dtypes
+        if SAME_TYPE.get(kind) != types[name]
+    }
+    if other:
+        return f"types {other}"
     expected = _sorted_rows(names, result.fetchall())
     found = _sorted_rows(df.columns, df.collect())
     if len(found) != len(expected):
