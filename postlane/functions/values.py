@@ -10,7 +10,7 @@ import json
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -327,13 +327,27 @@ def _check_envelope(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[
         yield pd.DataFrame(judged, columns=["fits", "payload"])
 
 
+def xsd_schema(spark: SparkSession, path: str, root: str | None = None) -> T.StructType:
+    """The Spark type of a document described by an XSD file, by its root element."""
+    jvm = spark._jvm
+    reader = jvm.org.apache.spark.sql.execution.datasources.xml.XSDToSchema
+    described = T.StructType.fromJson(json.loads(reader.read(jvm.org.apache.hadoop.fs.Path(path)).json()))
+    roots = [field for field in described.fields if root in (None, field.name)]
+    if len(roots) != 1 or not isinstance(roots[0].dataType, T.StructType):
+        raise OptionError(f"{path} does not describe one root element {root or ''}".rstrip())
+    return roots[0].dataType
+
+
 def build_xml(
     messages: DataFrame,
     schema: T.StructType | str,
     root: str | None = None,
     xsd_path: str | None = None,
 ) -> DataFrame:
-    """The body parsed as XML into ``schema``; ``root`` names the element it must start with."""
+    """The body parsed as XML into ``schema``; ``root`` names the element it must start with.
+
+    With ``xsd_path``, a file every executor can read, each body is also validated against it.
+    """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     settings = {"columnNameOfCorruptRecord": CORRUPT}
@@ -391,7 +405,10 @@ def build_values(messages: DataFrame, options: IngestOptions) -> DataFrame:
     if options.builder == "json":
         return build_json(messages, options.json_schema, options.json_schemas)
     if options.builder == "xml":
-        if options.xml_schema is None:
-            raise OptionError("the XML builder needs a schema")
-        return build_xml(messages, options.xml_schema, options.xml_root, options.xml_xsd)
+        schema = options.xml_schema
+        if schema is None:
+            if options.xml_xsd is None:
+                raise OptionError("the XML builder needs a schema")
+            schema = xsd_schema(messages.sparkSession, options.xml_xsd, options.xml_root)
+        return build_xml(messages, schema, options.xml_root, options.xml_xsd)
     return build_typed(messages) if options.body_jms else build_raw(messages)

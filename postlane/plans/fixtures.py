@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postlane.operators.batching import batch_by_count
 from postlane.operators.delivery import DELIVERED, IN_FLIGHT, state_snapshot
-from postlane.shared import new_folder, settle
+from postlane.shared import new_folder, prepare, settle
 from postlane.sources.messages import MessageSpec, Property, as_messages, queue_id
 
 STATE_ID = 23
@@ -28,12 +28,6 @@ PLAIN_SCHEMA = (
 )
 
 
-def prepare(spark: SparkSession) -> None:
-    """Session settings the results depend on."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -196,7 +190,7 @@ def delivery_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     return messages, state, offsets
 
 
-def landed_events(spark: SparkSession, sf_dir: str, files: int = 6) -> str:
+def landed_events(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
     """The event messages written out as several files, ready to be streamed."""
     path = new_folder(spark, "landed")
     event_messages(spark, sf_dir).repartitionByRange(files, "arrival_seq").write.parquet(path)

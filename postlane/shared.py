@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_own_folders: dict[str, str] = {}
+
+
+def prepare(spark: SparkSession) -> None:
+    """Session settings the results depend on: UTC times, and the last of two equal JSON keys."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the session names it.
@@ -19,16 +27,18 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="postlane-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="postlane-")
+    return _own_folders[context.applicationId]
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/postlane/{purpose}-{uuid.uuid4().hex}"
+    """A fresh path in the application's part of the shared folder."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/postlane/{application}/{purpose}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, purpose: str) -> DataFrame:

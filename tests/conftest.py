@@ -6,18 +6,16 @@ import pytest
 ROOT = pathlib.Path(__file__).resolve().parent
 sys.path[:0] = [str(ROOT.parent), str(ROOT)]
 
+from postlane import prepare  # noqa: E402
 from postlane.schemas import MESSAGES  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     from compare import session
 
     started = session()
-    started.conf.set("spark.sql.session.timeZone", "UTC")
-    started.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    if started.conf.get("spark.checkpoint.dir", None) is None:
-        started.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    prepare(started)
     yield started
     started.stop()
 

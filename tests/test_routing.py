@@ -180,7 +180,7 @@ def test_error_report(make):
     + [(2016, True, False), (1, False, True), (None, False, True)],
 )
 def test_triage(spark, reason, retriable, closable):
-    causes = [("JMSException", None), ("MQException", reason), ("MQException", 1)]
+    causes = [("ClientError", None), ("BrokerError", reason), ("BrokerError", 1)]
     if reason is None:
         causes = causes[:2]
     df = spark.createDataFrame([(causes,)], "causes array<struct<class: string, reason: int>>")

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postlane.functions import values
-from postlane.options import OptionError
+from postlane.options import IngestOptions, OptionError
 
 CONFIGURED = """{"type":"struct","fields":[
   {"field":"idx","type":"int32"},{"field":"a","type":"string"},{"field":"b","type":"int64"},
@@ -246,6 +246,27 @@ def test_xml(make, tmp_path):
     assert [r.value_error is None for r in checked] == [True] + [False] * 5
 
 
+def test_xml_by_options_alone(make, tmp_path):
+    xsd = tmp_path / "person.xsd"
+    xsd.write_text(PERSON_XSD)
+    props = {
+        "topic": "people",
+        "mq.queue": "Q",
+        "mq.queue.manager": "QM1",
+        "mq.record.builder": "xml",
+        "mq.record.builder.root.element.name": "Person",
+        "mq.record.builder.xsd.schema.path": str(xsd),
+    }
+    body = "<Person><Name>John</Name><Age>30</Age><Email>j@e.org</Email></Person>"
+    df = values.build_values(make({"body_text": body}), IngestOptions.from_properties(props))
+    assert tuple(df.first().value) == ("John", 30, "j@e.org")
+    with pytest.raises(OptionError):
+        other = {**props, "mq.record.builder.root.element.name": "Animal"}
+        values.build_values(make({}), IngestOptions.from_properties(other))
+    with pytest.raises(OptionError):
+        values.build_values(make({}), IngestOptions(topic="t", builder="xml"))
+
+
 def test_custom_builder(make):
     def shout(messages):
         return messages.withColumns(
