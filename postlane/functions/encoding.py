@@ -55,7 +55,10 @@ def encode_value(records: DataFrame, encoding: str) -> DataFrame:
 def to_topic_rows(
     records: DataFrame, encoding: str = "json", header_encoding: str = "simple"
 ) -> DataFrame:
-    """``topic``, ``key``, ``value``, ``headers`` as a broker sink expects them."""
+    """``topic``, ``key``, ``value``, ``headers`` as a broker sink expects them.
+
+    Records laid out by ``partition_by_key`` also name their ``partition``.
+    """
     headers = F.transform(
         "headers",
         lambda entry: F.struct(
@@ -63,9 +66,12 @@ def to_topic_rows(
             F.encode(encode_header(entry, header_encoding), "UTF-8").alias("value"),
         ),
     )
-    return encode_value(records, encoding).select(
-        "topic",
+    columns = [
+        F.col("topic"),
         F.coalesce(F.encode("key_text", "UTF-8"), F.col("key_bytes")).alias("key"),
         F.col("encoded").alias("value"),
         headers.alias("headers"),
-    )
+    ]
+    if "topic_partition" in records.columns:
+        columns.append(F.col("topic_partition").alias("partition"))
+    return encode_value(records, encoding).select(*columns)

@@ -29,6 +29,48 @@ def stream_messages(
     return reader.parquet(path)
 
 
+def stream_topic(
+    spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None
+) -> DataFrame:
+    """Messages that landed on a broker topic, as a stream; needs Spark's Kafka package."""
+    reader = (
+        spark.readStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("subscribe", topic)
+        .option("startingOffsets", "earliest")
+        .option("includeHeaders", "true")
+    )
+    if max_offsets is not None:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
+    return topic_messages(reader.load())
+
+
+def topic_messages(rows: DataFrame) -> DataFrame:
+    """Rows of a broker topic as messages: a partition is a source, the offset its order."""
+    place = F.concat_ws("/", "topic", F.col("partition").cast("string"))
+    none_text = F.lit(None).cast("string")
+    properties = F.transform(
+        F.coalesce("headers", F.array().cast(rows.schema["headers"].dataType)),
+        lambda entry: F.struct(
+            entry["key"].alias("name"),
+            F.lit("BYTES").alias("type"),
+            none_text.alias("text"),
+            entry["value"].alias("bytes"),
+        ),
+    )
+    spec = MessageSpec(
+        source=place,
+        arrival_seq=F.col("offset"),
+        message_id=F.concat_ws("/", place, F.col("offset").cast("string")),
+        body_kind=F.lit("bytes"),
+        body_bytes=F.col("value"),
+        correlation_id=F.col("key").cast("string"),
+        destination=F.col("topic"),
+        time=F.col("timestamp"),
+    )
+    return as_messages(rows, spec, properties)
+
+
 @dataclass(frozen=True)
 class Property:
     """A message property made from a column; ``present`` limits it to some rows."""
@@ -72,8 +114,10 @@ def queue_id(number: Column) -> Column:
     return F.concat(F.lit("ID:"), F.lpad(F.lower(F.hex(number)), 48, "0"))
 
 
-def as_messages(df: DataFrame, spec: MessageSpec) -> DataFrame:
-    """View any table as message envelopes."""
+def as_messages(
+    df: DataFrame, spec: MessageSpec, properties: Column | None = None
+) -> DataFrame:
+    """View any table as message envelopes; ``properties`` may be given as a whole array."""
     no_text, no_bytes = F.lit(None).cast("string"), F.lit(None).cast("binary")
     or_none = lambda column, none: none if column is None else column
     correlation = or_none(spec.correlation_id, no_text)
@@ -81,7 +125,8 @@ def as_messages(df: DataFrame, spec: MessageSpec) -> DataFrame:
         millis = F.lit(None).cast("long")
     else:
         millis = F.unix_millis(spec.time.cast("timestamp"))
-    properties = F.array().cast(T.ArrayType(PROPERTY))
+    if properties is None:
+        properties = F.array().cast(T.ArrayType(PROPERTY))
     if spec.properties:
         properties = F.array_compact(F.array(*[entry.as_struct() for entry in spec.properties]))
     return df.select(

@@ -3,6 +3,7 @@ from pyspark.errors import PySparkException
 
 from conftest import prop
 from postlane.functions.encoding import encode_value, to_topic_rows
+from postlane.operators.batching import partition_by_key
 from postlane.operators.records import to_records
 from postlane.operators.routing import route_by
 from postlane.options import IngestOptions
@@ -66,6 +67,11 @@ def test_topic_rows(make):
     assert [(h.key, bytes(h.value)) for h in row.headers] == [("n", b"5"), ("b", b'"eA=="')]
 
 
+def test_topic_rows_name_their_partition(make):
+    laid = partition_by_key(records(make(TEXT), key_header="JMSMessageID"), 3)
+    assert to_topic_rows(laid, "string").first().partition in (0, 1, 2)
+
+
 def test_unknown_encoding(make):
     with pytest.raises(ValueError):
         encode_value(records(make(TEXT)), "avro")
