@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlane.options import DEFAULT_BATCH_SIZE
+from postlane.shared import settle
 
 BUCKET_WIDTH = 100_000
 BUCKETS_PER_BLOCK = 1_000
@@ -17,12 +18,39 @@ def number_in_order(
     order: str = "arrival_seq",
     bucket_width: int = BUCKET_WIDTH,
 ) -> DataFrame:
-    """Add ``ordinal``: 1, 2, 3 … per ``by`` in the order of ``order``, without one task per ``by``.
+    """Add ``ordinal``: 1, 2, 3 … per ``by`` in the order of ``order``, which is unique within it.
 
-    ``order`` must be unique within ``by``, so a bucket of ``bucket_width`` consecutive numbers
-    never has more rows than that, however many rows its source has. Rows are numbered inside
-    their bucket; where a bucket starts comes from a running total over the bucket counts, taken
-    in two steps so that this too is spread.
+    One pass over the two columns first finds where the numbers of ``order`` have no holes. There
+    the ordinal is a subtraction and no row moves; only the rest is shuffled, by buckets.
+    """
+    spans = df.groupBy(by).agg(
+        F.min(order).alias("__first"),
+        (F.max(order) - F.min(order) + 1 == F.count(F.lit(1))).alias("__whole"),
+    )
+    spans = settle(spans, "spans")
+    kinds = {row["__whole"] for row in spans.select("__whole").distinct().collect()}
+    parts = []
+    if True in kinds:
+        whole = spans.where("__whole").select(by, "__first")
+        ordinal = F.col(order) - F.col("__first") + 1
+        parts.append(df.join(whole, by).select(*df.columns, ordinal.alias("ordinal")))
+    if kinds != {True}:
+        holed = df if kinds != {True, False} else df.join(spans.where("NOT __whole"), by, "left_semi")
+        parts.append(number_by_buckets(holed, by, order, bucket_width))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def number_by_buckets(
+    df: DataFrame,
+    by: str = "source",
+    order: str = "arrival_seq",
+    bucket_width: int = BUCKET_WIDTH,
+) -> DataFrame:
+    """``number_in_order`` for numbers with holes, without one task per ``by``.
+
+    A bucket of ``bucket_width`` consecutive numbers never has more rows than that, however many
+    rows its source has. Rows are numbered inside their bucket; where a bucket starts comes from
+    a running total over the bucket counts, taken in two steps so that this too is spread.
     """
     # Never null, so that no join adds a filter that would keep the counts from being reused.
     bucket = F.expr(f"coalesce(`{order}` div {bucket_width}, 0)")
@@ -36,12 +64,9 @@ def number_in_order(
     )
     before = (Window.unboundedPreceding, -1)
     blocks = counts.groupBy(by, "__block").agg(F.sum("n").alias("n"))
+    in_source = Window.partitionBy(by).orderBy("__block").rowsBetween(*before)
     blocks = blocks.select(
-        by,
-        "__block",
-        F.coalesce(
-            F.sum("n").over(Window.partitionBy(by).orderBy("__block").rowsBetween(*before)), F.lit(0)
-        ).alias("block_start"),
+        by, "__block", F.coalesce(F.sum("n").over(in_source), F.lit(0)).alias("block_start")
     )
     in_block = Window.partitionBy(by, "__block").orderBy("__bucket").rowsBetween(*before)
     starts = (

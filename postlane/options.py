@@ -87,7 +87,9 @@ class IngestOptions:
     xml_xsd: str | None = None
 
     def __post_init__(self) -> None:
-        set_field = lambda name, value: object.__setattr__(self, name, value)
+        def set_field(name: str, value: object) -> None:
+            object.__setattr__(self, name, value)
+
         if not self.topic or not self.topic.strip():
             raise OptionError(f"{TOPIC} must not be empty")
         if not callable(self.builder):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ JSON_WITH_HEADERS = IngestOptions(
     dlq_topic=DEAD,
     dlq_context_headers=True,
 )
-NUMBERED = IngestOptions(**{**JSON_TO_DEAD.__dict__, "state_queue": "STATE", "tasks_max": "1"})
+NUMBERED = replace(JSON_TO_DEAD, state_queue="STATE", tasks_max="1")
 TYPED = IngestOptions(topic=MAIN, body_jms=True, tolerance="all", copy_properties=True)
 POSITION = ("source", "arrival_seq")
 GRAVE_VALUE = 250.0
@@ -162,14 +163,14 @@ def value_json_embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = values.build_json(
         fixtures.order_envelope_messages(spark, sf_dir), schemas_enable=True
     )
-    field = lambda name, kind: F.try_variant_get("value_json", f"$.{name}", kind).alias(name)
+    fields = {"idx": "bigint", "customer": "int", "status": "string", "priority": "string"}
     return built.select(
         "arrival_seq",
         "value_type",
-        field("idx", "bigint"),
-        field("customer", "int"),
-        field("status", "string"),
-        field("priority", "string"),
+        *[
+            F.try_variant_get("value_json", f"$.{name}", kind).alias(name)
+            for name, kind in fields.items()
+        ],
         F.col("value_error.class").alias("error"),
     )
 
@@ -337,6 +338,11 @@ def batches_by_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_by_count(messages).select(*POSITION, "batch_no")
 
 
+def batches_without_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = fixtures.order_json_messages(spark, sf_dir)
+    return batch_by_count(orders, 100).select(*POSITION, "batch_no")
+
+
 def batches_by_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = fixtures.event_messages(spark, sf_dir).select(*POSITION, "jms_timestamp")
     return batch_by_limits(messages, LIMIT_SIZE, LIMIT_MS, GAP_MS).select(*POSITION, "batch_no")
@@ -594,6 +600,7 @@ def all_queries() -> dict[str, Query]:
         "error_trace": error_trace,
         "triage": triage,
         "batch_by_count": batches_by_count,
+        "batch_without_holes": batches_without_holes,
         "batch_by_limits": batches_by_limits,
         "sequence_ids": sequence_ids,
         "state_snapshot": state_snapshot,

@@ -114,13 +114,15 @@ def queue_id(number: Column) -> Column:
     return F.concat(F.lit("ID:"), F.lpad(F.lower(F.hex(number)), 48, "0"))
 
 
+def _or_null(column: Column | None, kind: str) -> Column:
+    return F.lit(None).cast(kind) if column is None else column
+
+
 def as_messages(
     df: DataFrame, spec: MessageSpec, properties: Column | None = None
 ) -> DataFrame:
     """View any table as message envelopes; ``properties`` may be given as a whole array."""
-    no_text, no_bytes = F.lit(None).cast("string"), F.lit(None).cast("binary")
-    or_none = lambda column, none: none if column is None else column
-    correlation = or_none(spec.correlation_id, no_text)
+    correlation = _or_null(spec.correlation_id, "string")
     if spec.time is None:
         millis = F.lit(None).cast("long")
     else:
@@ -135,12 +137,12 @@ def as_messages(
         spec.message_id.alias("message_id"),
         correlation.alias("correlation_id"),
         F.encode(correlation, "UTF-8").alias("correlation_id_bytes"),
-        or_none(spec.destination, no_text).alias("destination"),
-        or_none(spec.group_id, no_text).alias("group_id"),
+        _or_null(spec.destination, "string").alias("destination"),
+        _or_null(spec.group_id, "string").alias("group_id"),
         millis.alias("jms_timestamp"),
         spec.body_kind.alias("body_kind"),
-        or_none(spec.body_bytes, no_bytes).alias("body_bytes"),
-        or_none(spec.body_text, no_text).alias("body_text"),
+        _or_null(spec.body_bytes, "binary").alias("body_bytes"),
+        _or_null(spec.body_text, "string").alias("body_text"),
         properties.alias("properties"),
     )
 

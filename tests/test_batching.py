@@ -7,7 +7,12 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from postlane.operators.batching import batch_by_count, number_in_order, partition_by_key
+from postlane.operators.batching import (
+    batch_by_count,
+    number_by_buckets,
+    number_in_order,
+    partition_by_key,
+)
 from postlane.operators.limits import batch_by_limits, first_reaching, leave_segment, next_batch
 from postlane.operators.records import to_records
 from postlane.options import IngestOptions
@@ -49,12 +54,13 @@ def test_35_messages_in_tens(make):
 def test_count_batches_follow_arrival_for_any_numbers(spark):
     seed = random.Random(7)
     sources = {
-        "dense": [(n, 0) for n in range(3000)],
+        "whole": [(n, 0) for n in range(-700, 2300)],
+        "stride": [(n, 0) for n in range(0, 6000, 3)],
         "sparse": [(n, 0) for n in sorted(seed.sample(range(-(10**9), 10**9), 700))],
         "one": [(5, 0)],
     }
     found = batch_by_count(table(spark, sources), 7, bucket_width=50).collect()
-    assert len(found) == 3701
+    assert len(found) == 5701
     for source, entries in sources.items():
         expected = {seq: at // 7 + 1 for at, (seq, _) in enumerate(entries)}
         assert {r.arrival_seq: r.batch_no for r in found if r.source == source} == expected
@@ -62,7 +68,8 @@ def test_count_batches_follow_arrival_for_any_numbers(spark):
 
 def test_numbering_spreads_one_large_source(spark):
     df = spark.range(20_000).select(F.lit("hot").alias("source"), F.col("id").alias("arrival_seq"))
-    numbered = number_in_order(df, bucket_width=100)
+    numbered = number_by_buckets(df, bucket_width=100)
+    assert number_in_order(df).where("ordinal <> arrival_seq + 1").isEmpty()
     assert numbered.where("ordinal <> arrival_seq + 1").isEmpty()
     plan = numbered._jdf.queryExecution().optimizedPlan().toString()
     ranked = [line for line in plan.splitlines() if "row_number()" in line and "Window" in line]

@@ -1,3 +1,4 @@
+from dataclasses import replace
 from types import SimpleNamespace
 
 import pytest
@@ -88,7 +89,7 @@ def test_at_least_once_table(spark, tables):
 
 def test_limits_of_the_options_apply(spark, tables):
     messages, _, _ = tables
-    options = IngestOptions(**{**OPTIONS.__dict__, "batch_size": 100, "max_poll_ms": 2})
+    options = replace(OPTIONS, batch_size=100, max_poll_ms=2)
     empty = spark.createDataFrame([], STATE), spark.createDataFrame([], OFFSETS)
     found = table_records(messages.where("source = 'fresh'"), options, *empty)
     rows = found.orderBy("arrival_seq").collect()

@@ -96,6 +96,14 @@ def test_count_batches_shuffle_messages_once(spark, no_broadcast):
     assert windows and all("__bucket" in keys for keys in windows)
 
 
+def test_numbers_without_holes_need_no_shuffle(spark):
+    orders = fixtures.order_json_messages(spark, SF_DIR)
+    df = batch_by_count(orders, 100)
+    plan = executed(df)
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan
+    assert df.agg(F.max("batch_no")).first()[0] == 15
+
+
 def test_limit_batches_run_each_step_once(spark, no_broadcast):
     messages = fixtures.event_messages(spark, SF_DIR).select(
         "source", "arrival_seq", "jms_timestamp"

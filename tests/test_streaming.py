@@ -1,4 +1,5 @@
 import pathlib
+from dataclasses import replace
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -160,7 +161,7 @@ def test_state_of_the_last_batch_is_proven_by_positions(place, make, spark):
 
 
 def test_poison_stops_the_stream_but_keeps_earlier_batches(spark, tmp_path, make):
-    strict = IngestOptions(**{**ONCE.__dict__, "tolerance": "none"})
+    strict = replace(ONCE, tolerance="none")
     place = Place(spark, tmp_path, strict)
     place.land(batch(make, 1, 6))
     place.run()
@@ -171,7 +172,7 @@ def test_poison_stops_the_stream_but_keeps_earlier_batches(spark, tmp_path, make
 
 
 def test_at_least_once_has_no_numbers(spark, tmp_path, make):
-    place = Place(spark, tmp_path, IngestOptions(**{**ONCE.__dict__, "tasks_max": "2"}))
+    place = Place(spark, tmp_path, replace(ONCE, tasks_max="2"))
     place.land(batch(make, 1, 25))
     place.run()
     place.whole(25)
