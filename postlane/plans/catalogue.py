@@ -334,8 +334,7 @@ def triage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batches_by_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = fixtures.event_messages(spark, sf_dir)
-    return batch_by_count(messages).select(*POSITION, "batch_no")
+    return fixtures.batched_events(spark, sf_dir).select(*POSITION, "batch_no")
 
 
 def batches_without_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,9 +348,9 @@ def batches_by_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sequenced(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
-    messages, state, offsets = fixtures.delivery_tables(spark, sf_dir)
-    narrow = messages.select(*POSITION, "message_id", *more)
-    return delivery.assign_sequence(batch_by_count(narrow), state, offsets)
+    batched = fixtures.batched_events(spark, sf_dir)
+    batched = batched.select(*POSITION, "message_id", "batch_no", *more)
+    return delivery.assign_sequence(batched, *fixtures.delivery_tables(batched))
 
 
 def sequence_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -390,7 +389,8 @@ def latest_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _plan(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    messages, state, offsets = fixtures.delivery_tables(spark, sf_dir)
+    messages = fixtures.event_messages(spark, sf_dir)
+    state, offsets = fixtures.delivery_tables(fixtures.batched_events(spark, sf_dir))
     return messages, state, delivery.recovery_plan(delivery.validate_state(state), offsets)
 
 
@@ -412,7 +412,8 @@ def recovery_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recovered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages, state, offsets = fixtures.delivery_tables(spark, sf_dir)
+    messages = fixtures.event_messages(spark, sf_dir)
+    state, offsets = fixtures.delivery_tables(fixtures.batched_events(spark, sf_dir))
     sink = new_folder(spark, "topics")
     publish_table(messages, NUMBERED, state, offsets, sink)
     return (
@@ -438,7 +439,7 @@ def drop_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def committed_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batched = batch_by_count(fixtures.event_messages(spark, sf_dir))
+    batched = fixtures.batched_events(spark, sf_dir)
     options = IngestOptions(topic=MAIN, body_jms=True, copy_properties=True)
     records = to_records(batched, options)
     grave = headers.header("value", "double") > GRAVE_VALUE

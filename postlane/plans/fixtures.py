@@ -173,21 +173,23 @@ def order_xml_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _order_messages(spark, sf_dir, body)
 
 
-def delivery_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Event messages, and a state and offset for three of their four queues.
+def batched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event messages with their batch numbers."""
+    return batch_by_count(event_messages(spark, sf_dir))
+
+
+def delivery_tables(batched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A state and an offset for three of the four event queues.
 
     Each state holds its queue's first batch: Q1 proven delivered by its offset, Q2 not, Q3
     marked delivered; Q0 has neither state nor offset.
     """
-    messages = event_messages(spark, sf_dir)
-    first = batch_by_count(messages.select("source", "arrival_seq", "message_id"))
-    first = first.where((F.col("batch_no") == 1) & (F.col("source") != "QM1/Q0"))
+    first = batched.where((F.col("batch_no") == 1) & (F.col("source") != "QM1/Q0"))
     marked = F.when(F.col("source") == "QM1/Q3", DELIVERED).otherwise(IN_FLIGHT)
     state = state_snapshot(first.withColumn("sequence_id", F.lit(STATE_ID).cast("long")))
     state = settle(state.withColumn("last_known_state", marked), "state")
     proven = F.when(F.col("source") == "QM1/Q1", STATE_ID).otherwise(STATE_ID - 1)
-    offsets = state.select("source", proven.cast("long").alias("sequence_id"))
-    return messages, state, offsets
+    return state, state.select("source", proven.cast("long").alias("sequence_id"))
 
 
 def landed_events(spark: SparkSession, sf_dir: str, files: int = 4) -> str:

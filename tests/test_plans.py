@@ -129,7 +129,8 @@ def test_nothing_is_broadcast_without_a_size_check(spark, no_broadcast, name):
 
 
 def _bookkeeping(spark):
-    messages, state, offsets = fixtures.delivery_tables(spark, SF_DIR)
+    messages = fixtures.event_messages(spark, SF_DIR)
+    state, offsets = fixtures.delivery_tables(fixtures.batched_events(spark, SF_DIR))
     batched = messages.withColumn("batch_no", F.col("arrival_seq") + 1)
     plan = delivery.recovery_plan(state, offsets)
     return {
