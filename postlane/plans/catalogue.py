@@ -338,8 +338,10 @@ def batches_by_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batches_without_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = fixtures.order_json_messages(spark, sf_dir)
-    return batch_by_count(orders, 100).select(*POSITION, "batch_no")
+    turns = fixtures.dialogue_messages(spark, sf_dir)
+    return batch_by_count(turns, 3).select(
+        *POSITION, "batch_no", F.md5("body_text").alias("body_md5")
+    )
 
 
 def batches_by_limits(spark: SparkSession, sf_dir: str) -> DataFrame:

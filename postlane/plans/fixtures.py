@@ -93,6 +93,22 @@ def conversation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dialogue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as a queue of its own, its turns in order."""
+    turns = table(spark, sf_dir, "conversations")
+    conversation = F.col("conv_id").cast("string")
+    return as_messages(
+        turns,
+        MessageSpec(
+            source=F.concat(F.lit("QM1/TALK-"), conversation),
+            arrival_seq=F.col("turn"),
+            message_id=queue_id(F.col("conv_id") * 1000 + F.col("turn")),
+            body_kind=F.lit("text"),
+            body_text=F.col("text"),
+        ),
+    )
+
+
 def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as large bodies: English ones as bytes, the others as text."""
     documents = table(spark, sf_dir, "documents")

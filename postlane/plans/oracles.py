@@ -262,8 +262,9 @@ def all_oracles() -> dict[str, str]:
             SELECT event_id, reason, reason <> 1 AS retriable, reason <> 2016 AS closable
             FROM coded""",
         "batch_by_count": f"""WITH {BATCHED} SELECT source, arrival_seq, batch_no FROM batched""",
-        "batch_without_holes": """SELECT 'QM1/ORDERS' AS source, o_orderkey AS arrival_seq,
-            (row_number() OVER (ORDER BY o_orderkey) - 1) // 100 + 1 AS batch_no FROM orders""",
+        "batch_without_holes": """SELECT 'QM1/TALK-' || conv_id AS source, turn AS arrival_seq,
+            (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) // 3 + 1 AS batch_no,
+            md5(text) AS body_md5 FROM conversations""",
         "batch_by_limits": f"""WITH RECURSIVE {MESSAGES},
             numbered AS (SELECT source, arrival_seq, ms,
               row_number() OVER (PARTITION BY source ORDER BY arrival_seq) AS place,

@@ -97,11 +97,18 @@ def test_count_batches_shuffle_messages_once(spark, no_broadcast):
 
 
 def test_numbers_without_holes_need_no_shuffle(spark):
-    orders = fixtures.order_json_messages(spark, SF_DIR)
-    df = batch_by_count(orders, 100)
-    plan = executed(df)
+    plan = executed(catalogue.batches_without_holes(spark, SF_DIR))
+    assert "BroadcastHashJoin" in plan
     assert "Exchange hashpartitioning" not in plan and "Window" not in plan
-    assert df.agg(F.max("batch_no")).first()[0] == 15
+
+
+@pytest.mark.parametrize("name", catalogue.all_queries())
+def test_no_query_joins_all_pairs_or_gathers_in_one_task(spark, name):
+    if name.startswith("stream"):
+        pytest.skip("the plan of a streaming query is that of its output table")
+    plan = physical(catalogue.all_queries()[name](spark, SF_DIR))
+    for operator in ("NestedLoop", "CartesianProduct", "SinglePartition", "BatchEvalPython"):
+        assert operator not in plan
 
 
 def test_limit_batches_run_each_step_once(spark, no_broadcast):
