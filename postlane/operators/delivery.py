@@ -26,6 +26,9 @@ STATE_FIELDS = ("sequenceId", "messageIds", "lastKnownState")
 FIRST_SEQUENCE = 0
 RECOVERY_TRIES = 300
 
+# Up to so many messages with copies, their records are picked out of the others.
+FEW_COPIED = 50_000
+
 STATE_JSON = T.StructType(
     [
         T.StructField("sequenceId", T.LongType()),
@@ -278,19 +281,47 @@ def drop_delivered(messages: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
-def dedupe(records: DataFrame, order: tuple[str, ...] = ("arrival_seq",)) -> DataFrame:
-    """One record per message: the earliest copy. Records without an id are left apart.
+def own_key() -> Column:
+    """What makes a message the same message: its id; without one, its place."""
+    return F.coalesce(
+        F.concat(F.lit("id "), F.col("message_id")),
+        F.concat(F.lit("no "), F.col("arrival_seq").cast("string")),
+    )
+
+
+def merge_copies(records: DataFrame, order: tuple[str, ...] = ("arrival_seq",)) -> DataFrame:
+    """One record per message, the earliest, in one shuffle of all records.
 
     Copies are merged before the shuffle, so a message copied very often stays a few rows.
     """
-    rest = [name for name in records.columns if name not in ("source", "message_id")]
-    apart = F.when(F.col("message_id").isNull(), F.col("arrival_seq"))
-    kept = F.min_by(F.struct(*rest), F.struct(*order)).alias("__kept")
-    return (
-        records.groupBy("source", "message_id", apart.alias("__apart"))
-        .agg(kept)
-        .select(*[F.col(f"__kept.{name}") if name in rest else F.col(name) for name in records.columns])
+    kept = F.min_by(F.struct(*records.columns), F.struct(*order)).alias("__kept")
+    return records.groupBy("source", own_key().alias("__key")).agg(kept).select("__kept.*")
+
+
+def dedupe(
+    records: DataFrame, order: tuple[str, ...] = ("arrival_seq",), few: int = FEW_COPIED
+) -> DataFrame:
+    """One record per message: the earliest copy. Records without an id are left apart.
+
+    A pass over the ids alone finds the messages that have copies. Without any the records stay
+    as they are, with ``few`` only those messages' records move, with more all records do.
+    """
+    keyed = records.withColumn("__key", own_key())
+    copied = (
+        keyed.groupBy("source", "__key")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .where(F.col("copies") > 1)
+        .select("source", "__key")
     )
+    copied = settle(copied, "copied")
+    found = copied.limit(few + 1).count()
+    if found == 0:
+        return records
+    if found > few:
+        return merge_copies(records, order)
+    single = keyed.join(copied, ["source", "__key"], "left_anti").select(*records.columns)
+    several = keyed.join(copied, ["source", "__key"], "left_semi").select(*records.columns)
+    return single.unionByName(merge_copies(several, order))
 
 
 def first_failed_batch(records: DataFrame, failed: Column | None = None) -> DataFrame:

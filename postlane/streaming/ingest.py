@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from postlane.operators.delivery import continue_sequence, state_snapshot
+from postlane.operators.delivery import continue_sequence, own_key, state_snapshot
 from postlane.operators.records import to_records
 from postlane.operators.routing import route_by
 from postlane.options import IngestOptions, delivery_mode
@@ -119,13 +119,9 @@ def dedupe_stream(records: DataFrame, delay: str, event_time: str = "event_time"
 
     Records without an id are never taken for copies of each other.
     """
-    own_id = F.coalesce(
-        F.concat(F.lit("id "), F.col("message_id")),
-        F.concat(F.lit("no "), F.col("arrival_seq").cast("string")),
-    )
     return (
-        records.withColumn("__id", own_id)
+        records.withColumn("__key", own_key())
         .withWatermark(event_time, delay)
-        .dropDuplicatesWithinWatermark(["source", "__id"])
-        .drop("__id")
+        .dropDuplicatesWithinWatermark(["source", "__key"])
+        .drop("__key")
     )

@@ -181,35 +181,55 @@ def test_audit(make, states, offsets):
     ]
 
 
-def test_dedupe_keeps_the_earliest_and_all_without_id(make):
+@pytest.mark.parametrize("few", [50_000, 0])
+def test_dedupe_keeps_the_earliest_and_all_without_id(make, few):
     df = make(
         {"message_id": "ID:a", "body_text": "first"},
         {"message_id": "ID:a", "body_text": "again"},
         {"message_id": None},
         {"message_id": None},
         {"message_id": "ID:a", "source": "other"},
+        {"message_id": "ID:b"},
     )
-    found = delivery.dedupe(df.unionByName(df)).orderBy("arrival_seq").collect()
-    assert [r.arrival_seq for r in found] == [1, 3, 4, 5]
-    assert found[0].body_text == "first"
-    assert delivery.dedupe(df).columns == df.columns
+    found = delivery.dedupe(df.unionByName(df.where("arrival_seq < 6")), few=few)
+    rows = found.orderBy("arrival_seq").collect()
+    assert [r.arrival_seq for r in rows] == [1, 3, 4, 5, 6]
+    assert rows[0].body_text == "first"
+    assert found.columns == df.columns
 
 
-def test_dedupe_of_json_records(make):
+@pytest.mark.parametrize("few", [50_000, 0])
+def test_dedupe_of_json_records(make, few):
     df = make({"body_text": '{"i":1}'}, {"body_text": "{"})
     options = IngestOptions(topic="t", builder="json", body_jms=True)
     records = to_records(df, options)
-    found = delivery.dedupe(records.unionByName(records)).orderBy("arrival_seq")
+    found = delivery.dedupe(records.unionByName(records), few=few).orderBy("arrival_seq")
     assert found.select(F.to_json("value_json").alias("j")).collect()[0].j == '{"i":1}'
     assert found.count() == 2
 
 
-def test_dedupe_merges_copies_before_the_shuffle(spark, make):
-    df = delivery.dedupe(make({}))
-    plan = df._jdf.queryExecution().executedPlan().toString()
+def test_dedupe_without_copies_moves_nothing(make):
+    df = make({}, {}, {"message_id": None})
+    assert delivery.dedupe(df) is df
+
+
+def test_dedupe_merges_copies_before_the_shuffle(make):
+    plan = delivery.merge_copies(make({}))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Aggregate(") >= 2 and "partial_min_by" in plan
 
 
+def test_one_message_copied_very_often(spark):
+    rows = spark.range(300_000).select(
+        F.lit("q").alias("source"),
+        F.col("id").alias("arrival_seq"),
+        F.when(F.col("id") % 3 == 0, "ID:hot").otherwise(F.col("id").cast("string")).alias("message_id"),
+    )
+    for few in (50_000, 0):
+        found = delivery.dedupe(rows, few=few)
+        assert found.count() == 200_001
+        assert found.where("message_id = 'ID:hot'").first().arrival_seq == 0
+
+
 def test_peek_and_counts(make):
     df = make({"arrival_seq": 9}, {"arrival_seq": 4}, {"source": "b", "arrival_seq": 70})
     heads = {r.source: r.arrival_seq for r in peek(df).collect()}
