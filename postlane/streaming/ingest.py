@@ -60,7 +60,7 @@ class IngestLog:
         merged = known.unionByName(moved).groupBy("source").agg(
             F.max("sequence_id").alias("sequence_id")
         )
-        replace_table(merged.coalesce(1), f"{self.path}/positions", batch_id + 1)
+        replace_table(merged, f"{self.path}/positions", batch_id + 1)
         # A restart can only repeat the newest micro-batch, so older versions are done with.
         forget_versions(self.spark, f"{self.path}/positions", batch_id)
         forget_versions(self.spark, f"{self.path}/state", batch_id)
