@@ -3,6 +3,32 @@
 from __future__ import annotations
 
 ORACLES = {
+    "op4_decontamination": r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS phrase
+    FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0
+), spans AS (
+    SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS phrase
+    FROM d, (SELECT DISTINCT n FROM windows), unnest(range(1, len(w) - n + 2)) AS t(i)
+), hits AS (
+    SELECT doc_id, item_id, i, spans.n FROM spans JOIN windows USING (n, phrase)
+), places AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + n)) AS t(p) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(DISTINCT item_id) AS n_items,
+        array_to_string(list_sort(list_distinct(list(item_id::VARCHAR))), ',') AS named
+    FROM hits GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(named, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
     "op6_url_filter": r"""
 WITH parts AS (
     SELECT page_id, html, coalesce(CASE WHEN instr(url, '://') > 0

@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 
 from postlane.llm import (
     chat_tree,
+    decontaminate,
     packing,
+    passages,
+    quality_thresholds,
     simhash_covering,
     token_files,
+    toxicity,
     url_filter,
     warc,
 )
@@ -33,6 +37,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_thresholds.quality(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
+def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    return found.drop("n_near_items")
+
+
+def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return token_files.token_files(docs, public_tokenizers.path(WORD_TOKENIZER), end_id=2)
@@ -72,7 +97,11 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": quality,
+    "op2_toxicity": toxic,
     "op3_token_ids": token_ids,
+    "op4_decontamination": contaminated,
+    "op5_passages": repeats,
     "op6_url_filter": urls,
     "op7_simhash": near_duplicates,
     "op8_packing": packed,
