@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlane.llm.files import open_new, open_old, unique_name
-from postlane.llm.words import ALNUM, chunks, ragged, texts_of, word_codes
+from postlane.llm.words import ALNUM, ragged, text_chunks, word_codes
 from postlane.shared import new_folder, settle
 
 WINDOW = 10
@@ -54,9 +54,8 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column(0)
-            texts = [text.translate(ALNUM) for text in texts_of(batch.column(1))]
-            for some in chunks(texts, SEGMENT_BYTES):
-                words = word_codes(texts[some])
+            for some, texts in text_chunks(batch.column(1), SEGMENT_BYTES):
+                words = word_codes([text.translate(ALNUM) for text in texts])
                 used, codes = np.unique(words.codes, return_inverse=True)
                 places = np.argsort(codes, kind="stable")
                 kind = np.uint16 if len(codes) <= 1 << 16 else np.uint32

@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlane.llm.token_ids import TextEncoder
-from postlane.llm.words import texts_of
 from postlane.shared import settle
 
 PIECES_PER_SHARD = 16_384
@@ -46,8 +45,8 @@ def cut_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, row = TextEncoder.of(tokenizer), TaskContext.get().partitionId() << 40
         for batch in batches:
-            texts, names = texts_of(batch.column(1)), batch.column(0).to_pylist()
-            for some, ids, starts in encoder.batches(texts):
+            names = batch.column(0).to_pylist()
+            for some, ids, starts in encoder.batches(batch.column(1)):
                 out: dict[str, list] = {name: [] for name in ("doc_id", "piece", "start", "length", "ids_crc32")}
                 for name, begin, end in zip(names[some], starts[:-1].tolist(), starts[1:].tolist()):
                     whole = np.empty(end - begin + 1, "<u4")

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlane.llm.words import chunks, repeated_window_words, sums_by_text, texts_of, word_codes
+from postlane.llm.words import repeated_window_words, sums_by_text, text_chunks, word_codes
 from postlane.shared import settle
 
 MIN_WORDS = 20
@@ -58,9 +58,7 @@ def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", stratum
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch.column(1))
-            for some in chunks(texts):
-                part = texts[some]
+            for some, part in text_chunks(batch.column(1)):
                 words = word_codes(part)
                 sizes = np.asarray(pc.utf8_length(words.terms)).astype(np.int64)
                 symbols, dup, lines = [], [], []

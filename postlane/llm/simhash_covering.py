@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlane.llm.components import components
-from postlane.llm.words import LOWER, chunks, texts_of
+from postlane.llm.words import LOWER, text_chunks
 from postlane.shared import settle
 
 BITS = 64
@@ -92,8 +92,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch.column(1))
-            found = [fingerprints_of(texts[some]) for some in chunks(texts, 2_000_000)]
+            found = [fingerprints_of(texts) for _, texts in text_chunks(batch.column(1), 2_000_000)]
             whole = np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(whole)], names=["doc_id", "fp"]

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from postlane.llm.files import one_task_each, open_new, open_old, unique_name, with_starts
 from postlane.llm.token_ids import TextEncoder
-from postlane.llm.words import ragged, texts_of
+from postlane.llm.words import ragged, release
 from postlane.shared import new_folder, settle
 
 BLOCK = 128
@@ -224,8 +224,8 @@ def write_token_files(
             return row
 
         for batch in batches:
-            texts, ids_of = texts_of(batch.column(1)), batch.column(0).to_pylist()
-            for some, ids, starts in encoder.batches(texts):
+            ids_of = batch.column(0).to_pylist()
+            for some, ids, starts in encoder.batches(batch.column(1)):
                 for name, begin, end in zip(ids_of[some], starts[:-1].tolist(), starts[1:].tolist()):
                     if size and size + end - begin + 1 > ids_per_file:
                         yield flush()
@@ -263,6 +263,7 @@ def read_token_files(files: DataFrame) -> DataFrame:
                         ),
                     }
                 )
+        release()
 
     return placed.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 

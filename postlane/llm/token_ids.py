@@ -13,11 +13,12 @@ import sys
 import types
 
 import numpy as np
+import pyarrow as pa
 
-from postlane.llm.words import chunks, ragged, word_codes
+from postlane.llm.words import ragged, text_chunks, word_codes
 
 # Bound of the words one Python worker remembers.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 350_000
 _PLAIN = re.compile(r"([A-Za-zß-öø-ÿÀ-ÖØ-Þ]+)([.,]?)")
 
 
@@ -121,7 +122,7 @@ class TextEncoder:
         ends = np.concatenate(([0], np.cumsum(lengths)))
         return self.flat[ragged(begin, lengths)], ends[words.starts]
 
-    def batches(self, texts: list[bytes], limit: int = 4_000_000):
-        """``(slice, ids, starts)`` of runs of texts, so that memory stays bounded."""
-        for part in chunks(texts, limit):
-            yield (part, *self.encode(texts[part]))
+    def batches(self, column: pa.Array, limit: int = 2_000_000):
+        """``(slice, ids, starts)`` of runs of rows, so that memory stays bounded."""
+        for part, texts in text_chunks(column, limit):
+            yield (part, *self.encode(texts))

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlane.llm.words import chunks, texts_of, word_codes
+from postlane.llm.words import chunks, release, text_chunks, word_codes
 from postlane.shared import settle
 
 MAX_LABELLED = 40_000
@@ -152,10 +152,11 @@ def unit_values(units: list[str], weights: np.ndarray) -> np.ndarray:
 
 def text_values(texts: list[bytes], weights: np.ndarray) -> np.ndarray:
     found = []
-    for some in chunks(texts, 4_000_000):
+    for some in chunks(texts):
         units, held = text_strings(texts[some])
         values = unit_values(units, weights)
         found.append(np.array([values[own].max() if len(own) else LOWEST for own in held]))
+    release()
     return np.concatenate([np.zeros(0), *found])
 
 
@@ -313,9 +314,9 @@ def _training_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
 def _count_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts that hold each string, by label."""
     for batch in batches:
-        texts, toxic = texts_of(batch.column(0)), np.asarray(batch.column(1)).astype(np.int64)
-        for some in chunks(texts, 8_000_000):
-            units, held = text_strings(texts[some])
+        toxic = np.asarray(batch.column(1)).astype(np.int64)
+        for some, texts in text_chunks(batch.column(0)):
+            units, held = text_strings(texts)
             number = {unit: at for at, unit in enumerate(dict.fromkeys(units))}
             same = np.array([number[unit] for unit in units], np.int64)
             counts = np.zeros((2, len(number)), np.int64)
@@ -401,9 +402,9 @@ def _scorer(weights: np.ndarray):
 def _witness(weights: np.ndarray):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, best = texts_of(batch.column(0)), []
-            for some in chunks(texts, 4_000_000):
-                units, held = text_strings(texts[some])
+            best = []
+            for _, texts in text_chunks(batch.column(0)):
+                units, held = text_strings(texts)
                 values = unit_values(units, weights)
                 best += [units[own[values[own].argmax()]] for own in held if len(own)]
             yield pa.RecordBatch.from_pydict({"unit": pa.array([unit for unit in best if unit], pa.string())})

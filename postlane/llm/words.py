@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -9,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 3_000_000
 
 # Upper case ASCII to lower case; ASCII that is neither a letter nor a digit becomes a space.
 ALNUM = bytes(
@@ -57,6 +59,27 @@ def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[slice]:
         yield slice(begin, len(texts))
 
 
+def release() -> None:
+    """Give freed memory back, as Python workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[slice, list[bytes]]]:
+    """Runs of rows of about ``limit`` bytes with their texts; only one run is held at a time."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    begin = size = 0
+    for at, more in enumerate(sizes):
+        if size and size + more > limit:
+            yield slice(begin, at), texts_of(column.slice(begin, at - begin))
+            begin, size = at, 0
+        size += more
+    if begin < len(sizes):
+        yield slice(begin, len(sizes)), texts_of(column.slice(begin))
+    release()
+
+
 def word_codes(texts: list[bytes]) -> Words:
     """Split at ASCII white space and number the different words."""
     split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
