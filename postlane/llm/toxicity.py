@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlane.llm.words import chunks, release, text_chunks, word_codes
+from postlane.llm.words import text_chunks, word_codes
 from postlane.shared import settle
 
 MAX_LABELLED = 40_000
@@ -139,8 +139,8 @@ def unit_values(units: list[str], weights: np.ndarray) -> np.ndarray:
     if not units:
         return np.zeros(0)
     out = []
-    for at in range(0, len(units), 50_000):
-        codes, starts = _flat(units[at : at + 50_000])
+    for at in range(0, len(units), 10_000):
+        codes, starts = _flat(units[at : at + 10_000])
         found, weight = _triples(codes, starts)
         value = _over_runs((weights[found] * weight).sum(axis=1), starts)
         norm = np.sqrt(np.maximum(_over_runs((weight**2).sum(axis=1), starts), 1e-12))
@@ -150,14 +150,13 @@ def unit_values(units: list[str], weights: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def text_values(texts: list[bytes], weights: np.ndarray) -> np.ndarray:
-    found = []
-    for some in chunks(texts):
-        units, held = text_strings(texts[some])
+def text_values(column: pa.Array, weights: np.ndarray) -> np.ndarray:
+    found = [np.zeros(0)]
+    for _, texts in text_chunks(column):
+        units, held = text_strings(texts)
         values = unit_values(units, weights)
         found.append(np.array([values[own].max() if len(own) else LOWEST for own in held]))
-    release()
-    return np.concatenate([np.zeros(0), *found])
+    return np.concatenate(found)
 
 
 def _run_vectors(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -415,10 +414,9 @@ def _witness(weights: np.ndarray):
 def values_of(weights: np.ndarray):
     """A column function: the machine's value of a text."""
 
-    @F.pandas_udf("double")
-    def value(texts: pd.Series) -> pd.Series:
-        raw = [b"" if text is None else text.encode() for text in texts]
-        return pd.Series(text_values(raw, weights))
+    @F.arrow_udf("double")
+    def value(texts: pa.Array) -> pa.Array:
+        return pa.array(text_values(texts, weights))
 
     return value
 
@@ -428,10 +426,9 @@ def score_of(model: Model, text: Column) -> Column:
     if model.weights is None:
         return F.lit(float(model.shift))
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        raw = [b"" if text is None else text.encode() for text in texts]
-        return pd.Series(model.scores(text_values(raw, model.weights)))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(model.scores(text_values(texts, model.weights)))
 
     return score(text.cast("string"))
 

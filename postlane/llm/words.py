@@ -47,18 +47,6 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [value or b"" for value in column.cast(pa.large_binary()).to_pylist()]
 
 
-def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[slice]:
-    """Runs of neighbouring texts of about ``limit`` bytes; a longer text stands alone."""
-    begin = size = 0
-    for at, text in enumerate(texts):
-        if size and size + len(text) > limit:
-            yield slice(begin, at)
-            begin, size = at, 0
-        size += len(text)
-    if begin < len(texts):
-        yield slice(begin, len(texts))
-
-
 def release() -> None:
     """Give freed memory back, as Python workers live on from task to task."""
     pa.default_memory_pool().release_unused()
