@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postlane.llm.words import bounded_batches
 from postlane.shared import settle
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -87,7 +88,7 @@ def paths(
 
     ``steps`` holds, per turn, the hash of the conversation up to there.
     """
-    turns = conversations.select(
+    turns = bounded_batches(conversations).select(
         F.col(conv_id).cast("long").alias("conv_id"),
         F.struct(
             F.col(turn).cast("long").alias("turn"),

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlane.llm.files import open_new, open_old, unique_name
-from postlane.llm.words import ALNUM, ragged, text_chunks, word_codes
+from postlane.llm.words import ALNUM, bounded_batches, ragged, text_chunks, word_codes
 from postlane.shared import new_folder, settle
 
 WINDOW = 10
@@ -47,7 +47,7 @@ HITS = (
 
 def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Segments of the index, settled in the shared folder."""
-    rows = docs.select(
+    rows = bounded_batches(docs).select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
     )
 

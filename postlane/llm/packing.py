@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlane.llm.token_ids import TextEncoder
+from postlane.llm.words import bounded_batches
 from postlane.shared import settle
 
 PIECES_PER_SHARD = 16_384
@@ -38,7 +39,7 @@ def cut_pieces(
     docs: DataFrame, tokenizer: str, end_id: int, capacity: int, doc_id: str, text: str
 ) -> DataFrame:
     """One row per piece; ``row`` numbers the pieces across tasks without gaps inside a task."""
-    rows = docs.select(
+    rows = bounded_batches(docs).select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
     )
 
@@ -70,6 +71,7 @@ def cut_pieces(
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "row"],
                 )
                 row += n
+        encoder.reset()
 
     return rows.mapInArrow(cut, PIECES)
 

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlane.llm.words import repeated_window_words, sums_by_text, text_chunks, word_codes
+from postlane.llm.words import bounded_batches, repeated_window_words, sums_by_text, text_chunks, word_codes
 from postlane.shared import settle
 
 MIN_WORDS = 20
@@ -50,7 +50,7 @@ MEASURED = (
 
 def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", stratum: str = "lang") -> DataFrame:
     """The counts that rules use, over whole texts."""
-    rows = docs.select(
+    rows = bounded_batches(docs).select(
         F.col(doc_id).cast("long").alias("doc_id"),
         F.col(text).cast("string").alias("text"),
         F.col(stratum).cast("string").alias("stratum"),

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlane.llm.components import components
-from postlane.llm.words import LOWER, text_chunks
+from postlane.llm.words import LOWER, bounded_batches, text_chunks
 from postlane.shared import settle
 
 BITS = 64
@@ -86,7 +86,7 @@ def fingerprints_of(texts: list[bytes]) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fp) per row; ``fp`` holds the 64 bits as a signed long."""
-    rows = docs.select(
+    rows = bounded_batches(docs).select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
     )
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from postlane.llm.files import one_task_each, open_new, open_old, unique_name, with_starts
 from postlane.llm.token_ids import TextEncoder
-from postlane.llm.words import ragged, release
+from postlane.llm.words import bounded_batches, ragged, release
 from postlane.shared import new_folder, settle
 
 BLOCK = 128
@@ -192,7 +192,7 @@ def write_token_files(
     Documents are dealt out by ranges of their ids (with a hash of the text, so that many rows
     of one id are split as well); ``part`` and ``file_no`` give the order of files.
     """
-    rows = docs.select(
+    rows = bounded_batches(docs).select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
     )
     salt = F.xxhash64("text")
@@ -238,6 +238,7 @@ def write_token_files(
                     held[:] = [np.concatenate(held)]
         if names:
             yield flush()
+        encoder.reset()
 
     return settle(rows.mapInArrow(write, FILES), "token-files")
 

@@ -71,7 +71,7 @@ class TextEncoder:
         return store[path]
 
     def reset(self) -> None:
-        self.codes.clear()
+        self.codes = {}
         self.codes[""] = 0
         self.flat = np.zeros(1 << 20, np.uint32)
         self.starts = np.zeros(1 << 18, np.int64)

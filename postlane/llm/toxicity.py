@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlane.llm.words import text_chunks, word_codes
+from postlane.llm.words import bounded_batches, text_chunks, word_codes
 from postlane.shared import settle
 
 MAX_LABELLED = 40_000
@@ -338,7 +338,7 @@ def train(
     max_labelled: int = MAX_LABELLED,
 ) -> Model:
     """Learn from the labelled texts that are not held out."""
-    docs = docs.select(
+    docs = bounded_batches(docs).select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
     )
     training = _training_rows(docs, labels, max_labelled)

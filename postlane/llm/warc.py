@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlane.llm.files import one_task_each, open_new, open_old, unique_name
+from postlane.llm.words import bounded_batches
 from postlane.shared import new_folder, settle
 
 VERSION = "WARC/1.1"
@@ -157,7 +158,7 @@ def write_warc(
     file_bytes: int = FILE_BYTES,
 ) -> DataFrame:
     """Write archives below ``folder`` and return the table of the files written."""
-    rows = pages.select(
+    rows = bounded_batches(pages).select(
         F.col(page_id).cast("long").alias("page_id"),
         F.col(url).cast("string").alias("url"),
         F.coalesce(F.col(payload).cast("string"), F.lit("")).cast("binary").alias("payload"),

@@ -10,8 +10,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 CHUNK_BYTES = 3_000_000
+BATCHES = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
+}
 
 # Upper case ASCII to lower case; ASCII that is neither a letter nor a digit becomes a space.
 ALNUM = bytes(
@@ -47,6 +52,13 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [value or b"" for value in column.cast(pa.large_binary()).to_pylist()]
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """Let Spark hand rows to Python in Arrow batches of a few megabytes, whatever their texts."""
+    for name, value in BATCHES.items():
+        df.sparkSession.conf.set(name, value)
+    return df
+
+
 def release() -> None:
     """Give freed memory back, as Python workers live on from task to task."""
     pa.default_memory_pool().release_unused()
