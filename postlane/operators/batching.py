@@ -26,16 +26,22 @@ def number_in_order(
     spans = df.groupBy(by).agg(
         F.min(order).alias("__first"),
         (F.max(order) - F.min(order) + 1 == F.count(F.lit(1))).alias("__whole"),
+        F.count_if(F.col(order).isNull() | F.col(by).isNull()).alias("__unplaced"),
     )
     spans = settle(spans, "spans")
-    kinds = {row["__whole"] for row in spans.select("__whole").distinct().collect()}
+    kinds = {
+        row["__whole"]: row["n"]
+        for row in spans.groupBy("__whole").agg(F.sum("__unplaced").alias("n")).collect()
+    }
+    if any(kinds.values()):
+        raise ValueError(f"{sum(kinds.values())} rows have no {by} or no {order}")
     parts = []
     if True in kinds:
         whole = spans.where("__whole").select(by, "__first")
         ordinal = F.col(order) - F.col("__first") + 1
         parts.append(df.join(whole, by).select(*df.columns, ordinal.alias("ordinal")))
-    if kinds != {True}:
-        holed = df if kinds != {True, False} else df.join(spans.where("NOT __whole"), by, "left_semi")
+    if set(kinds) != {True}:
+        holed = df if set(kinds) != {True, False} else df.join(spans.where("NOT __whole"), by, "left_semi")
         parts.append(number_by_buckets(holed, by, order, bucket_width))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 

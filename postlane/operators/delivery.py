@@ -6,8 +6,6 @@ source may hold most of them, so nothing here groups or sorts a message table by
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,10 +22,8 @@ REMOVE = "REMOVE_DELIVERED_MESSAGES_FROM_SOURCE_QUEUE"
 REDELIVER = "REDELIVER_UNSENT_BATCH"
 STATE_FIELDS = ("sequenceId", "messageIds", "lastKnownState")
 FIRST_SEQUENCE = 0
-RECOVERY_TRIES = 300
 
 # Up to so many messages with copies, their records are picked out of the others.
-FEW_COPIED = 50_000
 
 STATE_JSON = T.StructType(
     [
@@ -198,21 +194,6 @@ def recovery_ready(messages: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
-def wait_until_ready(
-    load: Callable[[], DataFrame],
-    plan: DataFrame,
-    tries: int = RECOVERY_TRIES,
-    pause_seconds: float = 1.0,
-) -> None:
-    """Look again until no source has to wait; give up after ``tries``."""
-    for attempt in range(tries + 1):
-        waiting = recovery_ready(load(), plan).where(F.col("decision") == "wait")
-        if waiting.isEmpty():
-            return
-        if attempt < tries:
-            time.sleep(pause_seconds)
-    _fail_if_any(waiting, "the unfinished batch never came back for")
-
 
 def planned_ids(plan: DataFrame, *actions: str) -> DataFrame:
     """The messages of unfinished batches, one row each; at most one batch per source."""
@@ -298,30 +279,12 @@ def merge_copies(records: DataFrame, order: tuple[str, ...] = ("arrival_seq",))
     return records.groupBy("source", own_key().alias("__key")).agg(kept).select("__kept.*")
 
 
-def dedupe(
-    records: DataFrame, order: tuple[str, ...] = ("arrival_seq",), few: int = FEW_COPIED
-) -> DataFrame:
+def dedupe(records: DataFrame, order: tuple[str, ...] = ("arrival_seq",)) -> DataFrame:
     """One record per message: the earliest copy. Records without an id are left apart.
 
-    A pass over the ids alone finds the messages that have copies. Without any the records stay
-    as they are, with ``few`` only those messages' records move, with more all records do.
+    There is one plan whatever the number of copies, and the records are evaluated once.
     """
-    keyed = records.withColumn("__key", own_key())
-    copied = (
-        keyed.groupBy("source", "__key")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .where(F.col("copies") > 1)
-        .select("source", "__key")
-    )
-    copied = settle(copied, "copied")
-    found = copied.limit(few + 1).count()
-    if found == 0:
-        return records
-    if found > few:
-        return merge_copies(records, order)
-    single = keyed.join(copied, ["source", "__key"], "left_anti").select(*records.columns)
-    several = keyed.join(copied, ["source", "__key"], "left_semi").select(*records.columns)
-    return single.unionByName(merge_copies(several, order))
+    return merge_copies(records, order)
 
 
 def first_failed_batch(records: DataFrame, failed: Column | None = None) -> DataFrame:

@@ -156,9 +156,9 @@ def error_report(
 
 
 def report_by(records: DataFrame, options: IngestOptions) -> DataFrame:
-    """``error_report`` as detailed as the options ask: reasons, classes, or with bodies."""
-    return error_report(
-        records,
-        include_messages=options.log_errors and options.log_messages,
-        by_class=options.log_errors,
-    )
+    """``error_report`` as detailed as the options ask: reasons, classes, or with bodies.
+
+    The log options count only where errors are tolerated.
+    """
+    logged = options.log_errors and options.tolerance == "all"
+    return error_report(records, include_messages=logged and options.log_messages, by_class=logged)

@@ -148,13 +148,12 @@ def value_json_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return built.select(
         "arrival_seq",
         "value_type",
-        F.col("value.idx").alias("idx"),
-        F.col("value.a").alias("a"),
-        F.col("value.b").alias("b"),
-        F.col("value.d").alias("d"),
-        F.array_join("value.f", "|").alias("f"),
-        F.col("value.h.innerstr").alias("innerstr"),
-        F.col("value.h.innernum").alias("innernum"),
+        F.col("value.order_key").alias("order_key"),
+        F.col("value.status").alias("status"),
+        F.col("value.even").alias("even"),
+        F.array_join("value.marks", "|").alias("marks"),
+        F.col("value.placed_by.priority").alias("priority"),
+        F.col("value.placed_by.customer").alias("customer"),
         F.col("value_error.class").alias("error"),
     )
 
@@ -163,7 +162,7 @@ def value_json_embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = values.build_json(
         fixtures.order_envelope_messages(spark, sf_dir), schemas_enable=True
     )
-    fields = {"idx": "bigint", "customer": "int", "status": "string", "priority": "string"}
+    fields = {"order_key": "bigint", "customer": "int", "status": "string", "priority": "string"}
     return built.select(
         "arrival_seq",
         "value_type",
@@ -540,12 +539,11 @@ def stream_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = fixtures.landed_events(spark, sf_dir)
     stream = envelopes.stream_messages(spark, landed)
-    timed = stream.withColumn("event_time", F.timestamp_millis("jms_timestamp"))
     copies = F.when(F.col("properties")[0]["text"] == "purchase", 3).otherwise(1)
-    doubled = timed.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
+    doubled = stream.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
     out = new_folder(spark, "deduped")
     query = (
-        dedupe_stream(doubled, "40 days")
+        dedupe_stream(doubled, "1 hour")
         .select(*POSITION, "message_id")
         .writeStream.format("parquet")
         .option("checkpointLocation", new_folder(spark, "checkpoint"))

@@ -13,17 +13,17 @@ from postlane.sources.messages import MessageSpec, Property, as_messages, queue_
 STATE_ID = 23
 
 ORDER_SCHEMA = """{"type":"struct","fields":[
-{"field":"idx","type":"int32"},{"field":"a","type":"string"},{"field":"b","type":"int64"},
-{"field":"d","type":"boolean"},{"field":"f","type":"array","items":{"type":"string"}},
-{"field":"h","type":"struct","fields":[
-{"field":"innerstr","type":"string"},{"field":"innernum","type":"int64"}]}]}"""
+{"field":"order_key","type":"int32"},{"field":"status","type":"string"},
+{"field":"even","type":"boolean"},{"field":"marks","type":"array","items":{"type":"string"}},
+{"field":"placed_by","type":"struct","fields":[
+{"field":"customer","type":"int64"},{"field":"priority","type":"string"}]}]}"""
 
 URGENT_SCHEMA = (
-    '{"type":"struct","fields":[{"field":"idx","type":"int64"},'
+    '{"type":"struct","fields":[{"field":"order_key","type":"int64"},'
     '{"field":"priority","type":"string"}]}'
 )
 PLAIN_SCHEMA = (
-    '{"type":"struct","fields":[{"field":"idx","type":"int64"},'
+    '{"type":"struct","fields":[{"field":"order_key","type":"int64"},'
     '{"field":"customer","type":"int32"},{"field":"status","type":"string","optional":true}]}'
 )
 
@@ -146,12 +146,12 @@ def _order_messages(spark: SparkSession, sf_dir: str, body) -> DataFrame:
 def order_json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as JSON; some lack a field, some carry a number as text."""
     body = F.expr(
-        """concat('{"idx":', CASE WHEN o_orderkey % 70 = 1
+        """concat('{"order_key":', CASE WHEN o_orderkey % 70 = 1
                   THEN concat('"', o_orderkey, '"') ELSE cast(o_orderkey AS string) END,
-        CASE WHEN o_orderkey % 50 = 0 THEN '' ELSE concat(',"a":"', o_orderstatus, '"') END,
-        ',"b":', o_custkey, ',"d":', CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END,
-        ',"f":["', o_orderstatus, '","', o_orderpriority, '"],"h":{"innerstr":"',
-        o_orderpriority, '","innernum":', o_custkey, '}}')"""
+        CASE WHEN o_orderkey % 50 = 0 THEN '' ELSE concat(',"status":"', o_orderstatus, '"') END,
+        ',"even":', CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END,
+        ',"marks":["', o_orderstatus, '","', o_orderpriority, '"],"placed_by":{"priority":"',
+        o_orderpriority, '","customer":', o_custkey, '}}')"""
     )
     return _order_messages(spark, sf_dir, body)
 
@@ -162,10 +162,10 @@ def order_envelope_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = F.when(urgent, URGENT_SCHEMA).otherwise(PLAIN_SCHEMA)
     payload = F.expr(
         """CASE WHEN o_orderpriority = '1-URGENT' THEN
-        concat('{"idx":', o_orderkey, ',"priority":"', o_orderpriority, '"}')
-        WHEN o_orderstatus = 'P' THEN concat('{"idx":', o_orderkey, ',"customer":', o_custkey, '}')
-        WHEN o_orderkey % 40 = 3 THEN concat('{"idx":', o_orderkey, ',"status":"late"}')
-        ELSE concat('{"idx":', o_orderkey, ',"customer":', o_custkey, ',"status":"',
+        concat('{"order_key":', o_orderkey, ',"priority":"', o_orderpriority, '"}')
+        WHEN o_orderstatus = 'P' THEN concat('{"order_key":', o_orderkey, ',"customer":', o_custkey, '}')
+        WHEN o_orderkey % 40 = 3 THEN concat('{"order_key":', o_orderkey, ',"status":"late"}')
+        ELSE concat('{"order_key":', o_orderkey, ',"customer":', o_custkey, ',"status":"',
                     o_orderstatus, '"}') END"""
     )
     complete = F.concat(

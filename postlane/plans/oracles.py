@@ -151,19 +151,19 @@ def all_oracles() -> dict[str, str]:
         "value_json_schema": """WITH judged AS (SELECT *,
               o_orderkey % 50 <> 0 AND o_orderkey % 70 <> 1 AS good FROM orders)
             SELECT o_orderkey AS arrival_seq, CASE WHEN good THEN 'STRUCT' END AS value_type,
-              CASE WHEN good THEN CAST(o_orderkey AS INTEGER) END AS idx,
-              CASE WHEN good THEN o_orderstatus END AS a, CASE WHEN good THEN o_custkey END AS b,
-              CASE WHEN good THEN o_orderkey % 2 = 0 END AS d,
-              CASE WHEN good THEN o_orderstatus || '|' || o_orderpriority END AS f,
-              CASE WHEN good THEN o_orderpriority END AS innerstr,
-              CASE WHEN good THEN o_custkey END AS innernum,
+              CASE WHEN good THEN CAST(o_orderkey AS INTEGER) END AS order_key,
+              CASE WHEN good THEN o_orderstatus END AS status,
+              CASE WHEN good THEN o_orderkey % 2 = 0 END AS even,
+              CASE WHEN good THEN o_orderstatus || '|' || o_orderpriority END AS marks,
+              CASE WHEN good THEN o_orderpriority END AS priority,
+              CASE WHEN good THEN o_custkey END AS customer,
               CASE WHEN NOT good THEN 'SchemaMismatch' END AS error FROM judged""",
         "value_json_embedded": """WITH kinds AS (SELECT *, o_orderpriority = '1-URGENT' AS urgent
               FROM orders),
             judged AS (SELECT *, o_orderkey % 30 <> 7
               AND (urgent OR o_orderstatus = 'P' OR o_orderkey % 40 <> 3) AS good FROM kinds)
             SELECT o_orderkey AS arrival_seq, CASE WHEN good THEN 'STRUCT' END AS value_type,
-              CASE WHEN good THEN o_orderkey END AS idx,
+              CASE WHEN good THEN o_orderkey END AS order_key,
               CASE WHEN good AND NOT urgent THEN CAST(o_custkey AS INTEGER) END AS customer,
               CASE WHEN good AND NOT urgent AND o_orderstatus <> 'P' THEN o_orderstatus END
                 AS status,

@@ -159,7 +159,9 @@ def peek(messages: DataFrame) -> DataFrame:
     whole messages.
     """
     heads = messages.groupBy("source").agg(F.min("arrival_seq").alias("arrival_seq"))
-    return messages.join(settle(heads, "heads"), ["source", "arrival_seq"], "left_semi")
+    heads = settle(heads, "heads").toDF("__source", "__seq")
+    same = F.col("source").eqNullSafe(F.col("__source")) & (F.col("arrival_seq") == F.col("__seq"))
+    return messages.join(heads, same, "left_semi")
 
 
 def holds_more_than_one(df: DataFrame, by: str = "source") -> DataFrame:

@@ -114,14 +114,16 @@ def run_ingest(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def dedupe_stream(records: DataFrame, delay: str, event_time: str = "event_time") -> DataFrame:
+def dedupe_stream(records: DataFrame, delay: str) -> DataFrame:
     """Drop copies that arrive within ``delay`` of the first, with bounded state.
 
-    Records without an id are never taken for copies of each other.
+    Time is that of arrival, so a message is never late, however old it is: each comes out once at
+    least, and a copy that arrives after ``delay`` may come out again. Records without an id are
+    never taken for copies of each other.
     """
     return (
-        records.withColumn("__key", own_key())
-        .withWatermark(event_time, delay)
+        records.withColumns({"__key": own_key(), "__arrived": F.current_timestamp()})
+        .withWatermark("__arrived", delay)
         .dropDuplicatesWithinWatermark(["source", "__key"])
-        .drop("__key")
+        .drop("__key", "__arrived")
     )

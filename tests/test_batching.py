@@ -200,3 +200,8 @@ def test_records_without_key_and_hot_keys_are_spread(spark, make):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert max(tasks.values()) < 20_000
+
+
+def test_rows_without_a_place_are_refused(make):
+    with pytest.raises(ValueError, match="no source"):
+        batch_by_count(make({"source": None}, {}), 10)

@@ -152,15 +152,6 @@ def test_head_check(make, states, offsets):
     assert ready(eight(make).where("false")) == "wait"
 
 
-def test_waiting_ends(make, states, offsets):
-    plan = delivery.recovery_plan(states((23, ids(3, 4), "IN_FLIGHT")), offsets())
-    looks = iter([eight(make), eight(make), eight(make).where("arrival_seq >= 3")])
-    delivery.wait_until_ready(lambda: next(looks), plan, tries=5, pause_seconds=0)
-    assert next(looks, None) is None
-    with pytest.raises(delivery.DeliveryStateError, match="never came back"):
-        delivery.wait_until_ready(lambda: eight(make), plan, tries=1, pause_seconds=0)
-
-
 def test_failed_batch_holds_back_everything_after_it(make):
     df = make(*[{"body_kind": "map" if n == 16 else "text", "body_text": "x"} for n in range(1, 31)])
     records = to_records(batch_by_count(df, 10), IngestOptions(topic="t", body_jms=True))
@@ -181,8 +172,7 @@ def test_audit(make, states, offsets):
     ]
 
 
-@pytest.mark.parametrize("few", [50_000, 0])
-def test_dedupe_keeps_the_earliest_and_all_without_id(make, few):
+def test_dedupe_keeps_the_earliest_and_all_without_id(make):
     df = make(
         {"message_id": "ID:a", "body_text": "first"},
         {"message_id": "ID:a", "body_text": "again"},
@@ -191,26 +181,25 @@ def test_dedupe_keeps_the_earliest_and_all_without_id(make, few):
         {"message_id": "ID:a", "source": "other"},
         {"message_id": "ID:b"},
     )
-    found = delivery.dedupe(df.unionByName(df.where("arrival_seq < 6")), few=few)
+    found = delivery.dedupe(df.unionByName(df.where("arrival_seq < 6")))
     rows = found.orderBy("arrival_seq").collect()
     assert [r.arrival_seq for r in rows] == [1, 3, 4, 5, 6]
     assert rows[0].body_text == "first"
     assert found.columns == df.columns
 
 
-@pytest.mark.parametrize("few", [50_000, 0])
-def test_dedupe_of_json_records(make, few):
+def test_dedupe_of_json_records(make):
     df = make({"body_text": '{"i":1}'}, {"body_text": "{"})
     options = IngestOptions(topic="t", builder="json", body_jms=True)
     records = to_records(df, options)
-    found = delivery.dedupe(records.unionByName(records), few=few).orderBy("arrival_seq")
+    found = delivery.dedupe(records.unionByName(records)).orderBy("arrival_seq")
     assert found.select(F.to_json("value_json").alias("j")).collect()[0].j == '{"i":1}'
     assert found.count() == 2
 
 
-def test_dedupe_without_copies_moves_nothing(make):
-    df = make({}, {}, {"message_id": None})
-    assert delivery.dedupe(df) is df
+def test_dedupe_takes_a_missing_source_as_one(make):
+    df = make({"message_id": "ID:a", "source": None}, {"message_id": "ID:a", "source": None}, {"message_id": "ID:b"})
+    assert [row.arrival_seq for row in delivery.dedupe(df).orderBy("arrival_seq").collect()] == [1, 3]
 
 
 def test_dedupe_merges_copies_before_the_shuffle(make):
@@ -224,10 +213,9 @@ def test_one_message_copied_very_often(spark):
         F.col("id").alias("arrival_seq"),
         F.when(F.col("id") % 3 == 0, "ID:hot").otherwise(F.col("id").cast("string")).alias("message_id"),
     )
-    for few in (50_000, 0):
-        found = delivery.dedupe(rows, few=few)
-        assert found.count() == 200_001
-        assert found.where("message_id = 'ID:hot'").first().arrival_seq == 0
+    found = delivery.dedupe(rows)
+    assert found.count() == 200_001
+    assert found.where("message_id = 'ID:hot'").first().arrival_seq == 0
 
 
 def test_peek_and_counts(make):
@@ -238,6 +226,7 @@ def test_peek_and_counts(make):
     assert more == {Q: True, "b": False}
     assert for_source(df, "b").count() == 1
     assert peek(df.where("false")).isEmpty()
+    assert peek(make({"source": None}, {"source": None}, {})).count() == 2
 
 
 def test_tables_are_replaced_as_a_whole(spark, states, tmp_path):

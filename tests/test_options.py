@@ -110,17 +110,17 @@ def test_schema_content_counts_only_when_enabled_and_not_blank():
 
 def test_schema_types():
     text = """{"type":"struct","fields":[
-      {"field":"idx","type":"int32"},{"field":"a","type":"string"},{"field":"b","type":"int64"},
+      {"field":"seat","type":"int32"},{"field":"a","type":"string"},{"field":"b","type":"int64"},
       {"field":"c","type":"double"},{"field":"d","type":"boolean"},{"field":"e","type":"float"},
       {"field":"f","type":"array","items":{"type":"string"}},
       {"field":"g","type":"array","items":{"type":"int32"}},
-      {"field":"h","type":"struct","fields":[{"field":"innerstr","type":"string"},
-        {"field":"innernum","type":"int64"}]},
+      {"field":"h","type":"struct","fields":[{"field":"note","type":"string"},
+        {"field":"amount","type":"int64"}]},
       {"field":"i","type":"map","keys":{"type":"string"},"values":{"type":"int16"}},
       {"field":"j","type":"bytes","optional":true},{"field":"k","type":"int8"}]}"""
     assert connect_schema(text) == T.StructType.fromDDL(
-        "idx int, a string, b bigint, c double, d boolean, e float, f array<string>, g array<int>,"
-        "h struct<innerstr: string, innernum: bigint>, i map<string, smallint>, j binary, k tinyint"
+        "seat int, a string, b bigint, c double, d boolean, e float, f array<string>, g array<int>,"
+        "h struct<note: string, amount: bigint>, i map<string, smallint>, j binary, k tinyint"
     )
     assert read_schema('{"type":"int32","optional":true}').optional
     with pytest.raises(SchemaError):

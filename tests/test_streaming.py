@@ -184,9 +184,7 @@ def test_stream_dedupe(spark, tmp_path, make):
     place.land(batch(make, 1, 20))
     place.land(batch(make, 11, 30))
     place.land(batch(make, 31, 33, message_id=None))
-    stream = stream_messages(spark, place.landing, max_files=1).withColumn(
-        "event_time", F.timestamp_millis("jms_timestamp")
-    )
+    stream = stream_messages(spark, place.landing, max_files=1)
     query = (
         ingest.dedupe_stream(stream, "1 hour")
         .writeStream.format("parquet")
@@ -198,6 +196,24 @@ def test_stream_dedupe(spark, tmp_path, make):
     assert place.written().count() == 33
 
 
+def test_stream_dedupe_keeps_old_messages(spark, tmp_path, make):
+    place = Place(spark, tmp_path)
+    march, january = 1_709_251_200_000, 1_704_067_200_000
+    place.land(make({"message_id": "a", "jms_timestamp": march}))
+    late = {"message_id": "b", "jms_timestamp": january}
+    place.land(make(late, {"message_id": "c", "jms_timestamp": march + 3_600_000}, late))
+    stream = stream_messages(spark, place.landing, max_files=1)
+    query = (
+        ingest.dedupe_stream(stream, "1 day")
+        .writeStream.format("parquet")
+        .option("checkpointLocation", place.checkpoint)
+        .trigger(availableNow=True)
+        .start(place.sink)
+    )
+    query.awaitTermination()
+    assert sorted(row.message_id for row in place.written().collect()) == ["a", "b", "c"]
+
+
 STATELESS = {
     "records": lambda df: to_records(df, ONCE).drop("value_json"),
     "routed": lambda df: route_by(to_records(df, ONCE), ONCE).drop("value_json"),
