@@ -71,7 +71,6 @@ def cut_pieces(
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "row"],
                 )
                 row += n
-        encoder.reset()
 
     return rows.mapInArrow(cut, PIECES)
 

@@ -238,7 +238,6 @@ def write_token_files(
                     held[:] = [np.concatenate(held)]
         if names:
             yield flush()
-        encoder.reset()
 
     return settle(rows.mapInArrow(write, FILES), "token-files")
 

@@ -15,7 +15,7 @@ import types
 import numpy as np
 import pyarrow as pa
 
-from postlane.llm.words import ragged, text_chunks, word_codes
+from postlane.llm.words import WORKER_STORE, ragged, text_chunks, word_codes
 
 # Bound of the words one Python worker remembers.
 CACHE_WORDS = 350_000
@@ -24,12 +24,11 @@ _PLAIN = re.compile(r"([A-Za-zß-öø-ÿÀ-ÖØ-Þ]+)([.,]?)")
 
 def _worker_store() -> dict:
     """A store that outlives a task: functions arrive anew with every task, modules stay."""
-    name = "postlane_llm_worker_store"
-    if name not in sys.modules:
-        module = types.ModuleType(name)
+    if WORKER_STORE not in sys.modules:
+        module = types.ModuleType(WORKER_STORE)
         module.values = {}
-        sys.modules[name] = module
-    return sys.modules[name].values
+        sys.modules[WORKER_STORE] = module
+    return sys.modules[WORKER_STORE].values
 
 
 def _byte_letters() -> list[str]:
@@ -124,5 +123,5 @@ class TextEncoder:
 
     def batches(self, column: pa.Array, limit: int = 2_000_000):
         """``(slice, ids, starts)`` of runs of rows, so that memory stays bounded."""
-        for part, texts in text_chunks(column, limit):
+        for part, texts in text_chunks(column, limit, keep_store=True):
             yield (part, *self.encode(texts))

@@ -13,6 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 CHUNK_BYTES = 3_000_000
+WORKER_STORE = "postlane_llm_worker_store"
 BATCHES = {
     "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
@@ -66,8 +67,15 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[slice, list[bytes]]]:
-    """Runs of rows of about ``limit`` bytes with their texts; only one run is held at a time."""
+def text_chunks(
+    column: pa.Array, limit: int = CHUNK_BYTES, keep_store: bool = False
+) -> Iterator[tuple[slice, list[bytes]]]:
+    """Runs of rows of about ``limit`` bytes with their texts; only one run is held at a time.
+
+    What a worker remembers from task to task goes, unless the caller is who needs it.
+    """
+    if not keep_store:
+        sys.modules.pop(WORKER_STORE, None)
     sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
     begin = size = 0
     for at, more in enumerate(sizes):
