@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlane.llm.files import open_new, open_old, unique_name
-from postlane.llm.words import ALNUM, bounded_batches, ragged, text_chunks, word_codes
+from postlane.llm.words import ALNUM, bounded_batches, ragged, release, text_chunks, word_codes
 from postlane.shared import new_folder, settle
 
 WINDOW = 10
@@ -232,6 +232,7 @@ def search_index(index: DataFrame, block_paths: list[str], slop: int = SLOP) ->
                         "n_near_items": pa.array([len(found) for found in nearly], pa.int64()),
                     }
                 )
+        release()
 
     return index.mapInArrow(search, HITS)
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlane.llm.token_ids import TextEncoder
-from postlane.llm.words import bounded_batches
+from postlane.llm.words import bounded_batches, release
 from postlane.shared import settle
 
 PIECES_PER_SHARD = 16_384
@@ -148,6 +148,7 @@ def pack_pieces(
                 sequence[place], offset[place] = number, at
                 at += lengths[place]
         shard = table["shard"][0].as_py() if len(table) else 0
+        release()
         return (
             table.select(["doc_id", "piece", "start", "length", "ids_crc32"])
             .append_column("sequence_id", pa.array(sequence + (shard << 32)))

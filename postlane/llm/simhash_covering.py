@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlane.llm.components import components
-from postlane.llm.words import LOWER, bounded_batches, text_chunks
+from postlane.llm.words import LOWER, bounded_batches, release, text_chunks
 from postlane.shared import settle
 
 BITS = 64
@@ -122,6 +122,7 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(np.concatenate([none, *left])), pa.array(np.concatenate([none, *right]))],
             names=["a", "b"],
         )
+    release()
 
 
 def links(classes: DataFrame, small: int = SMALL_BUCKET) -> DataFrame:

@@ -7,7 +7,6 @@ that never join characters across white space; ``TextEncoder`` refuses others.
 
 from __future__ import annotations
 
-import json
 import re
 import sys
 import types
@@ -15,7 +14,7 @@ import types
 import numpy as np
 import pyarrow as pa
 
-from postlane.llm.words import WORKER_STORE, ragged, text_chunks, word_codes
+from postlane.llm.words import WORKER_STORE, ragged, release, text_chunks, word_codes
 
 # Bound of the words one Python worker remembers.
 CACHE_WORDS = 350_000
@@ -50,9 +49,8 @@ class TextEncoder:
 
         self.path = path
         self.tokenizer = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as file:
-            rules = json.load(file)
-        steps = json.dumps([rules["normalizer"], rules["pre_tokenizer"]])
+        parts = (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)
+        steps = " ".join(part.__getstate__().decode() for part in parts if part is not None)
         if '"Split"' not in steps or "\\\\s\\\\p{L}" not in steps:
             raise ValueError(f"{path}: white space must separate tokens")
         self.lower = '"Lowercase"' in steps
@@ -60,6 +58,7 @@ class TextEncoder:
         self.letters = _byte_letters()
         self.codes: dict[str, int] = {}
         self.reset()
+        release()
 
     @classmethod
     def of(cls, path: str) -> TextEncoder:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 CHUNK_BYTES = 3_000_000
 WORKER_STORE = "postlane_llm_worker_store"
 BATCHES = {
-    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
 }
 
