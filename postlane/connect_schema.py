@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import base64
+import binascii
 import json
+import math
+import struct as packing
 from dataclasses import dataclass
 from typing import Any
 
@@ -72,13 +76,13 @@ def _node(spec: Any) -> Node:
         return Node(SCALARS[kind], kind, optional, default)
     if kind == "array":
         item = _node(spec.get("items"))
-        return Node(T.ArrayType(item.type), kind, optional, None, (), item)
+        return Node(T.ArrayType(item.type), kind, optional, default, (), item)
     if kind == "map":
         keys = _node(spec.get("keys"))
         if keys.kind != "string":
             raise SchemaError("only maps with string keys can be read from a JSON object")
         item = _node(spec.get("values"))
-        return Node(T.MapType(keys.type, item.type), kind, optional, None, (), item)
+        return Node(T.MapType(keys.type, item.type), kind, optional, default, (), item)
     if kind == "struct":
         listed = spec.get("fields")
         if not isinstance(listed, list):
@@ -92,7 +96,7 @@ def _node(spec: Any) -> Node:
         if len({name for name, _ in fields}) < len(fields):
             raise SchemaError("a struct schema names a field twice")
         struct = T.StructType([T.StructField(name, node.type) for name, node in fields])
-        return Node(struct, kind, optional, None, tuple(fields))
+        return Node(struct, kind, optional, default, tuple(fields))
     raise SchemaError(f"unknown schema type: {kind}")
 
 
@@ -114,48 +118,70 @@ def fill_defaults(value: Column, node: Node) -> Column:
     """Put the schema's default where a value is missing."""
     if not node.has_default():
         return value
+    if node.kind not in ("struct", "array", "map"):
+        return F.coalesce(value, F.lit(node.default).cast(node.type))
+    if node.default is not None:
+        value = F.coalesce(value, F.from_json(F.lit(json.dumps(node.default)), node.type))
     if node.kind == "struct":
         filled = F.struct(*[fill_defaults(value[name], child).alias(name) for name, child in node.fields])
         return F.when(value.isNotNull(), filled)
     if node.kind == "array":
         return F.transform(value, lambda entry: fill_defaults(entry, node.item))
-    if node.kind == "map":
-        return F.transform_values(value, lambda _, entry: fill_defaults(entry, node.item))
-    return F.coalesce(value, F.lit(node.default).cast(node.type))
+    return F.transform_values(value, lambda _, entry: fill_defaults(entry, node.item))
 
 
-def conform(value: Any, node: Node) -> Any:
-    """The same check on one parsed JSON value, for schemas met only at run time.
+def conform(value: Any, node: Node) -> str:
+    """JSON text of one parsed value of a schema met at run time, or a SchemaError.
 
-    Returns the value with defaults filled in, or raises SchemaError.
+    Defaults are filled in. Numbers of kind float are rounded to 32 bits, and they and those of
+    kind double are written with an exponent, which VARIANT reads as a double. Bytes are checked and
+    stay base64 text. Numbers that are not finite do not fit.
     """
     if value is None:
         if node.default is not None:
-            return node.default
+            return conform(node.default, node)
         if node.optional:
-            return None
+            return "null"
         raise SchemaError(f"null for a required {node.kind}")
+    wanted = {"struct": dict, "map": dict, "array": list, "boolean": bool}.get(node.kind)
+    if wanted is not None and not isinstance(value, wanted):
+        raise SchemaError(f"{value!r} is not {node.kind}")
     if node.kind == "struct":
-        if not isinstance(value, dict):
-            raise SchemaError("expected an object")
-        return {name: conform(value.get(name), child) for name, child in node.fields}
-    if node.kind == "array":
-        if not isinstance(value, list):
-            raise SchemaError("expected an array")
-        return [conform(entry, node.item) for entry in value]
+        return _object((name, conform(value.get(name), child)) for name, child in node.fields)
     if node.kind == "map":
-        if not isinstance(value, dict):
-            raise SchemaError("expected an object")
-        return {key: conform(entry, node.item) for key, entry in value.items()}
-    if node.kind == "boolean":
-        accepted = isinstance(value, bool)
-    elif node.kind.startswith("int"):
+        return _object((key, conform(entry, node.item)) for key, entry in value.items())
+    if node.kind == "array":
+        return "[" + ",".join(conform(entry, node.item) for entry in value) + "]"
+    if node.kind.startswith("int"):
         bits = int(node.kind[3:])
-        accepted = type(value) is int and -(1 << bits - 1) <= value < 1 << bits - 1
+        if type(value) is not int or not -(1 << bits - 1) <= value < 1 << bits - 1:
+            raise SchemaError(f"{value!r} is not {node.kind}")
     elif node.kind in ("float", "double"):
-        accepted = type(value) in (int, float)
-    else:
-        return value if isinstance(value, str) else json.dumps(value, separators=(",", ":"))
-    if not accepted:
-        raise SchemaError(f"{value!r} is not {node.kind}")
-    return float(value) if node.kind in ("float", "double") else value
+        return _real(value, node.kind)
+    elif node.kind == "bytes":
+        try:
+            base64.b64decode(value, validate=True)
+        except (TypeError, ValueError, binascii.Error) as problem:
+            raise SchemaError(f"{value!r} is not base64") from problem
+    elif node.kind == "string" and not isinstance(value, str):
+        value = json.dumps(value, separators=(",", ":"), ensure_ascii=False)
+    return json.dumps(value)
+
+
+def _object(fields) -> str:
+    return "{" + ",".join(f"{json.dumps(name)}:{text}" for name, text in fields) + "}"
+
+
+def _real(value: Any, kind: str) -> str:
+    if type(value) not in (int, float):
+        raise SchemaError(f"{value!r} is not {kind}")
+    try:
+        number = float(value)
+        if kind == "float":
+            number = packing.unpack("<f", packing.pack("<f", number))[0]
+    except OverflowError as problem:
+        raise SchemaError(f"{value!r} is too large for {kind}") from problem
+    if not math.isfinite(number):
+        raise SchemaError(f"{value!r} is not finite")
+    text = repr(number)
+    return text if "e" in text else f"{text}e0"

@@ -7,7 +7,7 @@ builders add ``value_json`` (VARIANT) or ``value`` (STRUCT).
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,7 +33,6 @@ from postlane.options import IngestOptions, OptionError
 CORRUPT = "__corrupt"
 PARSED = "__parsed"
 ENVELOPE = "__envelope"
-MAX_TYPED_SCHEMAS = 64
 
 
 def _no_text() -> Column:
@@ -127,19 +126,16 @@ def build_json(
     messages: DataFrame,
     schema: str | None = None,
     schemas_enable: bool = False,
-    schemas: Sequence[str] | None = None,
-    max_typed_schemas: int = MAX_TYPED_SCHEMAS,
 ) -> DataFrame:
     """The body parsed as JSON.
 
     Without a schema the value is a VARIANT. ``schema`` fixes one schema for all messages and
-    gives a typed column. ``schemas_enable`` alone expects a schema inside each message;
-    ``schemas`` may name those texts to spare the pass that looks for them.
+    gives a typed column. ``schemas_enable`` alone expects a schema inside each message.
     """
     if schema is not None and schema.strip():
         return _build_json_fixed(messages, read_schema(schema))
     if schemas_enable:
-        return _build_json_embedded(messages, schemas, max_typed_schemas)
+        return _build_json_embedded(messages)
     parsed = messages.withColumn(PARSED, F.try_parse_json(body_as_text()))
     value = F.col(PARSED)
     present = value.isNotNull() & ~F.is_variant_null(value)
@@ -203,34 +199,14 @@ def _open_envelope(body: Column) -> Column:
     return F.from_json(body, ENVELOPE_PARTS, {"columnNameOfCorruptRecord": CORRUPT})
 
 
-def embedded_schema_texts(messages: DataFrame, limit: int) -> list[str]:
-    """Up to ``limit`` of the schema texts the messages carry, in text order."""
-    texts = (
-        messages.select(_open_envelope(body_as_text())["schema"].alias("text"))
-        .groupBy("text")
-        .agg(F.count(F.lit(1)))
-        .where(F.col("text").isNotNull())
-        .select("text")
-        .orderBy("text")
-        .limit(limit)
-    )
-    return [row["text"] for row in texts.collect()]
-
-
-def _build_json_embedded(
-    messages: DataFrame, schemas: Sequence[str] | None, max_typed_schemas: int
-) -> DataFrame:
+def _build_json_embedded(messages: DataFrame) -> DataFrame:
     """Values typed by the schema each message carries.
 
-    The first ``max_typed_schemas`` schemas get a typed parse inside the JVM. Any further ones
-    are checked in Arrow batches, so no number of schemas is too many.
+    Schemas are met only while reading, so bodies are checked in Arrow batches: one way for any
+    number of schemas, and no pass that looks for them.
     """
-    known = None if schemas is None else list(schemas)
-    if known is None:
-        known = embedded_schema_texts(messages, max_typed_schemas + 1)
-    typed, has_more = known[:max_typed_schemas], schemas is not None or len(known) > max_typed_schemas
     body = body_as_text()
-    envelope, schema = F.col(ENVELOPE), F.col("value_schema")
+    envelope = F.col(ENVELOPE)
     keys = F.json_object_keys(body)
     complete = (
         envelope[CORRUPT].isNull()
@@ -241,42 +217,24 @@ def _build_json_embedded(
     opened = messages.withColumn(ENVELOPE, _open_envelope(body)).withColumn(
         "value_schema", F.when(complete, envelope["schema"])
     )
-    # Parsed once per schema in a projection of its own, then judged in the next.
-    nodes = {text: _node_or_none(text) for text in typed}
-    parses = {
-        f"__parsed_{at}": F.when(schema == text, _parse_envelope(body, node))
-        for at, (text, node) in enumerate(nodes.items())
-        if node is not None
-    }
-    if has_more:
-        others = F.when(~schema.isin(*typed) if typed else F.lit(True), body)
-        parses["__checked"] = _check_envelope(schema, others)
-    parsed = opened.withColumns(parses) if parses else opened
-    outcome = F.when(F.lit(False), F.lit(None).cast("struct<fits boolean, payload variant>"))
-    for at, (text, node) in enumerate(nodes.items()):
-        if node is not None:
-            outcome = outcome.when(schema == text, _judge_payload(F.col(f"__parsed_{at}"), node))
-    if has_more:
-        checked = F.col("__checked")
-        payload = F.try_parse_json(checked["payload"])
-        outcome = outcome.otherwise(
-            F.struct(checked["fits"].alias("fits"), payload.alias("payload"))
-        )
-    judged = parsed.withColumn(PARSED, outcome)
-    found = F.col(PARSED)
+    checked = opened.withColumn(
+        "__checked", _check_envelope("value_schema", F.when(F.col("value_schema").isNotNull(), body))
+    )
+    parsed = checked.withColumn(PARSED, F.try_parse_json(F.col("__checked")["payload"]))
+    fits = F.col("__checked")["fits"] & F.col(PARSED).isNotNull()
     # Only bodies that did not open as an envelope need the question whether they are JSON.
     readable = (envelope.isNotNull() & envelope[CORRUPT].isNull()) | F.try_parse_json(
         body
     ).isNotNull()
-    error = _structured_error(readable, ~F.coalesce(found["fits"], F.lit(False)))
-    judged = judged.withColumn("value_error", error)
+    error = _structured_error(readable, ~F.coalesce(fits, F.lit(False)))
+    judged = parsed.withColumn("value_error", error)
     good = F.col("value_error").isNull() & ~_is_tombstone()
     return _with_value(
         judged,
         F.when(good, "STRUCT"),
-        value_json=F.when(good, found["payload"]),
+        value_json=F.when(good, F.col(PARSED)),
         error=F.col("value_error"),
-    ).drop(PARSED, ENVELOPE, *parses)
+    ).drop(PARSED, ENVELOPE, "__checked")
 
 
 def _node_or_none(schema_text: str) -> Node | None:
@@ -286,24 +244,6 @@ def _node_or_none(schema_text: str) -> Node | None:
         return None
 
 
-def _parse_envelope(body: Column, node: Node) -> Column:
-    """Parse the payload by its schema; the schema itself must be an object."""
-    is_object = T.StructField("schema", T.StructType([T.StructField("type", T.StringType())]))
-    shape = T.StructType([is_object, *_wrapper(node).fields])
-    return F.from_json(body, shape, {"columnNameOfCorruptRecord": CORRUPT})
-
-
-def _judge_payload(parsed: Column, node: Node) -> Column:
-    value = parsed["payload"]
-    fits = parsed[CORRUPT].isNull() & ~breaks_schema(value, node)
-    filled = fill_defaults(value, node)
-    if node.kind in ("struct", "array", "map"):
-        as_variant = F.to_variant_object(filled)
-    else:
-        as_variant = filled.cast("variant")
-    return F.struct(fits.alias("fits"), as_variant.alias("payload"))
-
-
 @F.pandas_udf(CHECKED)
 def _check_envelope(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     known: dict[str, Node | None] = {}
@@ -318,8 +258,8 @@ def _check_envelope(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[
             envelope = json.loads(body)
             if node is None or not isinstance(envelope["schema"], dict):
                 return False, None
-            return True, json.dumps(conform(envelope["payload"], node))
-        except (SchemaError, ValueError):
+            return True, conform(envelope["payload"], node)
+        except (SchemaError, ValueError, RecursionError):
             return False, None
 
     for schema_texts, bodies in batches:

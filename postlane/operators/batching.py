@@ -105,8 +105,10 @@ def partition_by_key(
     """Add ``topic_partition`` and lay records out by it, in arrival order.
 
     Equal keys share a topic partition; records without a key are spread. A topic partition is
-    laid out in chunks of consecutive arrival numbers, each whole and ordered in one task, so a
-    partition made large by one frequent key becomes many chunks instead of one large task.
+    laid out in chunks of consecutive arrival numbers of a source, each whole and ordered in one task, so a
+    partition made large by one frequent key becomes many chunks instead of one large task, and so
+    do many sources whose numbers all begin near 0. Order holds inside a chunk, and by ``arrival_seq``
+    on reading.
     """
     if partitions < 1:
         raise ValueError("a topic has at least one partition")
@@ -117,6 +119,6 @@ def partition_by_key(
     chunk = F.expr(f"arrival_seq div {chunk_width}")
     return (
         records.withColumn("topic_partition", F.pmod(place, F.lit(partitions)).cast("int"))
-        .repartition("topic_partition", chunk)
+        .repartition("topic_partition", "source", chunk)
         .sortWithinPartitions("topic_partition", "arrival_seq", "source")
     )

@@ -174,6 +174,17 @@ def value_json_embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def value_json_many_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    built = values.build_json(fixtures.order_version_messages(spark, sf_dir), schemas_enable=True)
+    fields = {"order_key": "bigint", "total": "double", "version": "int"}
+    return built.select(
+        "arrival_seq",
+        "value_type",
+        *[F.try_variant_get("value_json", f"$.{name}", kind).alias(name) for name, kind in fields.items()],
+        F.col("value_error.class").alias("error"),
+    )
+
+
 def value_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = values.build_xml(
         fixtures.order_xml_messages(spark, sf_dir),
@@ -583,6 +594,7 @@ def all_queries() -> dict[str, Query]:
         "value_json": value_json,
         "value_json_schema": value_json_schema,
         "value_json_embedded": value_json_embedded,
+        "value_json_many_schemas": value_json_many_schemas,
         "value_xml": value_xml,
         "value_custom": value_custom,
         "headers_typed": headers_typed,

@@ -177,6 +177,21 @@ def order_envelope_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_version_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as JSON that carries its schema, one of 150 by customer."""
+    version = F.expr("o_custkey % 150").cast("string")
+    schema = F.concat(
+        F.lit('{"type":"struct","fields":[{"field":"order_key","type":"int64"},{"field":"total","type":"double"},'
+              '{"field":"version","type":"int32","default":'),
+        version,
+        F.lit("}]}"),
+    )
+    payload = F.expr("""concat('{"order_key":', CASE WHEN o_orderkey % 25 = 4 THEN 'true' ELSE CAST(o_orderkey AS STRING) END,
+        ',"total":', o_orderkey % 8, '.5}')""")
+    body = F.concat(F.lit('{"schema":'), schema, F.lit(',"payload":'), payload, F.lit("}"))
+    return _order_messages(spark, sf_dir, body)
+
+
 def order_xml_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as XML; some lack the closing tag, some have another root element."""
     body = F.expr(

@@ -169,6 +169,12 @@ def all_oracles() -> dict[str, str]:
                 AS status,
               CASE WHEN good AND urgent THEN o_orderpriority END AS priority,
               CASE WHEN NOT good THEN 'SchemaMismatch' END AS error FROM judged""",
+        "value_json_many_schemas": """WITH judged AS (SELECT *, o_orderkey % 25 <> 4 AS good FROM orders)
+            SELECT o_orderkey AS arrival_seq, CASE WHEN good THEN 'STRUCT' END AS value_type,
+              CASE WHEN good THEN o_orderkey END AS order_key,
+              CASE WHEN good THEN CAST(o_orderkey % 8 AS DOUBLE) + 0.5 END AS total,
+              CASE WHEN good THEN CAST(o_custkey % 150 AS INTEGER) END AS version,
+              CASE WHEN NOT good THEN 'SchemaMismatch' END AS error FROM judged""",
         "value_xml": """WITH judged AS (SELECT *, o_orderkey % 60 = 0 AS cut,
               o_orderkey % 45 = 4 AS other_root FROM orders)
             SELECT o_orderkey AS arrival_seq,

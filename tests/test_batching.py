@@ -184,6 +184,22 @@ def test_equal_keys_share_a_partition_in_order(make):
     assert all(len(tasks) == 1 for tasks in chunks.values())
 
 
+def test_many_sources_with_one_key_are_spread(spark):
+    rows = spark.range(20_000).select(
+        F.concat(F.lit("q"), (F.col("id") % 4_000).cast("string")).alias("source"),
+        F.expr("id div 4000").alias("arrival_seq"),
+        F.lit("hot").alias("key_text"),
+        F.lit(None).cast("binary").alias("key_bytes"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        laid = partition_by_key(rows, 8).select(F.spark_partition_id().alias("t"))
+        tasks = Counter(r.t for r in laid.collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(tasks) > 2 and max(tasks.values()) < 20_000 * 2 / len(tasks)
+
+
 def test_records_without_key_and_hot_keys_are_spread(spark, make):
     rows = spark.range(40_000).select(
         F.lit("q").alias("source"),
