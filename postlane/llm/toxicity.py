@@ -127,11 +127,16 @@ def _runs(starts: np.ndarray) -> np.ndarray:
 
 
 def _over_runs(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Sum over the letters of the run that begins at each letter, inside its string."""
-    total = np.concatenate(([0.0], np.cumsum(values)))
-    ends = np.repeat(starts[1:], np.diff(starts))
-    at = np.arange(len(values))
-    return total[np.minimum(at + STARTS, ends)] - total[at]
+    """Sum over the letters of the run that begins at each letter, inside its string.
+
+    Added up letter by letter, so that a string's sum does not depend on the strings beside it.
+    """
+    room = np.repeat(starts[1:], np.diff(starts)) - np.arange(len(values))
+    padded = np.concatenate((values, np.zeros(STARTS)))
+    total = np.zeros(len(values))
+    for step in range(STARTS):
+        total += np.where(step < room, padded[step : step + len(values)], 0.0)
+    return total
 
 
 def unit_values(units: list[str], weights: np.ndarray) -> np.ndarray:
@@ -381,7 +386,7 @@ def train(
         weights = train_weights(positives, importance, negatives)
     value = values_of(weights)
     counts = learnt.select((F.col("toxic") > 0).cast("int").alias("toxic"), F.round(value("text"), 2).alias("value"))
-    rows = counts.groupBy("toxic", "value").count().collect()
+    rows = counts.groupBy("toxic", "value").count().orderBy("toxic", "value").collect()
     slope, shift = fit_curve(
         np.array([row.value for row in rows]),
         np.array([row.toxic for row in rows]),
@@ -405,7 +410,9 @@ def _witness(weights: np.ndarray):
             for _, texts in text_chunks(batch.column(0)):
                 units, held = text_strings(texts)
                 values = unit_values(units, weights)
-                best += [units[own[values[own].argmax()]] for own in held if len(own)]
+                for own in held:  # of equal values the first string, in whatever batch it stands
+                    most = values[own].max() if len(own) else LOWEST
+                    best += [min(units[at] for at in own[values[own] == most])] if len(own) else []
             yield pa.RecordBatch.from_pydict({"unit": pa.array([unit for unit in best if unit], pa.string())})
 
     return find

@@ -244,6 +244,22 @@ def test_binomial_bound():
         assert quality_thresholds.binomial_cdf(k, n, p) == pytest.approx(plain)
 
 
+def test_toxicity_does_not_depend_on_batches(spark):
+    rng = np.random.default_rng(2)
+    plain = ["".join(rng.choice(list("aeiounrstlh"), rng.integers(3, 9))) for _ in range(300)]
+    rows = [(at, " ".join(rng.choice(plain, 12)) + (" you grobnik" if at % 3 else "")) for at in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(at, int(at % 3 > 0)) for at in range(300)], "doc_id long, toxic int")
+    scores = [
+        {row.doc_id: row.score for row in toxicity.toxicity(docs.repartition(parts), known).collect()}
+        for parts in (1, 7)
+    ]
+    assert scores[0] == scores[1]
+    weights = rng.normal(size=toxicity.LETTERS**3)
+    alone = [float(toxicity.unit_values([word], weights)[0]) for word in plain]
+    assert toxicity.unit_values(plain, weights).tolist() == alone
+
+
 def test_toxicity_learns_and_bears_gaps(spark):
     rng = np.random.default_rng(1)
     plain = ["".join(rng.choice(list("aeiounrstlh"), rng.integers(3, 9))) for _ in range(400)]
