@@ -307,6 +307,24 @@ def test_passages(spark):
     assert left[2].split() == texts[2][:5] + texts[2][75:]
 
 
+def spans(docs):
+    return {tuple(r)[:6] for r in passages.repeated_passages(docs).collect()}
+
+
+def test_unlike_gaps_split_chains(spark):
+    own = lambda name, n: [f"{name}{i}" for i in range(n)]
+    whole, head, foot = own("w", 120), own("h", 55), own("f", 55)
+    texts = [whole, whole[:60] + own("x", 45) + whole[60:], head + own("y", 40) + foot, head + own("z", 40) + foot]
+    sparse = own("s", 55) + [f"s{55 + i}" if i % 14 < 6 else f"u{i}" for i in range(104)]
+    texts += [own("s", 159), sparse]
+    table = spark.createDataFrame([(i, " ".join(text)) for i, text in enumerate(texts)], "doc_id long, text string")
+    found = spans(table)
+    assert {row for row in found if row[0] < 5} == {
+        (1, 0, 60, 0, 0, 60), (1, 105, 165, 0, 60, 120), (3, 0, 55, 2, 0, 55), (3, 95, 150, 2, 95, 150),
+    }
+    assert any(row[0] == 5 and row[1] == 0 and 55 <= row[2] <= 75 for row in found)
+
+
 def test_chains_follow_both_orders():
     chains = passages.chain_runs(np.array([0, 20, 40, 10]), np.array([0, 22, 43, 500]), np.array([10, 10, 10, 10]))
     assert [0, 1, 2] in chains and [3] in chains
