@@ -325,6 +325,19 @@ def test_unlike_gaps_split_chains(spark):
     assert any(row[0] == 5 and row[1] == 0 and 55 <= row[2] <= 75 for row in found)
 
 
+def test_passages_of_stock_lines(spark):
+    own = lambda name, n: [f"{name}{i}" for i in range(n)]
+    lines = [own(f"line{k}x", 10) for k in range(6)]
+    texts = {}
+    for k, often in enumerate((1, 3, 10, 40, 2, 20)):
+        for i in range(often):
+            texts[1000 * k + i] = own(f"p{k}x{i}x", 20) + lines[k] + own(f"q{k}x{i}x", 20)
+    same = sum(lines, [])
+    texts[10_000], texts[10_001] = own("a", 30) + same + own("b", 30), own("c", 40) + same + own("d", 40)
+    table = spark.createDataFrame([(i, " ".join(text)) for i, text in texts.items()], "doc_id long, text string")
+    assert spans(table) == {(10_001, 40, 100, 10_000, 30, 90)}
+
+
 def test_chains_follow_both_orders():
     chains = passages.chain_runs(np.array([0, 20, 40, 10]), np.array([0, 22, 43, 500]), np.array([10, 10, 10, 10]))
     assert [0, 1, 2] in chains and [3] in chains
