@@ -338,6 +338,18 @@ def test_passages_of_stock_lines(spark):
     assert spans(table) == {(10_001, 40, 100, 10_000, 30, 90)}
 
 
+def test_rounds_go_on_without_a_passage(spark):
+    words = [f"w{i}" for i in range(80)]
+    piece = lambda a: words[a : a + 20]
+    gap = lambda name: [f"{name}{i}" for i in range(70)]
+    # Bits of the passage in two orders take its longer keys too, so only a later round can find it.
+    first = sum((words[a : a + 31] + gap(f"g{a}x") for a in (49, 35, 21, 7, 0, 14, 28, 42)), [])
+    shuffled = piece(60) + piece(20) + piece(0) + piece(40)
+    rows = [(1, first), (2, shuffled), (3, words), (4, gap("z") + words)]
+    table = spark.createDataFrame([(i, " ".join(text)) for i, text in rows], "doc_id long, text string")
+    assert (4, 70, 150, 3, 0, 80) in spans(table)
+
+
 def test_chains_follow_both_orders():
     chains = passages.chain_runs(np.array([0, 20, 40, 10]), np.array([0, 22, 43, 500]), np.array([10, 10, 10, 10]))
     assert [0, 1, 2] in chains and [3] in chains
