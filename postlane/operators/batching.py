@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlane.options import DEFAULT_BATCH_SIZE
@@ -10,6 +10,9 @@ from postlane.shared import settle
 
 BUCKET_WIDTH = 100_000
 BUCKETS_PER_BLOCK = 1_000
+# A source may always have so many buckets; beyond that, so many rows are expected in each.
+BUCKETS_FREELY = 1_000
+ROWS_PER_BUCKET = 64
 
 
 def number_in_order(
@@ -18,32 +21,88 @@ def number_in_order(
     order: str = "arrival_seq",
     bucket_width: int = BUCKET_WIDTH,
 ) -> DataFrame:
-    """Add ``ordinal``: 1, 2, 3 … per ``by`` in the order of ``order``, which is unique within it.
+    """Add ``ordinal``: 1, 2, 3 … per ``by`` in the order of ``order``.
 
-    One pass over the two columns first finds where the numbers of ``order`` have no holes. There
-    the ordinal is a subtraction and no row moves; only the rest is shuffled, by buckets.
+    Equal numbers are told apart by ``message_id`` where there is one, and every row gets an ordinal of its
+    own all the same. One pass over two columns counts the rows of buckets of consecutive numbers, and these counts
+    say how each ``by`` is numbered: where all numbers from the first to the last are there once, the
+    ordinal is a subtraction and no row moves; where buckets hold a fair number of rows, rows are
+    numbered inside them; where they do not, because numbers lie far apart or one is repeated very
+    often, inside ranges of about equally many rows.
     """
-    spans = df.groupBy(by).agg(
-        F.min(order).alias("__first"),
-        (F.max(order) - F.min(order) + 1 == F.count(F.lit(1))).alias("__whole"),
-        F.count_if(F.col(order).isNull() | F.col(by).isNull()).alias("__unplaced"),
-    )
-    spans = settle(spans, "spans")
-    kinds = {
-        row["__whole"]: row["n"]
-        for row in spans.groupBy("__whole").agg(F.sum("__unplaced").alias("n")).collect()
-    }
-    if any(kinds.values()):
-        raise ValueError(f"{sum(kinds.values())} rows have no {by} or no {order}")
+    counts = _bucket_counts(df, by, order, bucket_width)
+    sources = _sources_by_kind(df, counts, by, order, bucket_width)
+    found = sources.groupBy("kind").agg(F.sum("unplaced").alias("unplaced")).collect()
+    kinds = {row["kind"] for row in found}
+    unplaced = sum(row["unplaced"] for row in found)
+    if unplaced:
+        raise ValueError(f"{unplaced} rows have no {by} or no {order}")
+
+    def of_kind(kind: str) -> DataFrame:
+        if kinds == {kind}:
+            return df
+        return df.join(sources.where(F.col("kind") == kind), by, "left_semi").select(*df.columns)
+
     parts = []
-    if True in kinds:
-        whole = spans.where("__whole").select(by, "__first")
+    if "whole" in kinds:
+        whole = sources.where("kind = 'whole'").select(by, F.col("first").alias("__first"))
         ordinal = F.col(order) - F.col("__first") + 1
         parts.append(df.join(whole, by).select(*df.columns, ordinal.alias("ordinal")))
-    if set(kinds) != {True}:
-        holed = df if set(kinds) != {True, False} else df.join(spans.where("NOT __whole"), by, "left_semi")
-        parts.append(number_by_buckets(holed, by, order, bucket_width))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if "ranges" in kinds:
+        parts.append(number_by_ranges(of_kind("ranges"), by, order))
+    if "buckets" in kinds or not parts:
+        parts.append(number_by_buckets(of_kind("buckets") if kinds else df, by, order, bucket_width, counts))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _bucket(order: str, width: int) -> Column:
+    # Never null, so that no join adds a filter that would keep the counts from being reused.
+    return F.expr(f"coalesce(`{order}` div {width}, 0)")
+
+
+def _bucket_counts(df: DataFrame, by: str, order: str, width: int) -> DataFrame:
+    """Rows, and the first and last number, of every bucket that is not empty."""
+    counts = df.groupBy(by, _bucket(order, width).alias("__bucket")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(order).alias("first"),
+        F.max(order).alias("last"),
+        F.count_if(F.col(order).isNull() | F.col(by).isNull()).alias("unplaced"),
+    )
+    return settle(counts, "bucket-counts")
+
+
+def _sources_by_kind(df: DataFrame, counts: DataFrame, by: str, order: str, width: int) -> DataFrame:
+    """(by, first, unplaced, kind): how the rows of each ``by`` are to be numbered."""
+    sources = counts.groupBy(by).agg(
+        F.sum("n").alias("n"),
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+        F.max("n").alias("most"),
+        F.count(F.lit(1)).alias("buckets"),
+        F.sum("unplaced").alias("unplaced"),
+    )
+    crowded = F.col("most") > width
+    thin = F.col("buckets") > F.greatest(F.lit(BUCKETS_FREELY), F.col("n") / ROWS_PER_BUCKET)
+    otherwise = F.when(crowded | thin, "ranges").otherwise("buckets")
+    sources = settle(sources.withColumn("otherwise", otherwise), "sources")
+    filled = sources.where("last - first + 1 = n").select(by)
+    if filled.isEmpty():
+        return sources.select(by, "first", "unplaced", F.col("otherwise").alias("kind"))
+    # As many rows as numbers: whole if no number comes twice. These sources have no thin bitmaps.
+    number = F.col(order)
+    bitmaps = df.join(filled, by, "left_semi").groupBy(by, F.bitmap_bucket_number(number).alias("__map"))
+    seen = bitmaps.agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(number))).alias("seen"))
+    seen = seen.groupBy(by).agg(F.sum("seen").alias("seen"))
+    kind = F.when(F.col("seen") == F.col("n"), "whole").otherwise(F.col("otherwise"))
+    judged = sources.join(seen, by, "left").select(by, "first", "unplaced", kind.alias("kind"))
+    return settle(judged, "numbering")
+
+
+def _ties(df: DataFrame, order: str) -> list[str]:
+    return [order, "message_id"] if "message_id" in df.columns else [order]
 
 
 def number_by_buckets(
@@ -51,23 +110,18 @@ def number_by_buckets(
     by: str = "source",
     order: str = "arrival_seq",
     bucket_width: int = BUCKET_WIDTH,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """``number_in_order`` for numbers with holes, without one task per ``by``.
 
-    A bucket of ``bucket_width`` consecutive numbers never has more rows than that, however many
-    rows its source has. Rows are numbered inside their bucket; where a bucket starts comes from
+    A bucket of ``bucket_width`` consecutive numbers has no more rows than that, unless numbers are repeated,
+    however many rows its source has. Rows are numbered inside their bucket; where a bucket starts comes from
     a running total over the bucket counts, taken in two steps so that this too is spread.
     """
-    # Never null, so that no join adds a filter that would keep the counts from being reused.
-    bucket = F.expr(f"coalesce(`{order}` div {bucket_width}, 0)")
+    counts = _bucket_counts(df, by, order, bucket_width) if counts is None else counts
     block = F.expr(f"coalesce(__bucket div {BUCKETS_PER_BLOCK}, 0)")
-    rows = df.withColumn("__bucket", bucket)
-    counts = (
-        df.select(by, bucket.alias("__bucket"))
-        .groupBy(by, "__bucket")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("__block", block)
-    )
+    rows = df.withColumn("__bucket", _bucket(order, bucket_width))
+    counts = counts.select(by, "__bucket", "n", block.alias("__block"))
     before = (Window.unboundedPreceding, -1)
     blocks = counts.groupBy(by, "__block").agg(F.sum("n").alias("n"))
     in_source = Window.partitionBy(by).orderBy("__block").rowsBetween(*before)
@@ -80,7 +134,7 @@ def number_by_buckets(
         .join(blocks, [by, "__block"])
         .select(by, "__bucket", (F.col("block_start") + F.col("in_block")).alias("__start"))
     )
-    in_bucket = Window.partitionBy(by, "__bucket").orderBy(order)
+    in_bucket = Window.partitionBy(by, "__bucket").orderBy(*_ties(df, order))
     return (
         rows.withColumn("__place", F.row_number().over(in_bucket))
         .join(starts, [by, "__bucket"])
@@ -89,6 +143,35 @@ def number_by_buckets(
     )
 
 
+def sorted_ranges(df: DataFrame, by: str, order: str) -> DataFrame:
+    """``df`` sorted and written by ranges of about equally many rows, with ``__range`` and ``__place``.
+
+    Spark takes the borders from a sample. The last key tells equal rows apart, so they too are spread over ranges.
+    """
+    keys = [by, *_ties(df, order), "__row"]
+    ranged = df.withColumn("__row", F.monotonically_increasing_id())
+    ranged = ranged.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # The number of the range, and below it, in 33 bits, that of the row in its range.
+    ranged = ranged.withColumn("__place", F.monotonically_increasing_id())
+    return settle(ranged.withColumn("__range", F.shiftright("__place", 33)).drop("__row"), "ranges")
+
+
+def number_by_ranges(df: DataFrame, by: str = "source", order: str = "arrival_seq") -> DataFrame:
+    """``number_in_order`` for any numbers: far apart, or one of them in any share of the rows.
+
+    A row's place in its range, and a small table of how many rows of its source the ranges before hold,
+    make the ordinal.
+    """
+    ranged = sorted_ranges(df, by, order)
+    sizes = ranged.groupBy(by, "__range").agg(F.min("__place").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum("n").over(before), F.lit(0))
+    starts = settle(sizes.select(by, "__range", (earlier - F.col("first") + 1).alias("__start")), "range-starts")
+    return ranged.join(starts, [by, "__range"]).select(
+        *df.columns, (F.col("__place") + F.col("__start")).alias("ordinal")
+    )
+
+
 def batch_by_count(
     messages: DataFrame, size: int = DEFAULT_BATCH_SIZE, bucket_width: int = BUCKET_WIDTH
 ) -> DataFrame:

@@ -6,7 +6,6 @@ source may hold most of them, so nothing here groups or sorts a message table by
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +22,15 @@ REDELIVER = "REDELIVER_UNSENT_BATCH"
 STATE_FIELDS = ("sequenceId", "messageIds", "lastKnownState")
 FIRST_SEQUENCE = 0
 
-# Up to so many messages with copies, their records are picked out of the others.
+STOPPED = T.StructType(
+    [
+        T.StructField("source", T.StringType()),
+        T.StructField("failed_batch", T.LongType()),
+        T.StructField("arrival_seq", T.LongType()),
+        T.StructField("class", T.StringType()),
+        T.StructField("message", T.StringType()),
+    ]
+)
 
 STATE_JSON = T.StructType(
     [
@@ -215,40 +222,41 @@ def redeliver(messages: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
-def foreign_heads(messages: DataFrame, plan: DataFrame) -> DataFrame:
-    """Removing sources whose first messages are not all from the delivered batch.
+def foreign_heads(messages: DataFrame, plan: DataFrame, *actions: str) -> DataFrame:
+    """Sources whose first messages are not all from the batch that the plan names.
 
-    With k delivered messages, the first k must all be known. That is so exactly when k known
-    ones come before the first unknown one, which needs counts and minima only.
+    With k messages in the batch, the first k must all be known. That is so exactly when all k come
+    before the first unknown message. One pass finds the first place of each known message, and of all unknown ones
+    together: at most k + 1 rows of a source, whatever its size, are left before anything moves.
     """
-    ids = planned_ids(plan, REMOVE).select("source", "message_id", F.lit(True).alias("__known"))
-    expected = plan.where(F.col("action") == REMOVE).select(
-        "source", F.size(F.coalesce("message_ids", F.array())).alias("expected")
+    actions = actions or (REMOVE,)
+    ids = planned_ids(plan, *actions).select("source", "message_id", F.lit(True).alias("__known"))
+    expected = plan.where(F.col("action").isin(*actions)).select(
+        "source", F.size(F.array_distinct(F.coalesce("message_ids", F.array()))).alias("expected")
     )
-    positions = (
+    places = (
         messages.select("source", "arrival_seq", "message_id")
         .join(expected, "source", "left_semi")
         .join(ids, ["source", "message_id"], "left")
+        .groupBy("source", F.when(F.col("__known"), F.col("message_id")).alias("known"))
+        .agg(F.min("arrival_seq").alias("place"))
     )
-    known = F.col("__known").isNotNull()
-    first_unknown = positions.groupBy("source").agg(
-        F.min(F.when(~known, F.col("arrival_seq"))).alias("first_unknown")
-    )
-    first_unknown = settle(first_unknown, "first-unknown")
-    leading = (
-        positions.where(known)
-        .join(first_unknown, "source")
-        .where(F.col("first_unknown").isNull() | (F.col("arrival_seq") < F.col("first_unknown")))
-        .groupBy("source")
-        .agg(F.count(F.lit(1)).alias("leading"))
-    )
+    unknown = F.min(F.when(F.col("known").isNull(), F.col("place"))).alias("unknown")
+    known = F.collect_list(F.when(F.col("known").isNotNull(), F.col("place"))).alias("known")
+    heads = places.groupBy("source").agg(unknown, known)
+    before = F.filter("known", lambda place: F.col("unknown").isNull() | (place < F.col("unknown")))
     return (
-        expected.join(leading, "source", "left")
+        expected.join(heads.select("source", F.size(before).alias("leading")), "source", "left")
         .where(F.coalesce("leading", F.lit(0)) < F.col("expected"))
         .select("source")
     )
 
 
+def check_heads(messages: DataFrame, plan: DataFrame, *actions: str) -> None:
+    """Fail when a source does not begin with the messages of its unfinished batch."""
+    _fail_if_any(foreign_heads(messages, plan, *actions), "unexpected messages before the unfinished batch of")
+
+
 def check_removal(messages: DataFrame, plan: DataFrame) -> None:
     """Fail when a source does not begin with the messages it has delivered."""
     _fail_if_any(foreign_heads(messages, plan), "unexpected messages before the delivered batch of")
@@ -309,6 +317,31 @@ def committed_prefix(records: DataFrame) -> DataFrame:
     )
 
 
+def stopped_sources(records: DataFrame) -> DataFrame:
+    """Each source's first batch with a failed record, and the first failure in it (``STOPPED``)."""
+    first = F.min(
+        F.when(
+            F.col("error").isNotNull(),
+            F.struct("batch_no", "arrival_seq", F.col("error.class"), F.col("error.message")),
+        )
+    ).alias("first")
+    found = records.groupBy("source").agg(first).where("first IS NOT NULL")
+    return found.select(
+        "source",
+        F.col("first.batch_no").alias("failed_batch"),
+        F.col("first.arrival_seq").alias("arrival_seq"),
+        F.col("first.class").alias("class"),
+        F.col("first.message").alias("message"),
+    )
+
+
+def before_stop(records: DataFrame, stopped: DataFrame) -> DataFrame:
+    """The records of the batches before the one at which their source stops."""
+    stops = stopped.select("source", "failed_batch")
+    before = F.col("failed_batch").isNull() | (F.col("batch_no") < F.col("failed_batch"))
+    return records.join(stops, "source", "left").where(before).drop("failed_batch")
+
+
 def delivery_audit(sequenced: DataFrame, acks: DataFrame) -> DataFrame:
     """Expected and acknowledged messages per batch; a batch is complete when all are there."""
     keys = ["source", "sequence_id", "message_id"]

@@ -27,7 +27,7 @@ CHAIN = "source string NOT NULL, segment long NOT NULL, leaves array<int>, cuts
 GROUPS = "source string, grp long, leaves array<int>, cuts array<long>"
 ENTRIES = "source string NOT NULL, grp long NOT NULL, entry int, base long"
 SEGMENT_ENTRIES = "source string, segment long, entry int, base long"
-ASSIGNED = "source string, arrival_seq long, batch_no long"
+ASSIGNED = "source string, ordinal long, batch_no long"
 
 
 def first_reaching(times: np.ndarray, wait: int) -> np.ndarray:
@@ -144,9 +144,12 @@ def batch_by_limits(
     if max_ms <= 0 and gap_ms is None:
         return batch_by_count(messages, size, bucket_width)
     width = max(segment_rows, 2 * size)
-    narrow = messages.select("source", "arrival_seq", F.coalesce(time, F.lit(0)).cast("long").alias("ms"))
-    numbered = number_in_order(narrow, bucket_width=bucket_width).withColumn(
-        "segment", F.expr(f"(ordinal - 1) div {width}")
+    in_order = number_in_order(messages, bucket_width=bucket_width)
+    numbered = in_order.select(
+        "source",
+        "ordinal",
+        F.coalesce(time, F.lit(0)).cast("long").alias("ms"),
+        F.expr(f"(ordinal - 1) div {width}").alias("segment"),
     )
 
     # Each segment also sees the first messages of the next one, as far as a batch can reach.
@@ -242,7 +245,7 @@ def batch_by_limits(
                 yield pd.DataFrame(
                     {
                         "source": own["source"].to_numpy(),
-                        "arrival_seq": own["arrival_seq"].to_numpy(),
+                        "ordinal": own["ordinal"].to_numpy(),
                         "batch_no": base + np.cumsum(begins),
                     }
                 )
@@ -254,7 +257,6 @@ def batch_by_limits(
         "source",
         "segment",
         "ordinal",
-        "arrival_seq",
         "ms",
         F.lit(0).alias("entry"),
         F.lit(0).cast("long").alias("base"),
@@ -263,11 +265,10 @@ def batch_by_limits(
             "source",
             "segment",
             F.lit(0).cast("long").alias("ordinal"),
-            F.lit(0).cast("long").alias("arrival_seq"),
             F.lit(0).cast("long").alias("ms"),
             "entry",
             "base",
         )
     )
     assigned = _in_order(marked, ["source", "segment"], ["ordinal"]).mapInPandas(assign, ASSIGNED)
-    return messages.join(assigned, ["source", "arrival_seq"]).select(*messages.columns, "batch_no")
+    return in_order.join(assigned, ["source", "ordinal"]).select(*messages.columns, "batch_no")

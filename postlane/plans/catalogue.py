@@ -17,9 +17,11 @@ from postlane.operators.limits import batch_by_limits
 from postlane.operators.records import to_records, with_position
 from postlane.options import IngestOptions
 from postlane.plans import fixtures
-from postlane.plans.ingest import publish_table
+from postlane.plans.ingest import publish_table, publish_waiting
+from postlane.schemas import OFFSETS, STATE
 from postlane.shared import new_folder
 from postlane.sources import messages as envelopes
+from postlane.sources.ledger import Ledger, read_published
 from postlane.sources.topics import read_topic, write_topics
 from postlane.streaming.ingest import dedupe_stream, run_ingest
 
@@ -429,7 +431,7 @@ def recovered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = new_folder(spark, "topics")
     publish_table(messages, NUMBERED, state, offsets, sink)
     return (
-        spark.read.parquet(sink)
+        read_published(spark, sink)
         .groupBy("source", "sequence_id")
         .agg(
             F.count(F.lit(1)).alias("records"),
@@ -440,6 +442,62 @@ def recovered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def published_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first half of the arrivals, then the rest by a run that is lost before its records are seen, then all again."""
+    messages = fixtures.event_messages(spark, sf_dir)
+    none = spark.createDataFrame([], STATE), spark.createDataFrame([], OFFSETS)
+    sink = new_folder(spark, "topics")
+    middle = messages.agg(F.max("arrival_seq")).first()[0] // 2
+    publish_table(messages.where(F.col("arrival_seq") <= middle), NUMBERED, *none, sink)
+    lost = LostLedger(spark, sink)
+    try:
+        publish_waiting(lost, messages, NUMBERED)
+    except LostRun:
+        pass
+    publish_table(messages, NUMBERED, *none, sink)
+    publish_table(messages, NUMBERED, *none, sink)
+    return _published_batches(read_published(spark, sink))
+
+
+def _published_batches(published: DataFrame) -> DataFrame:
+    return published.groupBy("unit", "source", "sequence_id").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_distinct("message_id").alias("ids"),
+        F.min("arrival_seq").alias("first_seq"),
+        F.max("arrival_seq").alias("last_seq"),
+    ).withColumn("unit", F.col("unit").cast("long"))
+
+
+class LostRun(RuntimeError):
+    """Stands for the end of a process."""
+
+
+class LostLedger(Ledger):
+    """A ledger whose run ends when its records are written, before readers may see them."""
+
+    def write_manifest(self, unit: int) -> None:
+        raise LostRun
+
+
+def strict_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without tolerance sources stop before the batch of their first grave message; a tolerant run then goes on."""
+
+    def grave_errors(messages: DataFrame) -> DataFrame:
+        built = values.build_typed(messages)
+        value = headers.header("value", "double", headers=headers.property_headers())
+        grave = value > GRAVE_VALUE
+        return built.withColumn("value_error", F.when(grave, F.col("value_error")))
+
+    messages = fixtures.event_messages(spark, sf_dir)
+    none = spark.createDataFrame([], STATE), spark.createDataFrame([], OFFSETS)
+    sink = new_folder(spark, "topics")
+    strict = IngestOptions(topic=MAIN, builder=grave_errors, state_queue="STATE")
+    publish_table(messages, strict, *none, sink)
+    publish_table(messages, strict, *none, sink)
+    publish_table(messages, replace(strict, tolerance="all"), *none, sink)
+    return _published_batches(read_published(spark, sink))
+
+
 def redeliver(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages, _, plan = _plan(spark, sf_dir)
     return delivery.redeliver(messages, plan).select(*POSITION, "message_id", "sequence_id")
@@ -626,6 +684,8 @@ def all_queries() -> dict[str, Query]:
         "recovery_ready": recovery_ready,
         "redeliver": redeliver,
         "recovered_table": recovered_table,
+        "published_twice": published_twice,
+        "strict_prefix": strict_prefix,
         "drop_delivered": drop_delivered,
         "committed_prefix": committed_prefix,
         "delivery_audit": delivery_audit,

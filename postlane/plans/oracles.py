@@ -318,6 +318,24 @@ def all_oracles() -> dict[str, str]:
             SELECT source, sequence_id, count(*) AS records,
               CAST(count(*) FILTER (dead) AS BIGINT) AS dead, min(arrival_seq) AS first_seq,
               max(arrival_seq) AS last_seq FROM kept GROUP BY 1, 2""",
+        "published_twice": f"""WITH {MESSAGES}, halves AS (
+              SELECT *, arrival_seq > (SELECT max(arrival_seq) // 2 FROM messages) AS later FROM messages),
+            placed AS (SELECT *, (row_number() OVER (PARTITION BY source, later ORDER BY arrival_seq) - 1) // {BATCH} + 1
+              AS batch_no FROM halves),
+            firsts AS (SELECT source, max(batch_no) AS n FROM placed WHERE NOT later GROUP BY source)
+            SELECT CASE WHEN later THEN CAST(2 AS BIGINT) ELSE 1 END AS unit, source,
+              batch_no + CASE WHEN later THEN coalesce(n, 0) ELSE 0 END AS sequence_id, count(*) AS records,
+              count(DISTINCT message_id) AS ids, min(arrival_seq) AS first_seq, max(arrival_seq) AS last_seq
+            FROM placed LEFT JOIN firsts USING (source) GROUP BY 1, 2, 3""",
+        "strict_prefix": f"""WITH {BATCHED}, judged AS (
+              SELECT *, body_kind = 'map' AND value > {GRAVE_VALUE} AS grave FROM batched),
+            failed AS (SELECT source, min(batch_no) AS bad FROM judged WHERE grave GROUP BY source)
+            SELECT CASE WHEN bad IS NULL OR batch_no < bad THEN 1
+                WHEN EXISTS (SELECT 1 FROM failed f JOIN batched x ON true WHERE x.source NOT IN (SELECT source FROM failed)
+                  OR (x.source = f.source AND x.batch_no < f.bad)) THEN 2 ELSE CAST(1 AS BIGINT) END AS unit,
+              source, batch_no AS sequence_id, count(*) AS records, count(DISTINCT message_id) AS ids,
+              min(arrival_seq) AS first_seq, max(arrival_seq) AS last_seq
+            FROM judged LEFT JOIN failed USING (source) WHERE NOT grave GROUP BY 1, 2, 3""",
         "redeliver": f"""WITH {BATCHED} SELECT source, arrival_seq, message_id,
             CAST({STATE_ID} AS BIGINT) AS sequence_id FROM batched WHERE source = 'QM1/Q2' AND batch_no = 1""",
         "drop_delivered": f"""WITH {BATCHED} SELECT source, arrival_seq, message_id FROM batched

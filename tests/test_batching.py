@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from postlane.operators.batching import (
     batch_by_count,
     number_by_buckets,
+    number_by_ranges,
     number_in_order,
     partition_by_key,
+    sorted_ranges,
 )
 from postlane.operators.limits import batch_by_limits, first_reaching, leave_segment, next_batch
 from postlane.operators.records import to_records
@@ -76,6 +78,48 @@ def test_numbering_spreads_one_large_source(spark):
     assert ranked and all("__bucket" in line.split("], [")[1] for line in ranked)
 
 
+REPEATED = {
+    "twice": [(1, 0), (1, 5), (3, 9)],
+    "gap": [(1, 0), (3, 5), (3, 9), (4, 9)],
+    "hot": [(7, 0)] * 400 + [(n, 0) for n in range(8, 200)],
+    "far": [(n * 10**9, n) for n in range(1500)],
+    "plain": [(n, n) for n in range(1, 40)],
+}
+
+
+@pytest.mark.parametrize("cut", ["count", "limits"])
+def test_repeated_and_distant_numbers_give_one_row_each(spark, cut):
+    df = table(spark, REPEATED)
+    if cut == "count":
+        found = batch_by_count(df, 3, bucket_width=50).collect()
+    else:
+        found = batch_by_limits(df, 3, gap_ms=10**6, segment_rows=10, segments_per_group=3, bucket_width=50).collect()
+    for source, entries in REPEATED.items():
+        rows = sorted((r.arrival_seq, r.batch_no) for r in found if r.source == source)
+        assert rows == [(seq, at // 3 + 1) for at, (seq, _) in enumerate(entries)]
+
+
+def test_equal_rows_are_spread_over_ranges(spark):
+    """One number in nearly all rows, and numbers far apart: no range has more than a few times the mean."""
+    hot = spark.range(40_000).selectExpr("'hot' AS source", "CAST(5 AS LONG) AS arrival_seq", "'m' AS message_id")
+    far = spark.range(20_000).selectExpr("'far' AS source", "id * 1000000000 AS arrival_seq", "'m' AS message_id")
+    df = hot.unionByName(far)
+    numbered = number_by_ranges(df)
+    expected = {"hot": (1, 40_000, 40_000), "far": (1, 20_000, 20_000)}
+    for row in (
+        numbered.groupBy("source")
+        .agg(F.min("ordinal").alias("a"), F.max("ordinal").alias("b"), F.count_distinct("ordinal").alias("n"))
+        .collect()
+    ):
+        assert (row.a, row.b, row.n) == expected[row.source]
+    assert numbered.where("source = 'far' AND ordinal <> arrival_seq div 1000000000 + 1").isEmpty()
+    sizes = sorted_ranges(df, "source", "arrival_seq").groupBy("__range").count()
+    most, mean, ranges = sizes.agg(F.max("count"), F.avg("count"), F.count("count")).first()
+    assert most < 3 * mean and ranges > 1
+    # The same by way of the counts, which send both sources there.
+    assert number_in_order(df, bucket_width=1000).where("source = 'hot'").agg(F.count_distinct("ordinal")).first()[0] == 40_000
+
+
 def test_batches_need_room(make):
     with pytest.raises(ValueError):
         batch_by_count(make({}), 0)

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from postlane import shared
 from postlane.operators.delivery import DeliveryStateError
 from postlane.options import IngestOptions
-from postlane.plans.ingest import publish_table, recover, table_records
+from postlane.plans.ingest import begin_ledger, publish_table, recover, table_records
 from postlane.schemas import OFFSETS, STATE
 from postlane.shared import new_folder
+from postlane.sources.ledger import Ledger, read_published
 
 SOURCES = ("fresh", "unsent", "proven", "done")
 OPTIONS = IngestOptions(topic="t", body_jms=True, batch_size=4, state_queue="STATE")
@@ -78,6 +79,122 @@ def test_foreign_messages_stop_the_run(spark, tables):
         )
 
 
+def numbered(spark, make, count, **more):
+    """Two sources with ``count`` messages each; more rows may be given by number."""
+    return make(
+        *[
+            {"source": source, "arrival_seq": n, "message_id": f"ID:{n:048x}", "body_text": '{"k":%d}' % n, **more.get(f"m{n}", {})}
+            for source in ("a", "b")
+            for n in range(1, count + 1)
+        ]
+    )
+
+
+def nothing(spark):
+    return spark.createDataFrame([], STATE), spark.createDataFrame([], OFFSETS)
+
+
+def published(spark, sink):
+    rows = read_published(spark, sink).select("source", "sequence_id", "arrival_seq").collect()
+    assert len(rows) == len({(r.source, r.arrival_seq) for r in rows})
+    return sorted((r.source, r.sequence_id, r.arrival_seq) for r in rows)
+
+
+@pytest.mark.parametrize(
+    "step, done",
+    [("write_state", True), ("write_records", False), ("write_records", True), ("write_manifest", True)],
+)
+def test_a_run_lost_at_any_point_is_finished_once(spark, make, monkeypatch, step, done):
+    sink = new_folder(spark, "test")
+    publish_table(numbered(spark, make, 7), OPTIONS, *nothing(spark), sink)
+    original = getattr(Ledger, step)
+
+    def lost(self, unit, *arguments):
+        if done:
+            original(self, unit, *arguments)
+        elif step == "write_records":  # half-way: files without their end
+            arguments[0].limit(2).write.partitionBy("topic").parquet(f"{self.sink}/unit={unit}")
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(Ledger, step, lost)
+    with pytest.raises(RuntimeError, match="lost"):
+        publish_table(numbered(spark, make, 15), OPTIONS, *nothing(spark), sink)
+    assert len(published(spark, sink)) == (30 if step == "write_manifest" else 14)
+    monkeypatch.undo()
+    publish_table(numbered(spark, make, 18), OPTIONS, *nothing(spark), sink)
+    rows = published(spark, sink)
+    # What was in flight keeps its batches; messages that came later are cut on their own.
+    firsts = {1: 1, 2: 5, 3: 8, 4: 12, 5: 16}
+    for source in "ab":
+        mine = [(unit, seq) for name, unit, seq in rows if name == source]
+        assert [seq for _, seq in mine] == list(range(1, 19))
+        assert {unit: min(seq for u, seq in mine if u == unit) for unit, _ in mine} == firsts
+    state = {r.source: (r.sequence_id, r.last_known_state, r.arrival_seq) for r in Ledger(spark, sink).delivered().collect()}
+    assert state == {"a": (5, "DELIVERED", 18), "b": (5, "DELIVERED", 18)}
+
+
+def test_a_run_lost_at_the_beginning_keeps_the_unsent_batch(spark, tables, monkeypatch):
+    sink = new_folder(spark, "test")
+    monkeypatch.setattr("postlane.sources.ledger.replace_table", lambda df, path, version=None: 1 / 0 if "delivered" in path else original(df, path, version))
+    from postlane.sources.state import replace_table as original
+
+    with pytest.raises(ZeroDivisionError):
+        begin_ledger(Ledger(spark, sink), *tables)
+    monkeypatch.undo()
+    publish_table(tables[0], OPTIONS, tables[1], tables[2], sink)
+    rows = published(spark, sink)
+    assert len(rows) == 40 - 6  # two sources had three messages delivered
+    assert [(unit, seq) for name, unit, seq in rows if name == "unsent"][:4] == [(23, 1), (23, 2), (23, 3), (24, 4)]
+
+
+def test_messages_of_an_unfinished_batch_must_be_there(spark, make, monkeypatch):
+    sink = new_folder(spark, "test")
+    monkeypatch.setattr(Ledger, "write_records", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        publish_table(numbered(spark, make, 5), OPTIONS, *nothing(spark), sink)
+    monkeypatch.undo()
+    with pytest.raises(DeliveryStateError, match="gone"):
+        publish_table(numbered(spark, make, 5).where("arrival_seq <> 3"), OPTIONS, *nothing(spark), sink)
+
+
+STRICT = IngestOptions(topic="t", builder="json", body_jms=True, batch_size=10, state_queue="STATE")
+
+
+def test_a_source_stops_before_its_poisoned_batch(spark, make):
+    sink = new_folder(spark, "test")
+    poisoned = numbered(spark, make, 30, m16={"body_text": "{ bad"}).where("source = 'a' OR arrival_seq <> 16")
+    stopped = publish_table(poisoned, STRICT, *nothing(spark), sink).collect()
+    assert [(r.source, r.failed_batch, r.arrival_seq, r["class"]) for r in stopped] == [("a", 2, 16, "MalformedBody")]
+    rows = published(spark, sink)
+    assert [seq for name, _, seq in rows if name == "a"] == list(range(1, 11))
+    assert len([1 for name, _, _ in rows if name == "b"]) == 29
+    # Nothing mended: nothing goes on, and no number is used up.
+    assert publish_table(poisoned, STRICT, *nothing(spark), sink).count() == 1
+    assert published(spark, sink) == rows
+    mended = numbered(spark, make, 30).where("source = 'a' OR arrival_seq <> 16")
+    assert publish_table(mended, STRICT, *nothing(spark), sink).isEmpty()
+    mine = [(unit, seq) for name, unit, seq in published(spark, sink) if name == "a"]
+    assert mine == [((seq - 1) // 10 + 1, seq) for seq in range(1, 31)]
+
+
+def test_poison_in_the_first_batch_publishes_nothing(spark, make):
+    sink = new_folder(spark, "test")
+    poisoned = numbered(spark, make, 12, m1={"body_text": "{ bad"})
+    assert publish_table(poisoned, STRICT, *nothing(spark), sink).count() == 2
+    with pytest.raises(ValueError, match="nothing is published"):
+        read_published(spark, sink)
+    publish_table(poisoned, replace(STRICT, tolerance="all"), *nothing(spark), sink)
+    assert len(published(spark, sink)) == 22
+
+
+def test_copies_of_a_delivered_message_are_not_sent_again(spark, make):
+    sink = new_folder(spark, "test")
+    publish_table(numbered(spark, make, 5), OPTIONS, *nothing(spark), sink)
+    again = numbered(spark, make, 6).unionByName(numbered(spark, make, 5))
+    publish_table(again, OPTIONS, *nothing(spark), sink)
+    assert len(published(spark, sink)) == 12
+
+
 def test_at_least_once_table(spark, tables):
     options = IngestOptions(topic="t", body_jms=True)
     found = table_records(tables[0], options, tables[1], tables[2])
