@@ -79,12 +79,14 @@ def assign_sequence(batched: DataFrame, state: DataFrame, offsets: DataFrame) ->
     return continue_sequence(batched, settle(sequence_bases(state, offsets), "bases"))
 
 
-def state_snapshot(sequenced: DataFrame, last_known_state: str = IN_FLIGHT) -> DataFrame:
+def state_snapshot(
+    sequenced: DataFrame, last_known_state: str = IN_FLIGHT, order: str = "arrival_seq"
+) -> DataFrame:
     """The state row of every batch: its message ids in arrival order.
 
     A group is one batch, so its list is no longer than the batch size.
     """
-    listed = F.sort_array(F.collect_list(F.struct("arrival_seq", "message_id")))
+    listed = F.sort_array(F.collect_list(F.struct(order, "message_id")))
     return (
         sequenced.groupBy("source", "sequence_id")
         .agg(listed.alias("__listed"))

@@ -143,8 +143,23 @@ def batch_by_limits(
         raise ValueError("a batch needs room for at least one message")
     if max_ms <= 0 and gap_ms is None:
         return batch_by_count(messages, size, bucket_width)
-    width = max(segment_rows, 2 * size)
     in_order = number_in_order(messages, bucket_width=bucket_width)
+    return cut_numbered(in_order, size, max_ms, gap_ms, time, segment_rows, segments_per_group).drop("ordinal")
+
+
+def cut_numbered(
+    in_order: DataFrame,
+    size: int = DEFAULT_BATCH_SIZE,
+    max_ms: int = 0,
+    gap_ms: int | None = None,
+    time: str = "jms_timestamp",
+    segment_rows: int = SEGMENT_ROWS,
+    segments_per_group: int = SEGMENTS_PER_GROUP,
+) -> DataFrame:
+    """``batch_by_limits`` for messages whose ``ordinal``, 1, 2, 3 … per source, is given."""
+    if max_ms <= 0 and gap_ms is None:
+        return in_order.withColumn("batch_no", F.expr(f"(ordinal - 1) div {size} + 1"))
+    width = max(segment_rows, 2 * size)
     numbered = in_order.select(
         "source",
         "ordinal",
@@ -271,4 +286,4 @@ def batch_by_limits(
         )
     )
     assigned = _in_order(marked, ["source", "segment"], ["ordinal"]).mapInPandas(assign, ASSIGNED)
-    return in_order.join(assigned, ["source", "ordinal"]).select(*messages.columns, "batch_no")
+    return in_order.join(assigned, ["source", "ordinal"]).select(*in_order.columns, "batch_no")

@@ -605,6 +605,16 @@ def stream_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that stay open over micro-batches: those of the whole table, however it arrives."""
+    landed = fixtures.landed_in_turn(spark, sf_dir)
+    stream = envelopes.stream_messages(spark, landed, max_files=1)
+    options = replace(NUMBERED, batch_size=LIMIT_SIZE, max_poll_ms=LIMIT_MS, gap_ms=GAP_MS)
+    sink = new_folder(spark, "sink")
+    run_ingest(stream, options, sink, new_folder(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(sink).select(*POSITION, F.col("sequence_id").alias("batch_no"))
+
+
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = fixtures.landed_events(spark, sf_dir)
     stream = envelopes.stream_messages(spark, landed)
@@ -700,5 +710,6 @@ def all_queries() -> dict[str, Query]:
         "message_table": message_table,
         "stream_effectively_once": stream_effectively_once,
         "stream_units": stream_units,
+        "stream_batches": stream_batches,
         "stream_dedupe": stream_dedupe,
     }

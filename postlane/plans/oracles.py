@@ -111,6 +111,12 @@ TOPIC_SUMMARY = f"""WITH {MESSAGES}
 
 
 def all_oracles() -> dict[str, str]:
+    oracles = _oracles()
+    # However a stream is split, its batches are those of the whole table.
+    return {**oracles, "stream_batches": oracles["batch_by_limits"]}
+
+
+def _oracles() -> dict[str, str]:
     return {
         "flagship_route_counts": TOPIC_SUMMARY,
         "topic_tables": TOPIC_SUMMARY,
@@ -384,5 +390,3 @@ def all_oracles() -> dict[str, str]:
         "stream_dedupe": f"""WITH {MESSAGES}
             SELECT source, arrival_seq, message_id FROM messages""",
     }
-
-

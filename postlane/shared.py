@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +52,58 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = new_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if _open_scratches:
+        _open_scratches[-1].paths.append((df.sparkSession, path))
+    settled = df.sparkSession.read.schema(df.schema).parquet(path)
+    settled._settled_at = path
+    return settled
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the folder of a settled table that nothing reads any more."""
+    path = getattr(df, "_settled_at", None)
+    if path is not None:
+        _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class Scratch:
+    """Tables settled inside ``with scratch() as …`` go at its end, but for those it is told to keep."""
+
+    def __init__(self) -> None:
+        self.paths: list[tuple[SparkSession, str]] = []
+        self.kept: set[str] = set()
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.kept.add(df._settled_at)
+        return df
+
+
+_open_scratches: list[Scratch] = []
+
+
+@contextmanager
+def scratch() -> Iterator[Scratch]:
+    """Delete what is settled inside, so that a long job holds only what is still to be read.
+
+    Whatever leaves the block must be settled and kept; a plan that still reads a deleted table fails.
+    A kept table belongs to the block around this one, if there is any.
+    """
+    mine = Scratch()
+    _open_scratches.append(mine)
+    try:
+        yield mine
+    finally:
+        _open_scratches.pop()
+        for spark, path in mine.paths:
+            if path not in mine.kept:
+                _delete(spark, path)
+            elif _open_scratches:
+                _open_scratches[-1].paths.append((spark, path))
 
 
 def gate(df: DataFrame, keep: Column, otherwise: Column | None = None) -> DataFrame:

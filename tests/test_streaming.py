@@ -10,9 +10,11 @@ from postlane.functions.headers import with_headers
 from postlane.functions.keys import with_key
 from postlane.functions.values import build_json, build_raw, build_typed
 from postlane.operators.delivery import latest_offset, recovery_plan, validate_state
+from postlane.operators.limits import batch_by_limits
 from postlane.operators.records import to_records
 from postlane.operators.routing import route_by
 from postlane.options import IngestOptions
+from postlane.shared import new_folder
 from postlane.sources.messages import stream_messages
 from postlane.sources.topics import read_topic, write_topics
 from postlane.streaming import ingest
@@ -93,7 +95,7 @@ def test_micro_batches_become_numbered_units(place, make):
     place.land(batch(make, 45, 48))
     place.run()
     place.whole(48)
-    assert place.numbers() == {"QM1/Q0": [1, 2, 3, 4], "QM1/Q1": [1, 2, 3, 4]}
+    assert place.numbers() == {"QM1/Q0": [1, 2, 3], "QM1/Q1": [1, 2, 3]}
     dead = place.written().where("topic = 'dead'")
     assert dead.count() == 48 // 7 and dead.where("key_text IS NOT NULL").isEmpty()
 
@@ -123,7 +125,10 @@ def test_a_crash_at_any_step_leaves_no_trace(place, make, monkeypatch, step):
     monkeypatch.setattr(owner, step, original)
     place.run()
     place.whole(60)
-    assert place.numbers() == {"QM1/Q0": [1, 2, 3, 4], "QM1/Q1": [1, 2, 3, 4]}
+    assert place.numbers() == {"QM1/Q0": [1, 2, 3], "QM1/Q1": [1, 2, 3]}
+    log = ingest.IngestLog(place.spark, f"{place.checkpoint}-log")
+    last = {r.source: (r.sequence_id, len(r.message_ids), r.last_known_state) for r in log.delivered().collect()}
+    assert last == {"QM1/Q0": (3, 10, "DELIVERED"), "QM1/Q1": (3, 10, "DELIVERED")}
 
 
 def test_a_lost_commit_mark_repeats_the_batch_in_place(place, make):
@@ -171,6 +176,42 @@ def test_poison_stops_the_stream_but_keeps_earlier_batches(spark, tmp_path, make
     place.whole(6)
 
 
+TIMES = [0, 10, 20, 500, 510, 2000, 2010, 2020, 2030, 2040, 2050, 4000, 4100, 4210, 4220, 4230, 9000, 9001]
+
+
+@pytest.mark.parametrize(
+    "limits, ends",
+    [({"batch_size": 4}, (3, 9, 18)), ({"batch_size": 4, "max_poll_ms": 200, "gap_ms": 300}, (1, 4, 13, 18))],
+)
+def test_batches_do_not_depend_on_micro_batches(spark, tmp_path, make, ends, limits):
+    place = Place(spark, tmp_path, replace(ONCE, **limits))
+    rows = [
+        {"source": source, "arrival_seq": n, "message_id": f"ID:{source}{n}", "body_text": "{}", "jms_timestamp": time}
+        for source in ("a", "b")
+        for n, time in enumerate(TIMES, 1)
+        if source == "a" or n % 5
+    ]
+    whole = make(*rows)
+    for begin, end in zip((0, *ends), ends):
+        place.land(whole.where(f"arrival_seq > {begin} AND arrival_seq <= {end}"))
+    place.run()
+    expected = batch_by_limits(whole, limits["batch_size"], limits.get("max_poll_ms", 0), limits.get("gap_ms"))
+    key = lambda row: (row[0], row[1])
+    assert sorted(place.written().select("source", "arrival_seq", "sequence_id").collect(), key=key) == sorted(
+        expected.select("source", "arrival_seq", "batch_no").collect(), key=key
+    )
+
+
+def test_folders_of_micro_batches_go(place, make):
+    for first in (1, 3, 5):
+        place.land(batch(make, first, first + 1))
+    place.run()
+    place.whole(6)
+    settled = pathlib.Path(new_folder(place.spark, "x")).parent
+    assert not list(settled.glob("micro-batch-*")) and not list(settled.glob("bases-*"))
+    assert all(len(list(kind.glob("version=*"))) <= 2 for kind in pathlib.Path(f"{place.checkpoint}-log").iterdir())
+
+
 def test_at_least_once_has_no_numbers(spark, tmp_path, make):
     place = Place(spark, tmp_path, replace(ONCE, tasks_max="2"))
     place.land(batch(make, 1, 25))
