@@ -82,16 +82,22 @@ class Scratch:
         self.kept.add(df._settled_at)
         return df
 
+    def clear(self) -> None:
+        for spark, path in self.paths:
+            if path not in self.kept:
+                _delete(spark, path)
+
 
 _open_scratches: list[Scratch] = []
 
 
 @contextmanager
-def scratch() -> Iterator[Scratch]:
+def scratch(clear: bool = True) -> Iterator[Scratch]:
     """Delete what is settled inside, so that a long job holds only what is still to be read.
 
     Whatever leaves the block must be settled and kept; a plan that still reads a deleted table fails.
-    A kept table belongs to the block around this one, if there is any.
+    A kept table belongs to the block around this one, if there is any. Without ``clear`` all stays until
+    the caller clears it.
     """
     mine = Scratch()
     _open_scratches.append(mine)
@@ -99,11 +105,10 @@ def scratch() -> Iterator[Scratch]:
         yield mine
     finally:
         _open_scratches.pop()
-        for spark, path in mine.paths:
-            if path not in mine.kept:
-                _delete(spark, path)
-            elif _open_scratches:
-                _open_scratches[-1].paths.append((spark, path))
+        if clear:
+            mine.clear()
+            if _open_scratches:
+                _open_scratches[-1].paths += [one for one in mine.paths if one[1] in mine.kept]
 
 
 def gate(df: DataFrame, keep: Column, otherwise: Column | None = None) -> DataFrame:
