@@ -1,8 +1,11 @@
 """Token ids of whole texts with a public BPE tokenizer.
 
-The same words come again and again, so each task encodes every different word once, with the
+The same words come again and again, so each worker encodes a different word once, with the
 tokenizers library, and puts texts together from the words' ids. That is exact for tokenizers
 that never join characters across white space; ``TextEncoder`` refuses others.
+
+Known words are held in plain arrays and found by 128 bits of hash, so a batch of words is looked up at
+once, without an object for each. When there are more than ``CACHE_WORDS``, the half that was used least goes.
 """
 
 from __future__ import annotations
@@ -14,10 +17,11 @@ import types
 import numpy as np
 import pyarrow as pa
 
-from postlane.llm.words import WORKER_STORE, ragged, release, text_chunks, word_codes
+from postlane.llm.words import WORKER_STORE, mixed, ragged, release, text_chunks, word_codes
 
-# Bound of the words one Python worker remembers.
-CACHE_WORDS = 350_000
+# Bound of the words one Python worker remembers, about 50 bytes each; longer words are not remembered.
+CACHE_WORDS = 1_500_000
+LONGEST_WORD = 64
 _PLAIN = re.compile(r"([A-Za-zß-öø-ÿÀ-ÖØ-Þ]+)([.,]?)")
 
 
@@ -41,6 +45,84 @@ def _byte_letters() -> list[str]:
     return [letters[code] for code in range(256)]
 
 
+def term_hashes(terms: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each term (large strings), and its bytes; hashes of long ones mean nothing."""
+    offsets = np.frombuffer(terms.buffers()[1], np.int64)[terms.offset : terms.offset + len(terms) + 1]
+    data = terms.buffers()[2]
+    whole = np.zeros((data.size if data else 0) + 16, np.uint8)
+    if data:
+        whole[: data.size] = np.frombuffer(data, np.uint8)
+    # Eight bytes from any place on, as one number.
+    eights = np.lib.stride_tricks.as_strided(whole[:8].view("<u8"), (len(whole) - 7,), (1,))
+    lengths = np.diff(offsets)
+    masks = np.array([(1 << (8 * size)) - 1 for size in range(9)], np.uint64)
+    first = mixed(lengths.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    second = mixed(first + np.uint64(0x6A09E667F3BCC909))
+    some = np.flatnonzero((lengths > 0) & (lengths <= LONGEST_WORD))
+    at, left = offsets[:-1][some], lengths[some]
+    while len(some):
+        piece = eights[at] & masks[np.minimum(left, 8)]
+        first[some] = mixed((first[some] ^ piece) * np.uint64(0xD6E8FEB86659FD93))
+        second[some] = mixed((second[some] + piece) * np.uint64(0xA0761D6478BD642F))
+        more = left > 8
+        some, at, left = some[more], at[more] + 8, left[more] - 8
+    return first, second, lengths
+
+
+class WordTable:
+    """Ids of known words: sorted hashes, and where each word's ids stand."""
+
+    def __init__(self, limit: int = CACHE_WORDS):
+        self.limit = limit
+        self.key, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.uses = np.zeros(0, np.int32)
+        self.ids = np.zeros(1 << 20, np.uint32)
+        self.used = 0
+
+    def __len__(self) -> int:
+        return len(self.key)
+
+    def find(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """The row of each word, or -1."""
+        if not len(self.key):
+            return np.full(len(key), -1)
+        row = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return np.where((self.key[row] == key) & (self.check[row] == check), row, -1)
+
+    def put(self, ids: list[int]) -> None:
+        """Write ids behind the known ones; they stay until the next call, or for good if ``used`` moves on."""
+        end = self.used + len(ids)
+        if end > len(self.ids):
+            self.ids = np.resize(self.ids, max(2 * len(self.ids), end))
+        self.ids[self.used : end] = ids
+
+    def add(self, key: np.ndarray, check: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        order = np.argsort(key, kind="stable")
+        order = order[np.concatenate((np.ones(min(1, len(key)), bool), np.diff(key[order]) != 0))]
+        at = np.searchsorted(self.key, key[order])
+        if len(self.key):  # two words with one key: the first one keeps it
+            free = self.key[np.minimum(at, len(self.key) - 1)] != key[order]
+            order, at = order[free], at[free]
+        self.key = np.insert(self.key, at, key[order])
+        self.check = np.insert(self.check, at, check[order])
+        self.start = np.insert(self.start, at, start[order])
+        self.size = np.insert(self.size, at, size[order])
+        self.uses = np.insert(self.uses, at, 0)
+
+    def shrink(self) -> None:
+        """Keep the half of the words that was used most, when there are too many."""
+        if len(self.key) <= self.limit:
+            return
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[: self.limit // 2])
+        self.key, self.check, self.size = self.key[kept], self.check[kept], self.size[kept]
+        self.uses = self.uses[kept] // 2
+        ids = self.ids[ragged(self.start[kept], self.size.astype(np.int64))]
+        self.start = np.cumsum(self.size, dtype=np.int64) - self.size
+        self.used = len(ids)
+        self.ids = np.resize(ids, max(1 << 20, 2 * len(ids)))
+
+
 class TextEncoder:
     """Encode texts with a tokenizer file, ``add_special_tokens=False``."""
 
@@ -56,8 +138,7 @@ class TextEncoder:
         self.lower = '"Lowercase"' in steps
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.codes: dict[str, int] = {}
-        self.reset()
+        self.known = WordTable()
         release()
 
     @classmethod
@@ -68,13 +149,6 @@ class TextEncoder:
             store[path] = cls(path)
         return store[path]
 
-    def reset(self) -> None:
-        self.codes = {}
-        self.codes[""] = 0
-        self.flat = np.zeros(1 << 20, np.uint32)
-        self.starts = np.zeros(1 << 18, np.int64)
-        self.used = 0
-
     def _ids(self, word: str) -> list[int]:
         plain = _PLAIN.fullmatch(word) if self.lower else None
         if plain is None:
@@ -91,34 +165,36 @@ class TextEncoder:
     def _ids_of_mark(self, mark: str) -> list[int]:
         return [token.id for token in self.model.tokenize(mark)]
 
-    def _remember(self, terms: list[str]) -> np.ndarray:
-        if len(self.codes) + len(terms) > CACHE_WORDS:
-            self.reset()
-        codes, found = self.codes, np.empty(len(terms), np.int64)
-        for at, term in enumerate(terms):
-            code = codes.get(term)
-            if code is None:
-                ids = self._ids(term)
-                code = codes[term] = len(codes)
-                if code + 1 >= len(self.starts):
-                    self.starts = np.resize(self.starts, max(2 * len(self.starts), code + 2))
-                end = self.used + len(ids)
-                if end > len(self.flat):
-                    self.flat = np.resize(self.flat, max(2 * len(self.flat), end))
-                self.flat[self.used : end] = ids
-                self.starts[code] = self.used
-                self.starts[code + 1] = self.used = end
-            found[at] = code
-        return found
+    def _found(self, terms: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each term stand in the table's ids, and how many there are."""
+        known = self.known
+        known.shrink()
+        key, check, lengths = term_hashes(terms)
+        short = lengths <= LONGEST_WORD
+        row = np.where(short, known.find(key, check), -1)
+        hit = row >= 0
+        known.uses[row[hit]] += 1
+        start, size = np.zeros(len(row), np.int64), np.zeros(len(row), np.int64)
+        start[hit], size[hit] = known.start[row[hit]], known.size[row[hit]]
+        # Words not to be remembered come last, so that the next call writes over their ids.
+        new = np.concatenate((np.flatnonzero(~hit & short), np.flatnonzero(~hit & ~short)))
+        if len(new):
+            ids = [self._ids(word) for word in terms.take(pa.array(new)).to_pylist()]
+            size[new] = [len(one) for one in ids]
+            start[new] = known.used + np.cumsum(size[new]) - size[new]
+            known.put([number for one in ids for number in one])
+            kept = new[short[new]]
+            known.used += int(size[kept].sum())
+            known.add(key[kept], check[kept], start[kept], size[kept])
+        return start, size
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another (uint32), and where each text's ids start."""
         words = word_codes(texts)
-        code = self._remember(words.terms.to_pylist())[words.codes]
-        begin = self.starts[code]
-        lengths = self.starts[code + 1] - begin
+        start, size = self._found(words.terms.cast(pa.large_string()))
+        begin, lengths = start[words.codes], size[words.codes]
         ends = np.concatenate(([0], np.cumsum(lengths)))
-        return self.flat[ragged(begin, lengths)], ends[words.starts]
+        return self.known.ids[ragged(begin, lengths)], ends[words.starts]
 
     def batches(self, column: pa.Array, limit: int = 2_000_000):
         """``(slice, ids, starts)`` of runs of rows, so that memory stays bounded."""
