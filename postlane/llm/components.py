@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlane.shared import settle
+from postlane.shared import forget, settle
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -41,5 +41,6 @@ def components(links: DataFrame) -> DataFrame:
         now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == seen or not now[0]:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = now
+        seen, before = now, links
         links = settle(_small_star(_large_star(links).distinct()), "links")
+        forget(before)

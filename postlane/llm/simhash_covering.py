@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from postlane.llm.components import components
 from postlane.llm.words import LOWER, bounded_batches, release, text_chunks
-from postlane.shared import settle
+from postlane.shared import scratch, settle
 
 BITS = 64
 RADIUS = 2
@@ -85,9 +85,11 @@ def fingerprints_of(texts: list[bytes]) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp) per row; ``fp`` holds the 64 bits as a signed long."""
+    """(doc_id, fp, text_hash) per row; ``fp`` holds the 64 bits as a signed long."""
     rows = bounded_batches(docs).select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
+        F.col(doc_id).cast("long").alias("doc_id"),
+        F.col(text).cast("string").alias("text"),
+        F.xxhash64(F.col(text).cast("string")).alias("text_hash"),
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,10 +97,10 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             found = [fingerprints_of(texts) for _, texts in text_chunks(batch.column(1), 2_000_000)]
             whole = np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(whole)], names=["doc_id", "fp"]
+                [batch.column(0), pa.array(whole), batch.column(2)], names=["doc_id", "fp", "text_hash"]
             )
 
-    return rows.mapInArrow(work, "doc_id long, fp long")
+    return rows.mapInArrow(work, "doc_id long, fp long, text_hash long")
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,14 +170,7 @@ def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", small: int = SMALL_BUCKET
 ) -> DataFrame:
     """Per row: doc_id, fingerprint (16 hex digits) and component_id, the smallest id reachable."""
-    prints = settle(fingerprints(docs, doc_id, text), "fingerprints")
-    classes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
-    roots = components(links(classes, small))
-    grouped = classes.join(roots, classes.fp == roots.node, "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
-    firsts = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    members = settle(grouped.join(firsts, "root").select("fp", "component_id"), "members")
+    prints, members = grouped_prints(docs, doc_id, text, small)
     return prints.join(members, "fp").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -183,14 +178,46 @@ def near_duplicates(
     )
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with the smallest id of each component, with all their columns.
+def grouped_prints(docs: DataFrame, doc_id: str, text: str, small: int) -> tuple[DataFrame, DataFrame]:
+    """The fingerprint of every row, and (fp, component_id, root) of every fingerprint, both settled."""
+    with scratch() as scope:
+        prints = scope.keep(settle(fingerprints(docs, doc_id, text), "fingerprints"))
+        classes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
+        roots = components(links(classes, small))
+        grouped = classes.join(roots, classes.fp == roots.node, "left").select(
+            "fp", "first_id", F.coalesce("root", "fp").alias("root")
+        )
+        firsts = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
+        members = grouped.join(firsts, "root").select("fp", "component_id", "root")
+        return prints, scope.keep(settle(members, "members"))
+
 
-    Of several rows with one id, one is kept. Rows without an id cannot be named and all stay.
+def one_of_each(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", small: int = SMALL_BUCKET
+) -> DataFrame:
+    """One document of each component, that with the smallest id, with all its columns.
+
+    Rows of one id with different texts are documents of their own: of two in one component, that with the
+    smaller fingerprint stays, of two in different ones both. Of equal rows one stays. Rows without an id cannot be
+    named and all stay.
     """
-    groups = near_duplicates(docs, doc_id, text)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select(
-        F.col("doc_id").alias("__kept_id")
-    ).distinct()
-    named = docs.join(kept, F.col(doc_id).cast("long") == F.col("__kept_id"), "left_semi")
-    return named.dropDuplicates([doc_id]).unionByName(docs.where(F.col(doc_id).isNull()))
+    prints, members = grouped_prints(docs, doc_id, text, small)
+    with scratch() as scope:
+        named = prints.where("doc_id is not null").join(members, "fp")
+        best = F.min(F.struct("doc_id", "fp", "text_hash")).alias("best")
+        kept = named.groupBy("root").agg(best).select("best.doc_id", "best.text_hash")
+        # How often the text that stays is there with its id.
+        kept = prints.join(kept, ["doc_id", "text_hash"], "left_semi").groupBy("doc_id", "text_hash").agg(
+            F.count(F.lit(1)).alias("__times")
+        )
+        kept = kept.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__times")
+        kept = scope.keep(settle(kept, "kept"))
+    same = (F.col(doc_id).cast("long") == F.col("__id")) & (F.xxhash64(F.col(text).cast("string")) == F.col("__hash"))
+    once = docs.join(kept.where("__times = 1").drop("__times"), same, "left_semi")
+    out = once.unionByName(docs.where(F.col(doc_id).isNull()))
+    often = kept.where("__times > 1").drop("__times")
+    if often.isEmpty():
+        return out
+    # Copies are merged within each task before they are shuffled.
+    again = docs.join(often, same).dropDuplicates(["__id", "__hash"]).select(*docs.columns)
+    return out.unionByName(again)

@@ -1,12 +1,14 @@
 """Each operator against a plain version on small tables, and on awkward rows."""
 
 import hashlib
+import pathlib
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -14,12 +16,13 @@ from tokenizers import Tokenizer
 import __spark_entry__ as contract
 from compare import connect, difference
 from postlane.llm import (
-    chat_tree, decontaminate, packing, passages, quality_thresholds, simhash_covering, token_files,
+    chat_tree, decontaminate, packing, passages, quality_thresholds, simhash_covering, token_files, token_ids,
     toxicity, url_filter, warc,
 )
 from postlane.llm.components import components
 from postlane.llm.oracles import ORACLES
 from postlane.llm.token_ids import TextEncoder
+from postlane.shared import scratch
 
 SF_DIR = "/root/testdata/sf0.001"
 WORD_FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -445,3 +448,59 @@ def test_pipeline(spark):
         after = stage(spark, docs, SF_DIR)
         assert after.columns == docs.columns
     assert corpus_pipeline.run(spark, SF_DIR).count() > 0.5 * docs.count()
+
+
+def test_rows_that_share_an_id(spark):
+    """Ids 1, 2, 2, 2: spans belong to one text, the others stay as they are; unlike texts are no copies."""
+    rng = np.random.default_rng(5)
+    words = [f"w{n}" for n in rng.integers(0, 10**6, 400)]
+    shared, own, other = " ".join(words[:80]), " ".join(words[80:200]), "quite short"
+    rows = [(1, shared), (2, own + " " + shared), (2, other), (2, other), (3, other), (None, shared), (None, shared)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = Counter((r.doc_id, r.text) for r in passages.without_repeats(df).collect())
+    compared = min((own + " " + shared, other), key=lambda text: spark.sql("SELECT xxhash64(:t)", {"t": text}).first()[0])
+    expected = Counter(rows)
+    if compared != other:
+        expected[(2, own + " " + shared)] = 0
+        expected[(2, own)] = 1
+    assert left == +expected
+    kept = Counter((r.doc_id, r.text) for r in simhash_covering.one_of_each(df).collect())
+    assert kept == Counter([(1, shared), (2, own + " " + shared), (2, other), (None, shared), (None, shared)])
+
+
+def test_a_row_that_is_most_of_the_table(spark):
+    rows = spark.range(600).selectExpr("IF(id < 500, 7, id) AS doc_id", "IF(id < 500, 'one two three four', concat('t', id)) AS text")
+    assert simhash_covering.one_of_each(rows).where("doc_id = 7").count() == 1
+    assert passages.without_repeats(rows).count() == 600
+
+
+def test_rounds_leave_no_tables(spark):
+    texts = spark.range(60).selectExpr(
+        "id AS doc_id", "array_join(transform(sequence(1, 90), i -> concat('w', (i * 7919) % 1000 + (id % 3) * 5000)), ' ') AS text"
+    )
+    with scratch(clear=False) as mine:
+        found = passages.repeated_passages(texts).count()
+    assert found == 57
+    left = [path for _, path in mine.paths if pathlib.Path(path).exists()]
+    assert left and all(pathlib.Path(path).name.startswith("passages-") for path in left)
+
+
+def test_the_word_table_keeps_frequent_words(docs):
+    encoder = TextEncoder(WORD_FILE)
+    encoder.known.limit = 300
+    texts = [(row.text or "").encode() for row in docs.select("text").collect()] + [b"x" * 70_000, b"", b"a b" * 50]
+    plain = TextEncoder(WORD_FILE)
+    for at in range(0, len(texts), 5):
+        ids, starts = encoder.encode(texts[at : at + 5])
+        whole, edges = plain.encode(texts[at : at + 5])
+        assert (ids == whole).all() and (starts == edges).all()
+    assert len(encoder.known) < len(plain.known)
+
+
+def test_word_hashes_tell_terms_apart():
+    terms = ["", "a", "aa", "a" * 8, "a" * 9, "a" * 16, "a" * 17, "b", "é", "e" + chr(0), "e"] + [str(n) for n in range(5000)]
+    for offset in (0, 3):
+        array = pa.array(["skip"] * offset + terms, pa.large_string())[offset:]
+        first, second, lengths = token_ids.term_hashes(array)
+        assert len(set(first.tolist())) == len(set(second.tolist())) == len(set(terms))
+        assert lengths.tolist() == [len(term.encode()) for term in terms]
