@@ -6,19 +6,42 @@ from pyspark.sql import functions as F
 from postlane.functions import values
 from postlane.options import IngestOptions, OptionError
 
-CONFIGURED = """{"type":"struct","fields":[
-  {"field":"seat","type":"int32"},{"field":"a","type":"string"},{"field":"b","type":"int64"},
-  {"field":"c","type":"double"},{"field":"d","type":"boolean"},{"field":"e","type":"float"},
-  {"field":"f","type":"array","items":{"type":"string"}},
-  {"field":"g","type":"array","items":{"type":"int32"}},
-  {"field":"h","type":"struct","fields":[{"field":"note","type":"string"},
-    {"field":"amount","type":"int64"}]}]}"""
-GOOD = (
-    '{"seat":%d,"a":"test","b":7200,"c":8.25,"d":true,"e":1.5,"f":["a","b"],"g":[1,2],'
-    '"h":{"note":"window","amount":89}}'
+# A parcel: a number too wide for a double, a list of structs, a struct two deep, a map, a default, an option.
+PARCEL_SCHEMA = json.dumps(
+    {
+        "type": "struct",
+        "fields": [
+            {"field": "route", "type": "struct", "fields": [
+                {"field": "carrier", "type": "struct", "fields": [{"field": "code", "type": "string"}]},
+                {"field": "legs", "type": "array", "items": {
+                    "type": "struct",
+                    "fields": [{"field": "day", "type": "int16"}, {"field": "port", "type": "string"}],
+                }},
+            ]},
+            {"field": "serial", "type": "int64"},
+            {"field": "stamps", "type": "map", "keys": {"type": "string"}, "values": {"type": "int32"}},
+            {"field": "scans", "type": "array", "items": {"type": "int64"}},
+            {"field": "fragile", "type": "boolean", "default": False},
+            {"field": "kilos", "type": "double"},
+            {"field": "remark", "type": "string", "optional": True},
+        ],
+    }
 )
 
 
+def parcel(drop=(), **changed):
+    """A body that fits, with some fields dropped or changed."""
+    body = {
+        "serial": 9007199254740993,
+        "kilos": 0.375,
+        "route": {"legs": [{"port": "Oslo", "day": 3}, {"port": "Gdynia", "day": 5}], "carrier": {"code": "NX"}},
+        "scans": [],
+        "stamps": {"red": 4, "blue": 0},
+        **changed,
+    }
+    return json.dumps({name: value for name, value in body.items() if name not in drop})
+
+
 def rows(df):
     return df.orderBy("arrival_seq").collect()
 
@@ -128,34 +151,45 @@ def test_json_bytes_and_other_kinds(make):
 
 
 def test_configured_schema(make):
-    df = make(*[{"body_text": GOOD % i} for i in range(1, 6)])
-    found = rows(values.build_json(df, schema=CONFIGURED))
-    assert [r.value.seat for r in found] == [1, 2, 3, 4, 5]
-    value = found[0].value
-    assert (value.a, value.b, value.c, value.d, value.e) == ("test", 7200, 8.25, True, 1.5)
-    assert (value.f, value.g) == (["a", "b"], [1, 2])
-    assert (value.h.note, value.h.amount) == ("window", 89)
+    df = make(
+        {"body_text": parcel()},
+        {"body_text": parcel(remark="this side up", fragile=True, scans=[2**40, -1])},
+        {"body_text": parcel(stamps={}, remark=None)},
+    )
+    found = [r.value for r in rows(values.build_json(df, schema=PARCEL_SCHEMA))]
+    assert [value.serial for value in found] == [9007199254740993] * 3
+    assert found[0].route.carrier.code == "NX"
+    assert [(leg.port, leg.day) for leg in found[0].route.legs] == [("Oslo", 3), ("Gdynia", 5)]
+    assert [value.stamps for value in found] == [{"red": 4, "blue": 0}] * 2 + [{}]
+    assert [value.scans for value in found] == [[], [2**40, -1], []]
+    assert [value.fragile for value in found] == [False, True, False]
+    assert [value.remark for value in found] == [None, "this side up", None]
 
 
 @pytest.mark.parametrize(
     "body",
     [
-        GOOD.replace('"a":"test",', "") % 1,
-        GOOD.replace('"a":"test"', '"a":null') % 1,
-        GOOD.replace('"seat":%d', '"seat":"%d"') % 1,
-        GOOD.replace('"seat":%d', '"seat":3000000%d') % 999,
-        GOOD.replace('"seat":%d', '"seat":%d.5') % 1,
-        GOOD.replace("[1,2]", "[1,null]") % 1,
-        GOOD.replace('"amount":89', '"other":89') % 1,
-        GOOD.replace("true", '"yes"') % 1,
-        "[" + GOOD % 1 + "]",
+        parcel(drop=["serial"]),
+        parcel(serial=None),
+        parcel(serial="12"),
+        parcel(serial=2**63),
+        parcel(serial=1.5),
+        parcel(scans=[1, None]),
+        parcel(scans={}),
+        parcel(stamps={"red": "four"}),
+        parcel(fragile="yes"),
+        parcel(route={"legs": []}),
+        parcel(route={"legs": [{"port": "Oslo", "day": 40_000}], "carrier": {"code": "NX"}}),
+        parcel(route={"legs": [{"port": "Oslo"}], "carrier": {"code": "NX"}}),
+        parcel(route={"legs": [], "carrier": {"name": "NX"}}),
+        f"[{parcel()}]",
         "null",
         "5",
         "{",
     ],
 )
 def test_configured_schema_refuses(make, body):
-    row = values.build_json(make({"body_text": body}), schema=CONFIGURED).first()
+    row = values.build_json(make({"body_text": body}), schema=PARCEL_SCHEMA).first()
     assert row.value_error["class"] == "SchemaMismatch"
     assert row.value is None and row.value_type is None
 
@@ -176,37 +210,43 @@ def test_configured_schema_of_other_types(make):
     assert row.value is None and row.value_error is None
 
 
-SCHEMA = (
-    '{"type":"struct","fields":[{"field":"seat","type":"int64"},{"field":"test","type":"string"}]}'
+LEG = json.dumps(
+    {
+        "type": "struct",
+        "fields": [
+            {"field": "port", "type": "string"},
+            {"field": "tonnes", "type": "array", "items": {"type": "int16"}},
+        ],
+    }
 )
 
 
+def enveloped(payload, schema=LEG, more=""):
+    return f'{{"schema":{schema},"payload":{payload}{more}}}'
+
+
 def test_embedded_schema(make):
-    wrap = '{"schema": %s, "payload": %s}'
-    outcome = json_outcome(
-        make,
-        wrap % (SCHEMA, '{"seat":1,"test":"one"}'),
-        wrap % ('{"type":"string"}', '"abc"'),
-        wrap % ('{"type":"string","optional":true}', "null"),
-        wrap % (SCHEMA, "null"),
-        wrap % (SCHEMA, '{"seat":"1","test":"one"}'),
-        wrap % (SCHEMA, '{"seat":1}'),
-        '{"schema": %s}' % SCHEMA,
-        '{"payload": {}}',
-        '{"schema": %s, "payload": {"seat":1,"test":"x"}, "more": 1}' % SCHEMA,
-        wrap % ('"{\\"type\\":\\"int32\\"}"', "1"),
-        wrap % ('{"type":"nothing"}', "1"),
-        wrap % ('{"type":"array","items":{"type":"int32"}}', "[1,2]"),
-        "{ malformed",
-        "[]",
-        schemas_enable=True,
-    )
-    assert outcome[0] == '{"seat":1,"test":"one"}'
-    assert outcome[1] == '"abc"'
-    assert outcome[2] in (None, "null")
-    assert outcome[3:11] == ["SchemaMismatch"] * 8
-    assert outcome[11] == "[1,2]"
-    assert outcome[12:] == ["MalformedBody", "SchemaMismatch"]
+    fitting = '{"port":"Turku","tonnes":[7,-2]}'
+    cases = {
+        enveloped(fitting): fitting,
+        enveloped('{"tonnes":[],"port":""}'): '{"port":"","tonnes":[]}',
+        enveloped('"abc"', '{"type":"string"}'): '"abc"',
+        enveloped("[1,2]", '{"type":"array","items":{"type":"int32"}}'): "[1,2]",
+        enveloped("null"): "SchemaMismatch",
+        enveloped('{"port":"Turku","tonnes":7}'): "SchemaMismatch",
+        enveloped('{"port":"Turku","tonnes":[40000]}'): "SchemaMismatch",
+        enveloped('{"port":"Turku"}'): "SchemaMismatch",
+        enveloped(fitting, more=',"note":1'): "SchemaMismatch",
+        enveloped("1", '"{\\"type\\":\\"int32\\"}"'): "SchemaMismatch",
+        enveloped("1", '{"type":"nothing"}'): "SchemaMismatch",
+        f'{{"schema":{LEG}}}': "SchemaMismatch",
+        f'{{"payload":{fitting}}}': "SchemaMismatch",
+        "[]": "SchemaMismatch",
+        "{ malformed": "MalformedBody",
+    }
+    assert json_outcome(make, *cases, schemas_enable=True) == list(cases.values())
+    absent = json_outcome(make, enveloped("null", '{"type":"string","optional":true}'), schemas_enable=True)
+    assert absent[0] in (None, "null")
 
 
 def test_embedded_schema_types(make):
@@ -252,66 +292,66 @@ def test_defaults_of_composites(make):
     assert (row.value.a, row.value.s.x) == ([], 4)
 
 
-CARGO = "Harbour string NOT NULL, Crates int NOT NULL, Agent string NOT NULL"
-CARGO_XSD = """<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema">
-  <xs:element name="Cargo">
-    <xs:complexType>
-      <xs:sequence>
-        <xs:element name="Harbour" type="xs:string"/>
-        <xs:element name="Crates" type="xs:int"/>
-        <xs:element name="Agent" type="xs:string"/>
-      </xs:sequence>
-    </xs:complexType>
-  </xs:element>
+# A voyage: an attribute, an element that repeats, one inside another.
+VOYAGE = "_number long NOT NULL, call array<struct<_day: int, port: string>>, master struct<name: string> NOT NULL"
+VOYAGE_XSD = """<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema">
+  <xs:element name="voyage"><xs:complexType>
+    <xs:sequence>
+      <xs:element name="master"><xs:complexType><xs:sequence>
+        <xs:element name="name" type="xs:string"/>
+      </xs:sequence></xs:complexType></xs:element>
+      <xs:element name="call" minOccurs="0" maxOccurs="unbounded"><xs:complexType>
+        <xs:sequence><xs:element name="port" type="xs:string"/></xs:sequence>
+        <xs:attribute name="day" type="xs:int"/>
+      </xs:complexType></xs:element>
+    </xs:sequence>
+    <xs:attribute name="number" type="xs:long" use="required"/>
+  </xs:complexType></xs:element>
 </xs:schema>"""
 
 
-def cargo(harbour="Bergen", crates="12", agent="Ola"):
-    return f"<Cargo><Harbour>{harbour}</Harbour><Crates>{crates}</Crates><Agent>{agent}</Agent></Cargo>"
+def voyage(number="31", master="<master><name>Aino</name></master>", calls=(("4", "Turku"), ("6", "Visby"))):
+    stops = "".join(f'<call day="{day}"><port>{port}</port></call>' for day, port in calls)
+    return f'<voyage number="{number}">{master}{stops}</voyage>'
 
 
 def test_xml(make, tmp_path):
-    good = f"<!-- a load -->\n{cargo()}"
-    bodies = [
-        good,
-        good.replace("Cargo>", "Ballast>"),
-        good.replace("</Cargo>", ""),
-        good.replace("<Crates>12</Crates>", ""),
-        cargo(crates="many"),
-    ]
+    bodies = {
+        f"<?xml version='1.0'?>\n<!-- first -->{voyage()}": None,
+        voyage(calls=()): None,
+        voyage().replace("voyage", "journey"): "SchemaMismatch",
+        voyage(master=""): "SchemaMismatch",
+        voyage().removesuffix("</voyage>"): "MalformedBody",
+        voyage(number="many"): "MalformedBody",
+    }
     df = make(*[{"body_text": body} for body in bodies], {"body_kind": "map"})
-    found = rows(values.build_xml(df, CARGO, root="Cargo"))
-    assert tuple(found[0].value) == ("Bergen", 12, "Ola")
-    assert [r.value_error and r.value_error["class"] for r in found] == [
-        None,
-        "SchemaMismatch",
-        "MalformedBody",
-        "SchemaMismatch",
-        "MalformedBody",
-        "UnsupportedBody",
-    ]
-    xsd = tmp_path / "cargo.xsd"
-    xsd.write_text(CARGO_XSD)
-    checked = rows(values.build_xml(df, CARGO, xsd_path=str(xsd)))
-    assert [r.value_error is None for r in checked] == [True] + [False] * 5
+    found = rows(values.build_xml(df, VOYAGE, root="voyage"))
+    assert [r.value_error and r.value_error["class"] for r in found] == [*bodies.values(), "UnsupportedBody"]
+    first = found[0].value
+    assert (first["_number"], first.master.name) == (31, "Aino")
+    assert [(call["_day"], call.port) for call in first.call] == [(4, "Turku"), (6, "Visby")]
+    xsd = tmp_path / "voyage.xsd"
+    xsd.write_text(VOYAGE_XSD)
+    checked = rows(values.build_xml(df, VOYAGE, xsd_path=str(xsd)))
+    assert [r.value_error is None for r in checked] == [True, True] + [False] * 5
 
 
 def test_xml_by_options_alone(make, tmp_path):
-    xsd = tmp_path / "cargo.xsd"
-    xsd.write_text(CARGO_XSD)
+    xsd = tmp_path / "voyage.xsd"
+    xsd.write_text(VOYAGE_XSD)
     props = {
-        "topic": "loads",
+        "topic": "voyages",
         "mq.queue": "Q",
         "mq.queue.manager": "QM1",
         "mq.record.builder": "xml",
-        "mq.record.builder.root.element.name": "Cargo",
+        "mq.record.builder.root.element.name": "voyage",
         "mq.record.builder.xsd.schema.path": str(xsd),
     }
-    body = cargo("Turku", "3", "Aino")
-    df = values.build_values(make({"body_text": body}), IngestOptions.from_properties(props))
-    assert tuple(df.first().value) == ("Turku", 3, "Aino")
+    df = values.build_values(make({"body_text": voyage("8")}), IngestOptions.from_properties(props))
+    value = df.first().value
+    assert (value["_number"], [call.port for call in value.call]) == (8, ["Turku", "Visby"])
     with pytest.raises(OptionError):
-        other = {**props, "mq.record.builder.root.element.name": "Ballast"}
+        other = {**props, "mq.record.builder.root.element.name": "journey"}
         values.build_values(make({}), IngestOptions.from_properties(other))
     with pytest.raises(OptionError):
         values.build_values(make({}), IngestOptions(topic="t", builder="xml"))
