@@ -12,18 +12,18 @@ from postlane.functions import failures, headers, values
 from postlane.functions.encoding import to_topic_rows
 from postlane.functions.keys import with_key
 from postlane.operators import delivery, routing
-from postlane.operators.batching import batch_by_count, partition_by_key
+from postlane.operators.batching import batch_by_count, number_in_order, partition_by_key
 from postlane.operators.limits import batch_by_limits
 from postlane.operators.records import to_records, with_position
 from postlane.options import IngestOptions
 from postlane.plans import fixtures
 from postlane.plans.ingest import publish_table, publish_waiting
 from postlane.schemas import OFFSETS, STATE
-from postlane.shared import new_folder
+from postlane.shared import new_folder, settle
 from postlane.sources import messages as envelopes
 from postlane.sources.ledger import Ledger, read_published
 from postlane.sources.topics import read_topic, write_topics
-from postlane.streaming.ingest import dedupe_stream, run_ingest
+from postlane.streaming.ingest import IngestLog, InOrder, dedupe_stream, run_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -615,6 +615,35 @@ def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink).select(*POSITION, F.col("sequence_id").alias("batch_no"))
 
 
+def _delivered_in_order(
+    spark: SparkSession, landed: str, in_order: InOrder, options: IngestOptions = JSON_TO_DEAD
+) -> tuple[DataFrame, str]:
+    """The records of a stream put in order, each with its place in its queue as published, and the checkpoint."""
+    stream = envelopes.stream_messages(spark, landed, max_files=1)
+    sink, checkpoint = new_folder(spark, "sink"), new_folder(spark, "checkpoint")
+    run_ingest(stream, options, sink, checkpoint, in_order=in_order).awaitTermination()
+    published = spark.read.parquet(sink).select(
+        *POSITION, (F.col("batch_id").cast("long") * (1 << 40) + F.col("arrival_seq")).alias("published")
+    )
+    placed = number_in_order(settle(published, "published"), order="published")
+    return placed.select(*POSITION, F.col("ordinal").alias("place")), checkpoint
+
+
+def stream_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that lands out of order: each queue's messages come in order, up to a number that never comes."""
+    landed = fixtures.landed_out_of_order(spark, sf_dir, "arrival_seq = held * 9 div 10")
+    return _delivered_in_order(spark, landed, InOrder(), NUMBERED)[0]
+
+
+def stream_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One that gives numbers up at once: the holes, and how many messages came all the same."""
+    landed = fixtures.landed_out_of_order(spark, sf_dir, "arrival_seq % 100 IN (0, 1, 50)", files=1)
+    placed, checkpoint = _delivered_in_order(spark, landed, InOrder(delay_ms=0))
+    came = placed.groupBy("source").agg(F.count(F.lit(1)).alias("came"), F.max("arrival_seq").alias("last_came"))
+    holes = IngestLog(spark, f"{checkpoint}-log").holes()
+    return came.join(holes, "source").select("source", "came", "last_came", "first_seq", "last_seq")
+
+
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = fixtures.landed_events(spark, sf_dir)
     stream = envelopes.stream_messages(spark, landed)
@@ -711,5 +740,7 @@ def all_queries() -> dict[str, Query]:
         "stream_effectively_once": stream_effectively_once,
         "stream_units": stream_units,
         "stream_batches": stream_batches,
+        "stream_in_order": stream_in_order,
+        "stream_holes": stream_holes,
         "stream_dedupe": stream_dedupe,
     }

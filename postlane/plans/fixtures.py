@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlane.operators.batching import batch_by_count
+from postlane.operators.batching import batch_by_count, number_in_order
 from postlane.operators.delivery import DELIVERED, IN_FLIGHT, state_snapshot
 from postlane.shared import new_folder, prepare, settle
 from postlane.sources.messages import MessageSpec, Property, as_messages, queue_id
@@ -239,3 +239,19 @@ def landed_in_turn(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
     for number in range(files):
         messages.where(part == number).coalesce(1).write.mode("append").parquet(path)
     return path
+
+
+def landed_out_of_order(spark: SparkSession, sf_dir: str, missing: str, files: int = 3) -> str:
+    """The event messages, numbered 1 to ``held`` in their queues, in files that each hold some from everywhere.
+
+    Those that fulfil ``missing`` come in no file.
+    """
+    path = new_folder(spark, "landed")
+    messages = number_in_order(event_messages(spark, sf_dir))
+    messages = settle(messages.withColumn("arrival_seq", F.col("ordinal")).drop("ordinal"), "numbered")
+    sizes = messages.groupBy("source").agg(F.count(F.lit(1)).alias("held"))
+    there = messages.join(sizes, "source").where(~F.expr(missing)).select(*messages.columns)
+    part = F.pmod(F.crc32(F.col("message_id").cast("binary")), F.lit(files))
+    for number in range(files):
+        there.where(part == number).coalesce(1).write.mode("append").parquet(path)
+    return path

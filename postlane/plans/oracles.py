@@ -274,6 +274,17 @@ def _oracles() -> dict[str, str]:
             SELECT event_id, reason, reason <> 1 AS retriable, reason <> 2016 AS closable
             FROM coded""",
         "batch_by_count": f"""WITH {BATCHED} SELECT source, arrival_seq, batch_no FROM batched""",
+        "stream_in_order": f"""WITH {MESSAGES}, placed AS (SELECT source,
+              row_number() OVER (PARTITION BY source ORDER BY arrival_seq) AS place,
+              count(*) OVER (PARTITION BY source) AS held FROM messages)
+            SELECT source, place AS arrival_seq, place FROM placed WHERE place < held * 9 // 10""",
+        "stream_holes": f"""WITH {MESSAGES}, placed AS (SELECT source,
+              row_number() OVER (PARTITION BY source ORDER BY arrival_seq) AS seq FROM messages),
+            came AS (SELECT source, seq, lag(seq, 1, 0) OVER (PARTITION BY source ORDER BY seq) AS before
+              FROM placed WHERE seq % 100 NOT IN (0, 1, 50)),
+            sizes AS (SELECT source, count(*) AS came, max(seq) AS last_came FROM came GROUP BY source)
+            SELECT source, sizes.came, last_came, before + 1 AS first_seq, seq - 1 AS last_seq
+            FROM came JOIN sizes USING (source) WHERE seq > before + 1""",
         "batch_without_holes": """SELECT 'QM1/TALK-' || conv_id AS source, turn AS arrival_seq,
             (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) // 3 + 1 AS batch_no,
             md5(text) AS body_md5 FROM conversations""",

@@ -9,6 +9,7 @@ those of ``batch_by_limits`` however the stream is split. That takes no task per
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,8 @@ from postlane.operators.routing import route_by
 from postlane.options import IngestOptions, delivery_mode
 from postlane.schemas import OFFSETS, STATE
 from postlane.shared import scratch, settle
-from postlane.sources.state import forget_versions, read_table, replace_table
+from postlane.sources.state import complete_versions, forget_versions, read_table, replace_table
+from postlane.streaming.reorder import FIRST_NUMBER, FRONTIER, HOLES, release_in_order
 
 RUN = T.StructType([T.StructField("run_id", T.StringType())])
 # A message of an open batch; ``ordinal`` is its place in the batch.
@@ -39,6 +41,14 @@ OPEN = T.StructType(
 )
 
 
+@dataclass(frozen=True)
+class InOrder:
+    """Publish each source's messages in the order of their numbers (see ``release_in_order``)."""
+
+    delay_ms: int | None = None
+    first_number: int = FIRST_NUMBER
+
+
 class IngestLog:
     """What a query remembers beside its checkpoint, in numbered versions.
 
@@ -97,6 +107,38 @@ class IngestLog:
         for kind in ("positions", "state", "open", "delivered"):
             forget_versions(self.spark, f"{self.path}/{kind}", batch_id)
 
+    def waiting(self, schema: T.StructType, before_batch: int | None = None) -> DataFrame:
+        """The messages that wait for earlier ones."""
+        bound = None if before_batch is None else before_batch + 1
+        return read_table(self.spark, f"{self.path}/waiting", schema, bound)
+
+    def frontier(self, before_batch: int | None = None) -> DataFrame:
+        """The number each source goes on with when messages are put in order."""
+        bound = None if before_batch is None else before_batch + 1
+        return read_table(self.spark, f"{self.path}/frontier", FRONTIER, bound)
+
+    def holes(self) -> DataFrame:
+        """All numbers given up so far, each when it was passed over."""
+        done = complete_versions(self.spark, f"{self.path}/holes")
+        if not done:
+            return self.spark.createDataFrame([], HOLES)
+        return self.spark.read.schema(HOLES).parquet(*[f"{self.path}/holes/version={number}" for number in done])
+
+    def put_in_order(self, batch: DataFrame, batch_id: int, order: InOrder) -> DataFrame:
+        """The messages that may be published now; the others, and where sources stand, are kept.
+
+        All is kept under the micro-batch's number, so that one that runs again starts from the same.
+        """
+        waiting = self.waiting(batch.schema, batch_id)
+        both = settle(batch.unionByName(waiting), "to-order")
+        found = release_in_order(both, self.frontier(batch_id), order.delay_ms, order.first_number)
+        replace_table(found.holes, f"{self.path}/holes", batch_id + 1)
+        replace_table(found.waiting, f"{self.path}/waiting", batch_id + 1)
+        replace_table(found.frontier, f"{self.path}/frontier", batch_id + 1)
+        for kind in ("waiting", "frontier"):
+            forget_versions(self.spark, f"{self.path}/{kind}", batch_id)
+        return found.ready
+
 
 def cut_onward(
     batch: DataFrame, opened: DataFrame, known: DataFrame, options: IngestOptions
@@ -150,18 +192,26 @@ def open_batches(cut: DataFrame, options: IngestOptions) -> DataFrame:
 
 
 def publish_batch(
-    batch: DataFrame, batch_id: int, options: IngestOptions, sink: str, log: IngestLog, run: str
+    batch: DataFrame,
+    batch_id: int,
+    options: IngestOptions,
+    sink: str,
+    log: IngestLog,
+    run: str,
+    in_order: InOrder | None = None,
 ) -> None:
-    """One micro-batch: state first, then records, then positions.
+    """One micro-batch: what waits, then state, then records, then positions.
 
-    All three are overwritten when the micro-batch runs again, so nothing appears twice.
+    All are overwritten when the micro-batch runs again, so nothing appears twice.
     """
     folder = f"{sink}/run={run}/batch_id={batch_id}"
-    if delivery_mode(options) == "at-least-once":
-        records = to_records(batch.withColumn("sequence_id", F.lit(None).cast("long")), options)
-        _write(route_by(records, options), folder)
-        return
     with scratch():
+        if in_order is not None:
+            batch = log.put_in_order(batch, batch_id, in_order)
+        if delivery_mode(options) == "at-least-once":
+            records = to_records(batch.withColumn("sequence_id", F.lit(None).cast("long")), options)
+            _write(route_by(records, options), folder)
+            return
         known = log.positions(batch_id)
         # Written once, so that the input is read once however often the batches are looked at.
         cut = settle(cut_onward(batch, log.open_messages(batch_id), known, options), "micro-batch")
@@ -183,18 +233,20 @@ def run_ingest(
     checkpoint: str,
     offsets: DataFrame | None = None,
     trigger: dict | None = None,
+    in_order: InOrder | None = None,
 ) -> StreamingQuery:
     """Start publishing a message stream below ``sink``.
 
     ``offsets`` says where sequence ids begin for a new checkpoint and is ignored by a restart.
-    The sink holds ``run=…/batch_id=…/topic=…`` folders.
+    The sink holds ``run=…/batch_id=…/topic=…`` folders. With ``in_order`` a source's messages are published in
+    the order of their numbers, over micro-batches too; those that wait stay in the log until a later one.
     """
     spark = stream.sparkSession
     log = IngestLog(spark, f"{checkpoint}-log")
     run = log.begin(offsets)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        publish_batch(batch, batch_id, options, sink, log, run)
+        publish_batch(batch, batch_id, options, sink, log, run, in_order)
 
     writer = stream.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

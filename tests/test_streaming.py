@@ -1,4 +1,5 @@
 import pathlib
+import random
 from dataclasses import replace
 
 import pytest
@@ -17,7 +18,7 @@ from postlane.options import IngestOptions
 from postlane.shared import new_folder
 from postlane.sources.messages import stream_messages
 from postlane.sources.topics import read_topic, write_topics
-from postlane.streaming import ingest
+from postlane.streaming import ingest, reorder
 
 ONCE = IngestOptions(
     topic="main",
@@ -293,3 +294,83 @@ def test_topics_are_folders(spark, tmp_path, make):
     assert read_topic(spark, path, "dead").count() == 2
     plan = read_topic(spark, path, "main")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(topic" in plan
+
+
+def in_order(spark, frontier, delay_ms, *rows):
+    """What becomes of (source, number, milliseconds) rows."""
+    messages = spark.createDataFrame(list(rows), "source string, arrival_seq long, jms_timestamp long")
+    found = reorder.release_in_order(messages, spark.createDataFrame(frontier, reorder.FRONTIER), delay_ms)
+    numbers = [sorted((r.source, r.arrival_seq) for r in df.collect()) for df in (found.ready, found.waiting)]
+    return (*numbers, sorted(map(tuple, found.frontier.collect())), sorted(map(tuple, found.holes.collect())))
+
+
+def test_messages_wait_for_earlier_ones(spark):
+    ready, waiting, frontier, holes = in_order(
+        spark, [("b", 7, 5)], None, ("a", 2, 9), ("a", 1, 8), ("a", 4, 9), ("a", 2, 9), ("b", 3, 1), ("b", 8, 2)
+    )
+    # Copies and messages from before the frontier do not wait.
+    assert ready == [("a", 1), ("a", 2), ("a", 2), ("b", 3)] and waiting == [("a", 4), ("b", 8)]
+    assert frontier == [("a", 3, 9), ("b", 7, 5)] and holes == []
+
+
+def test_holes_are_given_up_after_a_delay(spark):
+    rows = [("a", 3, 100), ("a", 4, 110), ("a", 7, 120), ("a", 8, 130), ("a", 10, 200), ("a", 13, 201)]
+    ready, waiting, frontier, holes = in_order(spark, [], 80, *rows)
+    assert [n for _, n in ready] == [3, 4, 7, 8] and [n for _, n in waiting] == [10, 13]
+    assert frontier == [("a", 9, 201)] and holes == [("a", 1, 2), ("a", 5, 6)]
+    # Far-apart numbers, and a source without new messages.
+    ready, _, frontier, holes = in_order(spark, [("z", 4, 1)], 0, ("a", 10**12, 5), ("a", 5, 5))
+    assert ready == [("a", 5), ("a", 10**12)] and frontier == [("a", 10**12 + 1, 5), ("z", 4, 1)]
+    assert holes == [("a", 1, 4), ("a", 6, 10**12 - 1)]
+
+
+def test_messages_without_a_place_cannot_be_ordered(spark):
+    for row in ((None, 1, 1), ("a", None, 1)):
+        with pytest.raises(ValueError, match="arrival number"):
+            in_order(spark, [], None, ("a", 1, 1), row)
+
+
+def test_an_empty_micro_batch_keeps_the_frontier(spark):
+    assert in_order(spark, [("b", 7, 5)], 10) == ([], [], [("b", 7, 5)], [])
+
+
+@pytest.mark.parametrize("split", [(30, 1), (7, 3), (3, 2)])
+def test_streams_in_order_however_they_land(spark, tmp_path, make, split):
+    size, seed = split
+    numbers = [number for number in range(1, 31) if number != 25]
+    random.Random(seed).shuffle(numbers)
+    place = Place(spark, tmp_path)
+    for at in range(0, len(numbers), size):
+        rows = [{"arrival_seq": n, "message_id": f"m{n}", "body_text": '{"k":1}'} for n in numbers[at : at + size]]
+        place.land(make(*rows).coalesce(1))
+    stream = stream_messages(spark, place.landing, max_files=1)
+    options = replace(ONCE, batch_size=4)
+    query = ingest.run_ingest(stream, options, place.sink, place.checkpoint, in_order=ingest.InOrder())
+    query.awaitTermination()
+    rows = place.written().orderBy("batch_id", "arrival_seq").collect()
+    # Numbers as they come out, and the batches, are those of the whole table up to the hole.
+    assert [row.arrival_seq for row in rows] == list(range(1, 25))
+    assert [row.sequence_id for row in rows] == [1 + (n - 1) // 4 for n in range(1, 25)]
+    log = ingest.IngestLog(spark, f"{place.checkpoint}-log")
+    assert sorted(r.arrival_seq for r in log.waiting(stream.schema).collect()) == list(range(26, 31))
+    # The missing number comes after a restart, and all that waited with it.
+    place.land(make({"arrival_seq": 25, "message_id": "m25", "body_text": '{"k":1}'}))
+    stream = stream_messages(spark, place.landing, max_files=1)
+    ingest.run_ingest(
+        stream, options, place.sink, place.checkpoint, in_order=ingest.InOrder()
+    ).awaitTermination()
+    rows = place.written().orderBy("batch_id", "arrival_seq").collect()
+    assert [row.arrival_seq for row in rows] == list(range(1, 31))
+
+
+def test_a_micro_batch_put_in_order_may_run_again(spark, tmp_path, make):
+    log, sink = ingest.IngestLog(spark, str(tmp_path / "log")), str(tmp_path / "sink")
+    run = log.begin(None)
+    rows = [{"arrival_seq": n, "message_id": f"m{n}", "body_text": '{"k":1}'} for n in (2, 1, 5, 4, 3, 7)]
+    parts = [make(*rows[:2], rows[2]), make(*rows[3:])]
+    for number, part in enumerate(parts):
+        for _ in range(2):  # as after a crash
+            ingest.publish_batch(part, number, ONCE, sink, log, run, ingest.InOrder())
+    found = spark.read.parquet(sink).orderBy("batch_id", "arrival_seq").collect()
+    assert [(r.batch_id, r.arrival_seq) for r in found] == [(0, 1), (0, 2), (1, 3), (1, 4), (1, 5)]
+    assert [r.arrival_seq for r in log.waiting(parts[0].schema).collect()] == [7]
