@@ -19,7 +19,8 @@ At most about ``MAX_LABELLED`` labelled texts are learnt from, chosen by a hash
 of a text count once. Rows whose id has a CRC-32 divisible by five are never learnt from.
 
 A null text is empty. Strings of less than three letters have the lowest value, and so have
-texts without others. A null id is scored and counts as
+texts without others. A string of more than ``LONGEST`` letters counts as several that overlap, so one very
+long word takes no more memory than many short ones. Letters outside a-z are told apart in 13 classes only. A null id is scored and counts as
 held out. A text labelled both ways counts as toxic. Without any word typical of toxic texts,
 the score is the share of toxic labels. Repeated rows stay; an empty table gives no rows. Other
 columns are ignored.
@@ -47,6 +48,9 @@ LETTERS = 42
 UNLIKE = 0.5
 ALTERED = 0.1
 LEAST_LETTERS = 3
+# Longer strings count as several, which overlap; so many letters are worked on at once.
+LONGEST, OVERLAP = 1000, 50
+LETTERS_AT_ONCE, UNITS_AT_ONCE = 300_000, 10_000
 TYPICAL_SHARE = 0.05
 SPAN, GAP_COST, STARTS = 5, 0.65, 4
 LEAST_RATIO = 10.8  # chi-square at 0.001, one degree of freedom
@@ -73,7 +77,15 @@ class Model:
 
 def letters_only(word: str) -> str:
     word = word.lower()
-    return word if word.isalpha() else "".join(filter(str.isalpha, word))
+    if word.isalpha():
+        return word
+    some = (word[at : at + LETTERS_AT_ONCE] for at in range(0, len(word), LETTERS_AT_ONCE))
+    return "".join(["".join(filter(str.isalpha, part)) for part in some])
+
+
+def pieces_of(unit: str) -> list[str]:
+    """The string itself, or what a long one counts as."""
+    return [unit[at : at + LONGEST] for at in range(0, max(1, len(unit) - OVERLAP), LONGEST - OVERLAP)]
 
 
 def text_strings(texts: list[bytes]) -> tuple[list[str], list[np.ndarray]]:
@@ -81,19 +93,29 @@ def text_strings(texts: list[bytes]) -> tuple[list[str], list[np.ndarray]]:
     words = word_codes(texts)
     units = [letters_only(word) for word in words.terms.to_pylist()]
     single = np.array([len(unit) == 1 for unit in units], bool)
-    held, extra = [], {}
+    extra: dict[str, int] = {}
+    held = []
+
+    def numbers(pieces: list[str]) -> list[int]:
+        return [extra.setdefault(piece, len(units) + len(extra)) for piece in pieces]
+
+    parts = {}
+    for code, unit in enumerate(units):
+        if len(unit) > LONGEST:
+            units[code], *rest = pieces_of(unit)
+            parts[code] = numbers(rest)
+    long = np.array(sorted(parts), np.int64)
     for begin, end in itertools.pairwise(words.starts.tolist()):
         own = np.unique(words.codes[begin:end])
+        more = [number for code in np.intersect1d(own, long).tolist() for number in parts[code]]
         alone = np.concatenate(([False], single[words.codes[begin:end]], [False]))
         if alone.any():
             edges = np.flatnonzero(alone[1:] != alone[:-1])
-            more = []
             for first, last in zip(edges[::2], edges[1::2]):
                 if last - first > 2:
                     joined = "".join(units[code] for code in words.codes[begin + first : begin + last])
-                    more.append(extra.setdefault(joined, len(units) + len(extra)))
-            own = np.union1d(own, np.array(more, np.int64)) if more else own
-        held.append(own)
+                    more += numbers(pieces_of(joined))
+        held.append(np.union1d(own, np.array(more, np.int64)) if more else own)
     return units + list(extra), held
 
 
@@ -139,13 +161,24 @@ def _over_runs(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return total
 
 
+def _runs_of_units(units: list[str]) -> Iterator[slice]:
+    """Neighbouring strings that are worked on together, of bounded number and length."""
+    begin = letters = 0
+    for at, unit in enumerate(units):
+        if at > begin and (at - begin >= UNITS_AT_ONCE or letters + len(unit) > LETTERS_AT_ONCE):
+            yield slice(begin, at)
+            begin, letters = at, 0
+        letters += len(unit)
+    yield slice(begin, len(units))
+
+
 def unit_values(units: list[str], weights: np.ndarray) -> np.ndarray:
     """The machine's value of each string: that of its best run."""
     if not units:
         return np.zeros(0)
     out = []
-    for at in range(0, len(units), 10_000):
-        codes, starts = _flat(units[at : at + 10_000])
+    for some in _runs_of_units(units):
+        codes, starts = _flat(units[some])
         found, weight = _triples(codes, starts)
         value = _over_runs((weights[found] * weight).sum(axis=1), starts)
         norm = np.sqrt(np.maximum(_over_runs((weight**2).sum(axis=1), starts), 1e-12))

@@ -3,6 +3,7 @@
 import hashlib
 import pathlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -188,6 +189,26 @@ def plain_hits(text, items):
     return len(words), len(hit), len(found), named, bool(hit)
 
 
+@pytest.mark.parametrize("most", [1, 10, 11, 25, 100])
+def test_runs_of_words_hold_each_window_once(most):
+    for size in (0, 1, 9, 10, 11, 40):
+        words = [b"%d" % at for at in range(size)]
+        runs = list(decontaminate.runs_of_words(words, most))
+        windows = [tuple(run[at : at + 10]) for run in runs for at in range(max(1, len(run) - 9))]
+        assert windows == [tuple(words[at : at + 10]) for at in range(max(1, size - 9))]
+        assert all(len(run) <= max(most, 10) for run in runs)
+
+
+def test_test_windows_are_written_by_tasks_in_bounded_blocks(spark):
+    items = spark.createDataFrame(
+        [(at, " ".join(f"w{at}x{n}" for n in range(40))) for at in range(30)], "item_id long, text string"
+    )
+    paths = decontaminate.write_blocks(items, "item_id", "text", 100)
+    blocks = [decontaminate.load_block(path) for path in paths]
+    assert len(blocks) >= 12 and max(len(block.terms) for block in blocks) <= 100
+    assert sum(len(block.windows) for block in blocks) == 30 * 31
+
+
 @pytest.mark.parametrize("block_words", [decontaminate.BLOCK_WORDS, 3])
 def test_decontamination_of_odd_rows(spark, odd, block_words):
     items = [(1, "words here same"), (2, None), (3, "!!"), (10, "one"), (4, "same words here " * 5), (4, "z")]
@@ -263,6 +284,69 @@ def test_toxicity_does_not_depend_on_batches(spark):
     assert toxicity.unit_values(plain, weights).tolist() == alone
 
 
+def plain_value(unit, weights):
+    """The best run of a string: its gapped triples, added up one by one."""
+    text, best = f"^{unit}$", toxicity.LOWEST
+    code = [
+        40 if c == "^" else 41 if c == "$" else ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 13 for c in text
+    ]
+    for run in range(len(text) - toxicity.STARTS + 1):
+        value = norm = 0.0
+        for first in range(run, run + toxicity.STARTS):
+            for second in range(first + 1, first + toxicity.SPAN - 1):
+                for third in range(second + 1, min(first + toxicity.SPAN, len(text))):
+                    factor = toxicity.GAP_COST ** (third - first - 2)
+                    triple = (code[first] * toxicity.LETTERS + code[second]) * toxicity.LETTERS + code[third]
+                    value, norm = value + factor * weights[triple], norm + factor**2
+        if norm > 1e-6:
+            best = max(best, value / norm**0.5)
+    return best
+
+
+def test_toxicity_kernel_against_plain_triples():
+    rng = np.random.default_rng(11)
+    weights = rng.normal(size=toxicity.LETTERS**3)
+    units = ["".join(rng.choice(list("abcdeßé語"), size)) for size in rng.integers(3, 30, 60)]
+    got = toxicity.unit_values(units, weights)
+    assert np.allclose(got, [plain_value(unit, weights) for unit in units])
+
+
+def test_kernel_to_landmarks_against_plain_products():
+    units = ["idiot", "idxiot", "harbour", "abcabcab"]
+    triples, weights, home = toxicity._run_vectors(units)
+    dense = np.zeros((toxicity.LETTERS**3, len(triples)), np.float32)
+    for mark in range(len(triples)):
+        np.add.at(dense[:, mark], triples[mark], weights[mark])
+    vectors = []
+    for run in range(len(triples)):
+        vector = {}
+        for triple, weight in zip(triples[run].tolist(), weights[run].tolist()):
+            vector[triple] = vector.get(triple, 0.0) + weight
+        vectors.append(vector)
+    plain = [[sum(w * b.get(t, 0.0) for t, w in a.items()) for b in vectors] for a in vectors]
+    assert np.allclose(toxicity._kernel_to(triples, weights, dense), plain, atol=1e-5)
+    near = [max(plain[a][b] for a in np.flatnonzero(home == 0) for b in np.flatnonzero(home == at)) for at in (1, 2)]
+    assert near[0] > 0.5 > near[1]
+
+
+def test_very_long_words_take_bounded_memory():
+    weights = np.zeros(toxicity.LETTERS**3)
+    weights[(9 * toxicity.LETTERS + 4) * toxicity.LETTERS + 9] = 1.0  # i, d, i
+    word = "q" * 4_000_000 + "idiot"
+    plain = toxicity.text_values(pa.array(["zz qqqq idiot"]), weights)
+    tracemalloc.start()
+    got = toxicity.text_values(pa.array([word, "q q q", " ".join("q" * 3000), None]), weights)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[0] > 0 and plain[0] > 0 and got[1] == got[2] == 0 and got[3] == toxicity.LOWEST
+    assert peak < 200e6
+    for size in (0, 5, 1000, 1001, 1950, 1951, 5000):
+        unit = "".join(chr(97 + at % 26) for at in range(size))
+        pieces = toxicity.pieces_of(unit)
+        assert pieces[0] + "".join(piece[toxicity.OVERLAP :] for piece in pieces[1:]) == unit
+        assert max(map(len, pieces)) <= toxicity.LONGEST
+
+
 def test_toxicity_learns_and_bears_gaps(spark):
     rng = np.random.default_rng(1)
     plain = ["".join(rng.choice(list("aeiounrstlh"), rng.integers(3, 9))) for _ in range(400)]
