@@ -11,8 +11,9 @@ window; these candidate starts are intersected with the list of the next rarest
 own offset, and so on. What is left are exact occurrences. The same lists answer proximity:
 places of the rarest word that have all other words of the window within ``slop`` words.
 
-Test items are read in blocks of bounded size, which tasks load from the shared folder one at a
-time, so the test set may be of any size. Null texts have no words; items without words have no
+Test items are cut into windows by tasks, which write them to the shared folder in blocks of bounded size; a
+long item spans several. Only the blocks' paths reach the driver. Searching tasks load one block at a time, for all
+segments of a batch, so the test set may be of any size. Null texts have no words; items without words have no
 windows. Rows keep their ids, null and repeated ones too; an item without an id counts under an
 empty id. Empty tables give no rows, or no hits. Other columns are ignored.
 """
@@ -37,7 +38,7 @@ from postlane.shared import new_folder, settle
 WINDOW = 10
 SLOP = 20
 SEGMENT_BYTES = 320_000
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 250_000
 SEGMENTS = "doc_ids array<long>, doc_ends array<int>, terms binary, ends array<int>, places binary"
 HITS = (
     "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, "
@@ -86,14 +87,12 @@ class Block:
     item_ids: list[str]
 
 
-def make_block(rows: list[tuple[int | None, str | None]], width: int = WINDOW) -> Block:
+def make_block(rows: list[tuple[int | None, list[bytes]]], width: int = WINDOW) -> Block:
+    """The windows of (item, words) rows."""
     numbers: dict[bytes, int] = {}
     windows, items = [], []
-    for at, (_, text) in enumerate(rows):
-        codes = [
-            numbers.setdefault(word, len(numbers))
-            for word in (text or "").encode().translate(ALNUM).split()
-        ]
+    for at, (_, words) in enumerate(rows):
+        codes = [numbers.setdefault(word, len(numbers)) for word in words]
         for begin in range(max(1, len(codes) - width + 1) if codes else 0):
             window = codes[begin : begin + width]
             windows.append(window + [-1] * (width - len(window)))
@@ -103,22 +102,50 @@ def make_block(rows: list[tuple[int | None, str | None]], width: int = WINDOW) -
     return Block(list(numbers), table, (table >= 0).sum(axis=1), np.array(items, np.int64), ids)
 
 
+def runs_of_words(words: list[bytes], most: int, width: int = WINDOW) -> Iterator[list[bytes]]:
+    """An item's words in runs of at most ``most``, which together hold each of its windows once."""
+    step = max(1, most - width + 1)
+    for at in range(0, max(1, len(words) - width + 1), step):
+        yield words[at : at + step + width - 1]
+
+
 def write_blocks(items: DataFrame, item_id: str, text: str, block_words: int) -> list[str]:
-    """Write the items' windows to the shared folder, in blocks of about ``block_words`` words."""
-    rows = items.select(
+    """Let tasks write the items' windows to the shared folder, in blocks of about ``block_words`` words."""
+    rows = bounded_batches(items).select(
         F.col(item_id).cast("long").alias("item_id"), F.col(text).cast("string").alias("text")
     )
-    words = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-int(words) // (6 * block_words)))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
-    folder, paths = new_folder(items.sparkSession, "test-windows"), []
-    for block in range(blocks):
-        found = dealt.where(F.col("block") == block).select("item_id", "text").collect()
-        path = unique_name(folder, f"block-{block}", "bin")
-        with open_new(path) as out:
-            out.write(pickle.dumps(vars(make_block([tuple(row) for row in found]))))
-        paths.append(path)
-    return paths
+    letters = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    folder = new_folder(items.sparkSession, "test-windows")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple[int | None, list[bytes]]] = []
+
+        def finish() -> pa.RecordBatch:
+            path = unique_name(folder, "block", "bin")
+            with open_new(path) as out:
+                out.write(pickle.dumps(vars(make_block(waiting))))
+            waiting.clear()
+            return pa.RecordBatch.from_pydict({"path": [path]})
+
+        held = 0
+        for batch in batches:
+            for some, texts in text_chunks(batch.column(1)):
+                for item, text in zip(batch.column(0).to_pylist()[some], texts):
+                    for words in runs_of_words(text.translate(ALNUM).split(), block_words):
+                        if not words:
+                            continue
+                        if held and held + len(words) > block_words:
+                            yield finish()
+                            held = 0
+                        waiting.append((item, words))
+                        held += len(words)
+        if held:
+            yield finish()
+
+    # Few tasks, so that a small test set is one block.
+    tasks = max(1, -(-int(letters) // (6 * block_words)))
+    paths = settle(rows.repartition(tasks).mapInArrow(write, "path string"), "test-blocks")
+    return [row["path"] for row in paths.collect()]
 
 
 def load_block(path: str) -> Block:
@@ -181,57 +208,71 @@ def occurrences(segment: Segment, block: Block, slop: int) -> tuple[np.ndarray,
     return alive[phrase], at, alive[near], home
 
 
+class Tally:
+    """What the blocks seen so far find in one segment."""
+
+    def __init__(self, doc_ids: list[int | None], segment: Segment):
+        self.doc_ids, self.segment = doc_ids, segment
+        self.edges = np.zeros(segment.size + 1, np.int64)
+        self.items: list[set[str]] = [set() for _ in doc_ids]
+        self.nearly: list[set[str]] = [set() for _ in doc_ids]
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch, at: int) -> Tally:
+        size = {2: np.uint16, 4: np.uint32}
+        ends = np.asarray(batch.column(3)[at].values).astype(np.int64)
+        raw, total = batch.column(4)[at].as_py(), int(ends[-1]) if len(ends) else 0
+        terms = batch.column(2)[at].as_py()
+        segment = Segment(
+            np.asarray(batch.column(1)[at].values).astype(np.int64),
+            pa.array(terms.split(b"\n") if total else [], pa.large_binary()),
+            ends,
+            np.frombuffer(raw, size[len(raw) // total] if total else np.uint16),
+            total,
+        )
+        return cls(batch.column(0)[at].as_py(), segment)
+
+    def add(self, block: Block, slop: int) -> None:
+        window, start, near, home = occurrences(self.segment, block, slop)
+        np.add.at(self.edges, start, 1)
+        np.add.at(self.edges, start + block.lengths[window], -1)
+        holder = np.searchsorted(self.segment.doc_ends, start, "right")
+        for found, document, item in ((self.items, holder, window), (self.nearly, home, near)):
+            pairs = np.unique(np.stack([document, block.items[item]], axis=1), axis=0)
+            for one, number in pairs.tolist():
+                found[one].add(block.item_ids[number])
+
+    def rows(self) -> pa.RecordBatch:
+        ends = self.segment.doc_ends
+        hit = np.concatenate(([0], np.cumsum(np.cumsum(self.edges[:-1]) > 0)))
+        begins = np.concatenate(([0], ends[:-1]))
+        n_hit = hit[ends] - hit[begins]
+        return pa.RecordBatch.from_pydict(
+            {
+                "doc_id": pa.array(self.doc_ids, pa.int64()),
+                "n_words": ends - begins,
+                "n_hit": n_hit,
+                "n_items": pa.array([len(found) for found in self.items], pa.int64()),
+                "items_sha256": [hashlib.sha256(",".join(sorted(found)).encode()).hexdigest() for found in self.items],
+                "contaminated": n_hit > 0,
+                "n_near_items": pa.array([len(found) for found in self.nearly], pa.int64()),
+            }
+        )
+
+
 def search_index(index: DataFrame, block_paths: list[str], slop: int = SLOP) -> DataFrame:
     """One row per document of the index, in terms of the test items whose windows occur there."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only = load_block(block_paths[0]) if len(block_paths) == 1 else None
         for batch in batches:
-            for at in range(batch.num_rows):
-                doc_ids = batch.column(0)[at].as_py()
-                size = {2: np.uint16, 4: np.uint32}
-                ends = np.asarray(batch.column(3)[at].values).astype(np.int64)
-                raw, total = batch.column(4)[at].as_py(), int(ends[-1]) if len(ends) else 0
-                terms = batch.column(2)[at].as_py()
-                segment = Segment(
-                    np.asarray(batch.column(1)[at].values).astype(np.int64),
-                    pa.array(terms.split(b"\n") if total else [], pa.large_binary()),
-                    ends,
-                    np.frombuffer(raw, size[len(raw) // total] if total else np.uint16),
-                    total,
-                )
-                n_docs = len(doc_ids)
-                edges = np.zeros(total + 1, np.int64)
-                items: list[set[str]] = [set() for _ in range(n_docs)]
-                nearly: list[set[str]] = [set() for _ in range(n_docs)]
-                for path in block_paths:
-                    block = only or load_block(path)
-                    window, start, near, home = occurrences(segment, block, slop)
-                    np.add.at(edges, start, 1)
-                    np.add.at(edges, start + block.lengths[window], -1)
-                    holder = np.searchsorted(segment.doc_ends, start, "right")
-                    pairs = np.unique(np.stack([holder, block.items[window]], axis=1), axis=0)
-                    for document, item in pairs.tolist():
-                        items[document].add(block.item_ids[item])
-                    pairs = np.unique(np.stack([home, block.items[near]], axis=1), axis=0)
-                    for document, item in pairs.tolist():
-                        nearly[document].add(block.item_ids[item])
-                hit = np.concatenate(([0], np.cumsum(np.cumsum(edges[:-1]) > 0)))
-                begins = np.concatenate(([0], segment.doc_ends[:-1]))
-                n_hit = hit[segment.doc_ends] - hit[begins]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": pa.array(doc_ids, pa.int64()),
-                        "n_words": segment.doc_ends - begins,
-                        "n_hit": n_hit,
-                        "n_items": pa.array([len(found) for found in items], pa.int64()),
-                        "items_sha256": [
-                            hashlib.sha256(",".join(sorted(found)).encode()).hexdigest() for found in items
-                        ],
-                        "contaminated": n_hit > 0,
-                        "n_near_items": pa.array([len(found) for found in nearly], pa.int64()),
-                    }
-                )
+            tallies = [Tally.of(batch, at) for at in range(batch.num_rows)]
+            for path in block_paths:
+                block = only or load_block(path)
+                for tally in tallies:
+                    tally.add(block, slop)
+            for tally in tallies:
+                yield tally.rows()
         release()
 
     return index.mapInArrow(search, HITS)
