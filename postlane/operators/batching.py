@@ -185,7 +185,7 @@ def batch_by_count(
 def partition_by_key(
     records: DataFrame, partitions: int, chunk_width: int = BUCKET_WIDTH
 ) -> DataFrame:
-    """Add ``topic_partition`` and lay records out by it, in arrival order.
+    """Add ``topic_partition`` (see ``topic_partition``) and lay records out by it, in arrival order.
 
     Equal keys share a topic partition; records without a key are spread. A topic partition is
     laid out in chunks of consecutive arrival numbers of a source, each whole and ordered in one task, so a
@@ -193,15 +193,31 @@ def partition_by_key(
     do many sources whose numbers all begin near 0. Order holds inside a chunk, and by ``arrival_seq``
     on reading.
     """
+    chunk = F.expr(f"arrival_seq div {chunk_width}")
+    return (
+        records.withColumn("topic_partition", topic_partition(partitions))
+        .repartition("topic_partition", "source", chunk)
+        .sortWithinPartitions("topic_partition", "arrival_seq", "source")
+    )
+
+
+def topic_partition(partitions: int) -> Column:
+    """The topic partition of a record: by its key; without a key, by its place."""
     if partitions < 1:
         raise ValueError("a topic has at least one partition")
     keyless = F.col("key_text").isNull() & F.col("key_bytes").isNull()
     place = F.when(keyless, F.xxhash64("source", "arrival_seq")).otherwise(
         F.xxhash64("key_text", "key_bytes")
     )
-    chunk = F.expr(f"arrival_seq div {chunk_width}")
-    return (
-        records.withColumn("topic_partition", F.pmod(place, F.lit(partitions)).cast("int"))
-        .repartition("topic_partition", "source", chunk)
-        .sortWithinPartitions("topic_partition", "arrival_seq", "source")
-    )
+    return F.pmod(place, F.lit(partitions)).cast("int")
+
+
+def partition_offsets(records: DataFrame, partitions: int, bucket_width: int = BUCKET_WIDTH) -> DataFrame:
+    """Add ``topic_partition`` and ``topic_offset``: 0, 1, 2 … in each, in arrival order.
+
+    Records of equal keys are in one partition, so its offsets give their order to any reader, however the
+    records are laid out. A partition that one frequent key makes large is numbered by many tasks.
+    """
+    dealt = records.withColumn("topic_partition", topic_partition(partitions))
+    numbered = number_in_order(dealt, by="topic_partition", bucket_width=bucket_width)
+    return numbered.withColumn("topic_offset", F.col("ordinal") - 1).drop("ordinal")

@@ -12,7 +12,7 @@ from postlane.functions import failures, headers, values
 from postlane.functions.encoding import to_topic_rows
 from postlane.functions.keys import with_key
 from postlane.operators import delivery, routing
-from postlane.operators.batching import batch_by_count, number_in_order, partition_by_key
+from postlane.operators.batching import batch_by_count, number_in_order, partition_by_key, partition_offsets
 from postlane.operators.limits import batch_by_limits
 from postlane.operators.records import to_records, with_position
 from postlane.options import IngestOptions
@@ -106,6 +106,16 @@ def partitions_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def partition_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order of each key's records as a reader of its topic partition sees them; one key has a third of all."""
+    hot = F.when(F.col("arrival_seq") % 3 == 0, F.lit("GROUP-hot")).otherwise(F.col("group_id"))
+    messages = fixtures.event_messages(spark, sf_dir).withColumn("group_id", hot)
+    keyed = with_key(messages.select(*POSITION, "group_id"), "JMSXGroupID").where("key_text IS NOT NULL")
+    placed = partition_offsets(keyed, 16).select(*POSITION, "key_text", "topic_partition", "topic_offset")
+    seen = number_in_order(settle(placed, "offsets"), by="key_text", order="topic_offset")
+    return seen.select(*POSITION, "key_text", F.col("ordinal").alias("key_place"))
+
+
 def _value_summary(built: DataFrame) -> DataFrame:
     return built.select(
         *POSITION,
@@ -684,6 +694,7 @@ def all_queries() -> dict[str, Query]:
         "key_group_id": _key_query("JMSXGroupID"),
         "key_group_turns": key_group_turns,
         "partitions_by_key": partitions_by_key,
+        "partition_order": partition_order,
         "value_raw": value_raw,
         "value_typed": value_typed,
         "value_raw_documents": value_raw_documents,

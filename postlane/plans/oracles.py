@@ -132,6 +132,10 @@ def _oracles() -> dict[str, str]:
             'conv-' || conv_id AS key_text, md5(text) AS body_md5 FROM conversations""",
         "partitions_by_key": """SELECT 'conv-' || conv_id AS key_text, CAST(1 AS BIGINT) AS partitions,
             count(*) AS records FROM conversations GROUP BY conv_id""",
+        "partition_order": f"""WITH {MESSAGES}, keyed AS (SELECT source, arrival_seq,
+              CASE WHEN arrival_seq % 3 = 0 THEN 'GROUP-hot' ELSE group_id END AS key_text FROM messages)
+            SELECT *, row_number() OVER (PARTITION BY key_text ORDER BY arrival_seq) AS key_place
+            FROM keyed WHERE key_text IS NOT NULL""",
         "value_raw": f"""WITH {MESSAGES} SELECT source, arrival_seq, 'BYTES' AS value_type,
             CAST(NULL AS VARCHAR) AS text_md5, md5(body) AS bytes_md5, strlen(body) AS n_bytes,
             CAST(NULL AS VARCHAR) AS error FROM messages""",

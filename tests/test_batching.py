@@ -13,6 +13,7 @@ from postlane.operators.batching import (
     number_by_ranges,
     number_in_order,
     partition_by_key,
+    partition_offsets,
     sorted_ranges,
 )
 from postlane.operators.limits import batch_by_limits, first_reaching, leave_segment, next_batch
@@ -270,3 +271,24 @@ def test_records_without_key_and_hot_keys_are_spread(spark, make):
 def test_rows_without_a_place_are_refused(make):
     with pytest.raises(ValueError, match="no source"):
         batch_by_count(make({"source": None}, {}), 10)
+
+
+def test_offsets_number_topic_partitions_in_arrival_order(spark):
+    rows = spark.range(9_000).select(
+        F.concat(F.lit("q"), (F.col("id") % 3).cast("string")).alias("source"),
+        F.expr("id div 3 * 1000").alias("arrival_seq"),
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 5 > 0, F.concat(F.lit("k"), F.col("id") % 40)).alias("key_text"),
+        F.lit(None).cast("binary").alias("key_bytes"),
+    )
+    found = partition_offsets(rows, 4, bucket_width=50_000).collect()
+    by_partition, by_key = {}, {}
+    for r in found:
+        by_partition.setdefault(r.topic_partition, []).append((r.topic_offset, r.arrival_seq))
+        by_key.setdefault(r.key_text, set()).add(r.topic_partition)
+    assert len(found) == 9_000 and set(by_partition) == set(range(4))
+    for places in by_partition.values():
+        places.sort()
+        assert [offset for offset, _ in places] == list(range(len(places)))
+        assert [seq for _, seq in places] == sorted(seq for _, seq in places)
+    assert all(len(where) == 1 for key, where in by_key.items() if key is not None)
+    assert partition_offsets(rows.limit(0), 4).count() == 0
