@@ -20,7 +20,7 @@ import pyarrow as pa
 from postlane.llm.words import WORKER_STORE, mixed, ragged, release, text_chunks, word_codes
 
 # Bound of the words one Python worker remembers, about 50 bytes each; longer words are not remembered.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 LONGEST_WORD = 64
 _PLAIN = re.compile(r"([A-Za-zß-öø-ÿÀ-ÖØ-Þ]+)([.,]?)")
 
@@ -196,7 +196,7 @@ class TextEncoder:
         ends = np.concatenate(([0], np.cumsum(lengths)))
         return self.known.ids[ragged(begin, lengths)], ends[words.starts]
 
-    def batches(self, column: pa.Array, limit: int = 1_000_000):
+    def batches(self, column: pa.Array, limit: int = 400_000):
         """``(slice, ids, starts)`` of runs of rows, so that memory stays bounded."""
         for part, texts in text_chunks(column, limit, keep_store=True):
             yield (part, *self.encode(texts))
