@@ -13,7 +13,7 @@ from postlane.llm.packing import pack_documents
 from postlane.llm.passages import without_repeats
 from postlane.llm.simhash_covering import one_of_each
 from postlane.llm.toxicity import without_toxic
-from postlane.shared import Scratch, drop_unused, forget, scratch, settle
+from postlane.shared import Scratch, forget, scratch, settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -21,18 +21,13 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 _held: list[Scratch] = []
 
 
-def _clean_up(spark: SparkSession) -> None:
-    while _held:
-        _held.pop().clear()
-    drop_unused(spark)
-
-
 def _own_tables(work: Stage) -> Stage:
     """A stage's tables go when the next one begins: its result, which is the next one's input, is written then."""
 
     @wraps(work)
     def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        _clean_up(spark)
+        while _held:
+            _held.pop().clear()
         with scratch(clear=False) as mine:
             result = work(spark, docs, sf_dir)
         _held.append(mine)
@@ -62,7 +57,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    _clean_up(spark)
+    while _held:
+        _held.pop().clear()
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
