@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -112,16 +111,6 @@ def scratch(clear: bool = True) -> Iterator[Scratch]:
                 _open_scratches[-1].paths += [one for one in mine.paths if one[1] in mine.kept]
 
 
-def drop_unused(spark: SparkSession) -> None:
-    """Let Spark drop what only finished plans broadcast or shuffled.
-
-    Executors keep such blocks and files until the driver collects the plans that made them, which a
-    driver with little work of its own does late. For long jobs of very many plans, between their parts.
-    """
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def gate(df: DataFrame, keep: Column, otherwise: Column | None = None) -> DataFrame:
     """Keep the rows where ``keep`` holds, evaluating it after the columns it reads.
 
