@@ -588,3 +588,13 @@ def test_word_hashes_tell_terms_apart():
         first, second, lengths = token_ids.term_hashes(array)
         assert len(set(first.tolist())) == len(set(second.tolist())) == len(set(terms))
         assert lengths.tolist() == [len(term.encode()) for term in terms]
+
+
+def test_texts_are_cut_once(spark):
+    """The filter on cut texts does not bring a second Python worker into the stage."""
+    same = " ".join(f"w{at}" for at in range(80))
+    df = spark.createDataFrame([(at, f"own{at} {same}") for at in range(4)], "doc_id long, text string")
+    left = passages.without_repeats(df)
+    plan = left._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ArrowEvalPython") == 1
+    assert sorted(row.text for row in left.collect())[1:] == ["own1", "own2", "own3"]
