@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from postlane.functions.failures import error_reason
 from postlane.functions.headers import long_header, text_header
 from postlane.options import IngestOptions, check_tolerance
-from postlane.shared import gate
+from postlane.shared import gate, settle
 
 # Names of the context headers on dead letters.
 CONTEXT_PREFIX = "__connect.errors."
@@ -155,6 +155,63 @@ def error_report(
     return gate(records, error.isNotNull()).groupBy(*keys).agg(*measures)
 
 
+def error_templates(records: DataFrame, least: int = 20, one_in: int = 100) -> DataFrame:
+    """``error_report`` over free-text reasons: those that differ in a few words only are counted together.
+
+    Reasons of one topic, class and number of words are compared word by word. A word stays in the template if
+    at least ``least`` of these errors, and one in ``one_in`` of them, have it at that place; others become ``*``.
+    So an id or a time is a wildcard, and a shape too rare for words of its own is counted among wildcards. Fewer
+    than ``least`` errors of such a kind keep their reasons as they are.
+
+    Returns topic, class, template, errors, reasons (different ones), first_ms, last_ms and example (the smallest
+    reason). Equal reasons are merged before anything else, words are counted by partial sums, and of the frequent
+    words there are at most ``one_in`` for a place.
+    """
+    kind = ("topic", "class", "words")
+    error = F.col("error")
+    reasons = (
+        gate(records, error.isNotNull())
+        .groupBy("topic", error["class"].alias("class"), error_reason(error["message"]).alias("reason"))
+        .agg(
+            F.count(F.lit(1)).alias("errors"),
+            F.min(F.col("origin")["jms_timestamp"]).alias("first_ms"),
+            F.max(F.col("origin")["jms_timestamp"]).alias("last_ms"),
+        )
+        .withColumn("words", F.size(F.split("reason", " ")))
+    )
+    reasons = settle(reasons, "error-reasons")
+    counted = (
+        reasons.select(*kind, "errors", F.posexplode(F.split("reason", " ")).alias("at", "word"))
+        .groupBy(*kind, "at", "word")
+        .agg(F.sum("errors").alias("n"))
+    )
+    totals = settle(reasons.groupBy(*kind).agg(F.sum("errors").alias("total")), "error-kinds")
+
+    def alike(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        renamed = right.withColumnsRenamed({name: f"__{name}" for name in kind})
+        same = [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in kind]
+        return left.join(renamed, same, how).drop(*[f"__{name}" for name in kind])
+
+    often = alike(counted, totals, "inner").where((F.col("n") >= least) & (F.col("n") * one_in >= F.col("total")))
+    often = often.groupBy(*kind, "at").agg(F.collect_list("word").alias("here"))
+    often = often.groupBy(*kind).agg(F.map_from_entries(F.collect_list(F.struct("at", "here"))).alias("often"))
+    often = settle(alike(totals, often, "left"), "frequent-words")
+    kept = lambda word, at: F.array_contains(F.col("often")[at], word)
+    masked = F.transform(F.split("reason", " "), lambda word, at: F.when(kept(word, at), word).otherwise("*"))
+    template = F.when(F.col("total") < least, F.col("reason")).otherwise(F.array_join(masked, " "))
+    return (
+        alike(reasons, often, "inner")
+        .groupBy("topic", "class", template.alias("template"))
+        .agg(
+            F.sum("errors").alias("errors"),
+            F.count(F.lit(1)).alias("reasons"),
+            F.min("first_ms").alias("first_ms"),
+            F.max("last_ms").alias("last_ms"),
+            F.min("reason").alias("example"),
+        )
+    )
+
+
 def report_by(records: DataFrame, options: IngestOptions) -> DataFrame:
     """``error_report`` as detailed as the options ask: reasons, classes, or with bodies.
 

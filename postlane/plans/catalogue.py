@@ -18,7 +18,7 @@ from postlane.operators.records import to_records, with_position
 from postlane.options import IngestOptions
 from postlane.plans import fixtures
 from postlane.plans.ingest import publish_table, publish_waiting
-from postlane.schemas import OFFSETS, STATE
+from postlane.schemas import ERROR, OFFSETS, STATE
 from postlane.shared import new_folder, settle
 from postlane.sources import messages as envelopes
 from postlane.sources.ledger import Ledger, read_published
@@ -325,6 +325,22 @@ def error_reasons_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.report_by(records, JSON_TO_DEAD)
 
 
+def error_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def refuse(messages: DataFrame) -> DataFrame:
+        told = (
+            F.when(F.col("body_kind") == "text", F.concat(F.lit("no handler for "), "message_id", F.lit(" at "), "destination"))
+            .when(F.col("body_kind") == "bytes", F.concat(F.lit("message "), "message_id", F.lit(" of "), "jms_timestamp", F.lit(" is late")))
+            .when(F.col("body_kind") == "map", F.concat(F.lit("no reader for "), "message_id", F.lit(" at hand: ")))
+            .otherwise("nothing to read")
+        )
+        given = {"class": F.lit("Refused"), "message": told}
+        fields = [given.get(field.name, F.lit(None).cast("string")).alias(field.name) for field in ERROR.fields]
+        return messages.withColumn("value_error", F.struct(*fields))
+
+    options = IngestOptions(topic=MAIN, builder=refuse, tolerance="all")
+    return routing.error_templates(to_records(fixtures.event_messages(spark, sf_dir), options))
+
+
 def error_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = fixtures.table(spark, sf_dir, "conversations")
     ending = F.when(F.col("turn") % 2 == 0, " : \n").otherwise("")
@@ -717,6 +733,7 @@ def all_queries() -> dict[str, Query]:
         "dlq_context_headers": dlq_context_headers,
         "error_report": error_report,
         "error_reasons_only": error_reasons_only,
+        "error_templates": error_templates,
         "error_reason": error_reason,
         "error_trace": error_trace,
         "triage": triage,

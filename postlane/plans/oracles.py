@@ -265,6 +265,29 @@ def _oracles() -> dict[str, str]:
                   ELSE '{UNSUPPORTED}' END AS reason FROM parsed WHERE NOT good)
             SELECT '{MAIN}' AS topic, reason, count(*) AS errors, min(ms) AS first_ms,
               max(ms) AS last_ms FROM failed GROUP BY reason""",
+        "error_templates": f"""WITH {MESSAGES}, failed AS (
+              SELECT ms, CASE body_kind WHEN 'text' THEN 'no handler for ' || message_id || ' at ' || destination
+                WHEN 'bytes' THEN 'message ' || message_id || ' of ' || ms || ' is late'
+                WHEN 'map' THEN 'no reader for ' || message_id || ' at hand'
+                ELSE 'nothing to read' END AS reason FROM messages),
+            reasons AS (
+              SELECT reason, count(*) AS errors, min(ms) AS first_ms, max(ms) AS last_ms,
+                string_split(reason, ' ') AS split, len(string_split(reason, ' ')) AS words
+              FROM failed GROUP BY reason),
+            each_word AS (
+              SELECT reason, errors, words, unnest(split) AS word, generate_subscripts(split, 1) AS place FROM reasons),
+            totals AS (SELECT words, sum(errors) AS total FROM reasons GROUP BY words),
+            often AS (
+              SELECT words, place, word FROM each_word JOIN totals USING (words) GROUP BY words, place, word, total
+              HAVING sum(errors) >= 20 AND sum(errors) * 100 >= total),
+            shaped AS (
+              SELECT e.reason, string_agg(CASE WHEN total < 20 OR o.word IS NOT NULL THEN e.word ELSE '*' END, ' '
+                ORDER BY e.place) AS template
+              FROM each_word e JOIN totals t ON t.words = e.words
+              LEFT JOIN often o ON o.words = e.words AND o.place = e.place AND o.word = e.word GROUP BY e.reason)
+            SELECT '{MAIN}' AS topic, 'Refused' AS class, template, CAST(sum(errors) AS BIGINT) AS errors,
+              count(*) AS reasons, min(first_ms) AS first_ms, max(last_ms) AS last_ms, min(reason) AS example
+            FROM shaped JOIN reasons USING (reason) GROUP BY template""",
         "error_reason": r"""SELECT conv_id, turn, md5(CASE
               WHEN role <> 'user' OR role IS NULL THEN 'Unknown error'
               ELSE regexp_replace(text || CASE WHEN turn % 2 = 0 THEN ' : ' || chr(10) ELSE '' END,

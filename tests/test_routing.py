@@ -207,3 +207,41 @@ def test_position(make):
 def test_unknown_tolerance(make):
     with pytest.raises(OptionError):
         routing.route(to_records(make({}), options()), "some")
+
+
+def failing(spark, reasons):
+    """Records that failed, given (topic, reason, time) as columns."""
+    return reasons.selectExpr(
+        "topic",
+        "named_struct('class', 'Refused', 'message', reason) AS error",
+        "named_struct('jms_timestamp', at) AS origin",
+    )
+
+
+def test_error_templates_of_five_shapes(spark):
+    shapes = ["no user %s", "user %s has no order %s", "late by %s ms", "%s", "disk %s of host %s is full"]
+    told = " ".join(f"WHEN {at} THEN '{shape.replace('%s', '{}')}'" for at, shape in enumerate(shapes))
+    reasons = spark.range(0, 50_000, 1, 8).selectExpr(
+        "'a' AS topic", f"replace(CASE id % 5 {told} END, '{{}}', concat('x', id)) AS reason", "id AS at"
+    )
+    found = {row.template: row for row in routing.error_templates(failing(spark, reasons)).collect()}
+    assert set(found) == {shape.replace("%s", "*") for shape in shapes}
+    assert all(row.errors == row.reasons == 10_000 for row in found.values())
+    assert (found["no user *"].first_ms, found["no user *"].last_ms) == (0, 49_995)
+
+
+def test_error_templates_keep_what_is_rare_or_odd(spark):
+    rows = [("a", "x 1", 1), ("a", "x 2", 2), (None, "x 1", 3), ("a", None, 4), ("a", "y: ", None), ("a", "y", 9)]
+    rows += [("b", f"busy {at}", at) for at in range(30)] + [("b", "stray words", 5)]
+    found = routing.error_templates(failing(spark, spark.createDataFrame(rows, "topic string, reason string, at long")))
+    got = {(row.topic, row.template): (row.errors, row.reasons, row.first_ms, row.last_ms, row.example) for row in found.collect()}
+    assert got == {
+        ("a", "x 1"): (1, 1, 1, 1, "x 1"),
+        ("a", "x 2"): (1, 1, 2, 2, "x 2"),
+        (None, "x 1"): (1, 1, 3, 3, "x 1"),
+        ("a", "Unknown error"): (1, 1, 4, 4, "Unknown error"),
+        ("a", "y"): (2, 1, 9, 9, "y"),
+        ("b", "busy *"): (30, 30, 0, 29, "busy 0"),
+        ("b", "* *"): (1, 1, 5, 5, "stray words"),
+    }
+    assert routing.error_templates(failing(spark, found.limit(0).selectExpr("topic", "example AS reason", "errors AS at"))).count() == 0
