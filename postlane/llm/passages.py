@@ -14,9 +14,13 @@ none is split at its dearest gap, and its parts are tried in the same way, down
 Occurrences that no passage explains, by holding them or ending right beside them, are matched again
 among themselves: each seed, and 2, 4 and 8 neighbouring seeds as one key, with the smallest document that
 has them. So two documents meet on a passage of stock lines too, whose lines by themselves occur in other
-documents. Then the documents that came first go, and the rest meet again, until no seed is left
-in two documents; from the sixth round on in ever smaller groups of documents (``among_fewer``), so the
-number of rounds grows with the logarithm of a seed's documents.
+documents. Then the documents that came first go, and the rest meet again, ``ROUNDS`` times.
+
+What is in no passage of its document by then is compared without regard to who came first, with every smaller
+document that has two of its seeds in the same order and as far apart as a passage needs
+(``later_and_earlier``). One seed alone, however common, makes no two documents meet. The number of such
+documents is quadratic where two seeds are common and nothing explains them, e.g. in a stock paragraph too
+short for a passage; they are dealt over tasks in blocks.
 
 Words are what stands between ASCII white space, in lower case as far as ASCII goes. A null text has no words. Rows without an id, or
 whose id appears more than once with other texts, cannot be addressed: the former are not compared,
@@ -26,8 +30,8 @@ columns are ignored.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +52,8 @@ DROP = 8
 _SEED = 0x5EED
 LONGER = (2, 4, 8)
 ROUNDS = 4
+# Documents of two seeds that one task compares with all of the others.
+PER_BLOCK = 1_000
 SEEDS = "h long, doc_id long, pos int, nth int"
 KEYS = "h long, base long, doc_id long, pos int, nth int, span int, low long"
 RUN = "struct<begin: int, other: int, length: int>"
@@ -450,30 +456,80 @@ def first_holders(seeds: DataFrame) -> DataFrame:
     return settle(owners.where("rep < most").select("h", "rep"), "first-holders")
 
 
-def among_fewer(seeds: DataFrame, number: int) -> DataFrame:
-    """Seeds (base is the seed itself) as they are matched in a round.
+def seed_pairs(shared: DataFrame, nearest: int, furthest: int) -> DataFrame:
+    """(first, second, doc_id, apart): two seeds of a document, ``apart`` words from one to the other."""
+    stretch = F.expr(f"pos div {furthest}")
+    one = shared.select("doc_id", F.col("h").alias("first"), F.col("pos").alias("begin"), stretch.alias("stretch"))
+    other = shared.select(
+        "doc_id", F.col("h").alias("second"), "pos", F.explode(F.array(stretch, stretch - 1)).alias("stretch")
+    )
+    both = one.join(other, ["doc_id", "stretch"]).withColumn("apart", F.col("pos") - F.col("begin"))
+    return both.where(F.col("apart").between(nearest, furthest)).select("first", "second", "doc_id", "apart").distinct()
+
+
+def later_and_earlier(later: DataFrame, earlier: DataFrame, least: int) -> DataFrame:
+    """(doc_id, rep): every document of ``later`` with each smaller one of ``earlier`` that a passage of chained seeds may join.
+
+    A chain spans ``least`` words and has no gap beyond ``MAX_GAP``, so the first of its seeds that is ``least``
+    from its beginning is not much further away. The same two seeds stand between half and twice as far apart in
+    the other document, as what is shifted more is not alike. The documents of two common seeds are dealt into blocks,
+    each of which meets all of the earlier ones.
+    """
+    near, far = least - K, least + MAX_GAP
+    later = settle(seed_pairs(later, near, far), "seed-pairs")
+    earlier = seed_pairs(earlier, max(1, near // 2), 2 * far)
+    blocks = F.ceil(F.count(F.lit(1)) / PER_BLOCK).cast("int")
+    held = settle(later.groupBy("first", "second").agg(blocks.alias("blocks"), F.max("doc_id").alias("most")), "seed-pairs-held")
+    earlier = settle(earlier.join(held, ["first", "second"]).where("doc_id < most"), "earlier")
+    later = later.join(held, ["first", "second"]).withColumn(
+        "block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    )
+    earlier = earlier.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    later = later.select("first", "second", "block", "doc_id", "apart")
+    earlier = earlier.select("first", "second", "block", F.col("doc_id").alias("rep"), F.col("apart").alias("other"))
+    alike = (F.col("other") * 2 >= F.col("apart")) & (F.col("other") <= F.col("apart") * 2)
+    met = later.join(earlier, ["first", "second", "block"]).where((F.col("rep") < F.col("doc_id")) & alike)
+    return settle(met.select("doc_id", "rep").distinct(), "later-and-earlier")
+
+
+def all_matches(later: DataFrame, seeds: DataFrame, least: int) -> DataFrame:
+    """Matches (doc_id, rep, pos, nth, span, places, first_pos) of all documents that may have a passage in common.
 
-    In the rounds up to ``ROUNDS`` a seed is one for all documents. From then on the documents are
-    dealt into twice as many groups each round, every group a part of one before, and a seed is matched
-    within a group, so that one in very many documents does not take a round for each of them.
+    ``later`` are the seeds to be matched, ``seeds`` those of all documents.
     """
-    group = F.pmod(F.xxhash64("doc_id"), F.lit(2 ** max(0, number - ROUNDS)))
-    h = F.col("h") if number <= ROUNDS else F.xxhash64("h", group)
-    return seeds.select(h.alias("h"), F.col("h").alias("base"), "doc_id", "pos", "nth")
+    earlier = settle(seeds.join(later.select("h").distinct(), "h", "left_semi"), "earlier-seeds")
+    met = later_and_earlier(later, earlier, least)
+    held = places_of(earlier, ["doc_id", "h"]).withColumnRenamed("doc_id", "rep")
+    return met.join(later.select("h", "doc_id", "pos", "nth", F.lit(0).alias("span")), "doc_id").join(held, ["rep", "h"])
 
 
-def places_in_first(shared: DataFrame) -> DataFrame:
-    """(h, places, first_pos): where each seed stands in its first document, the n-th at index n.
+def places_of(seeds: DataFrame, by: list[str]) -> DataFrame:
+    """(places, first_pos) per ``by``: where a seed stands in a document, the n-th at index n.
 
     An array is no longer than that one document; what has been explained is null in it.
     """
     held = F.sort_array(F.collect_set(F.struct("nth", "pos")))
-    heads = shared.where("doc_id = rep").groupBy("h").agg(held.alias("held"))
+    heads = seeds.groupBy(*by).agg(held.alias("held"))
     before = lambda i: F.when(i > 0, F.get("held", i - 1)["nth"]).otherwise(-1)
     heads = heads.withColumn("held", F.filter("held", lambda one, i: one["nth"] > before(i)))
     holes = lambda one, i: F.array_repeat(F.lit(None).cast("int"), one["nth"] - before(i) - 1)
     filled = F.flatten(F.transform("held", lambda one, i: F.concat(holes(one, i), F.array(one["pos"]))))
-    return settle(heads.select("h", filled.alias("places"), F.get("held", F.lit(0))["pos"].alias("first_pos")), "first-places")
+    return settle(heads.select(*by, filled.alias("places"), F.get("held", F.lit(0))["pos"].alias("first_pos")), "first-places")
+
+
+def unexplained(seeds: DataFrame, passages: DataFrame, sources: bool = True) -> DataFrame:
+    """The seeds that are not in or right beside a passage, nor, with ``sources``, the place where it stood first."""
+    spans = passages.select("doc_id", F.struct(F.col("start_word").alias("a"), F.col("end_word").alias("b")).alias("span"))
+    if sources:
+        spans = spans.unionByName(
+            passages.select(
+                F.col("source_doc_id").alias("doc_id"),
+                F.struct(F.col("source_start_word").alias("a"), F.col("source_end_word").alias("b")).alias("span"),
+            )
+        )
+    spans = spans.distinct().groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
+    inside = F.exists("spans", lambda span: (F.col("pos") >= span["a"] - WINDOW) & (F.col("pos") <= span["b"] + WINDOW))
+    return seeds.join(spans, "doc_id", "left").where(~F.coalesce(inside, F.lit(False))).drop("spans")
 
 
 def text_hash(text: str) -> Column:
@@ -512,10 +568,7 @@ def repeated_passages(
         found = _passage_rounds(one_text_each(rows)[0], min_words, similarity, outer)
     if not found:
         return rows.sparkSession.createDataFrame([], PASSAGES)
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    return reduce(DataFrame.unionByName, found)
 
 
 def _passage_rounds(rows: DataFrame, min_words: int, similarity: float, outer: Scratch) -> list[DataFrame]:
@@ -523,50 +576,63 @@ def _passage_rounds(rows: DataFrame, min_words: int, similarity: float, outer: S
     seeds = settle(find_seeds(rows), "seeds")
     # Of equal words, the outermost seeds stand less than a window from both ends.
     least = max(K + 1, min_words - 2 * (WINDOW + 2))
-    found = []
-    for number in itertools.count():
+    found, every = [], None
+    for number in range(ROUNDS + 1):
         with scratch() as scope:
-            dealt = among_fewer(seeds, number)
+            dealt = seeds.select("h", F.col("h").alias("base"), "doc_id", "pos", "nth")
             shared = settle(dealt.join(first_holders(dealt), "h"), "shared-seeds")
             if shared.isEmpty():
-                return found
+                break
+            if every is None:
+                every = scope.keep(shared)
             if number:
                 keys = settle(longer_seeds(shared), "keys")
                 shared = settle(keys.join(first_holders(keys), "h"), "shared-keys")
             else:
                 shared = shared.selectExpr("*", "0 AS span", "rep AS low")
-            # The n-th occurrence goes to the n-th one there, or else to the first.
-            matches = shared.where("doc_id <> rep and (span = 0 or rep <> low)").join(places_in_first(shared), "h")
-            matches = matches.withColumn("rep_pos", F.coalesce(F.get("places", F.col("nth")), F.col("first_pos")))
-            pairs = (
-                matches.groupBy("doc_id", "rep")
-                .agg(F.collect_list(F.struct("pos", "rep_pos", "span")).alias("matches"))
-                .where(
-                    F.array_max(F.transform("matches", lambda one: one["pos"] + one["span"]))
-                    - F.array_min("matches.pos") + K >= least
-                )
-            )
-            chains = settle(find_chains(pairs, least), "chains")
+            places = places_of(shared.where("doc_id = rep"), ["h"])
+            matches = shared.where("doc_id <> rep and (span = 0 or rep <> low)").join(places, "h")
+            passages = _matched_passages(matches, rows, min_words, similarity, least)
             rest = shared.where("span = 0 and doc_id <> rep" if number else "span = 0").select(F.col("base").alias("h"), "doc_id", "pos", "nth")
-            if not chains.isEmpty():
-                named = chains.select("doc_id").union(chains.select("rep")).distinct()
-                words = settle(word_hashes(rows.join(named, "doc_id", "left_semi").select("doc_id", "text")), "words")
-                passages = settle(align_chains(chains, words, min_words, similarity), "passages")
+            if passages is not None:
                 found.append(outer.keep(scope.keep(passages)))
-                # Seeds in or right beside a passage, on either side, need no other match.
-                spans = passages.select("doc_id", F.struct(F.col("start_word").alias("a"), F.col("end_word").alias("b")).alias("span"))
-                spans = spans.unionByName(
-                    passages.select(
-                        F.col("source_doc_id").alias("doc_id"),
-                        F.struct(F.col("source_start_word").alias("a"), F.col("source_end_word").alias("b")).alias("span"),
-                    )
-                )
-                spans = spans.distinct().groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
-                inside = F.exists("spans", lambda span: (F.col("pos") >= span["a"] - WINDOW) & (F.col("pos") <= span["b"] + WINDOW))
-                rest = rest.join(spans, "doc_id", "left").where(~F.coalesce(inside, F.lit(False))).drop("spans")
+                rest = unexplained(rest, passages)
             left = scope.keep(settle(rest, "unexplained"))
         forget(seeds)
         seeds = left
+    if every is None:
+        return found
+    with scratch() as scope:
+        later = every.where("doc_id <> rep")
+        if found:
+            later = unexplained(later, reduce(DataFrame.unionByName, found), sources=False)
+        matches = all_matches(settle(later, "unexplained"), every, least)
+        passages = _matched_passages(matches, rows, min_words, similarity, least)
+        if passages is not None:
+            found.append(outer.keep(scope.keep(passages)))
+    return found
+
+
+def _matched_passages(
+    matches: DataFrame, rows: DataFrame, min_words: int, similarity: float, least: int
+) -> DataFrame | None:
+    """The passages that matches make, settled; None where there is no chain at all."""
+    # The n-th occurrence goes to the n-th one there, or else to the first.
+    matches = matches.withColumn("rep_pos", F.coalesce(F.get("places", F.col("nth")), F.col("first_pos")))
+    pairs = (
+        matches.groupBy("doc_id", "rep")
+        .agg(F.collect_list(F.struct("pos", "rep_pos", "span")).alias("matches"))
+        .where(
+            F.array_max(F.transform("matches", lambda one: one["pos"] + one["span"]))
+            - F.array_min("matches.pos") + K >= least
+        )
+    )
+    chains = settle(find_chains(pairs, least), "chains")
+    if chains.isEmpty():
+        return None
+    named = chains.select("doc_id").union(chains.select("rep")).distinct()
+    words = settle(word_hashes(rows.join(named, "doc_id", "left_semi").select("doc_id", "text")), "words")
+    return settle(align_chains(chains, words, min_words, similarity), "passages")
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -437,6 +437,22 @@ def test_rounds_go_on_without_a_passage(spark):
     assert (4, 70, 150, 3, 0, 80) in spans(table)
 
 
+def test_passages_behind_many_documents_that_hold_most_of_them(spark):
+    own = lambda name, n: [f"{name}{i}" for i in range(n)]
+    texts = {}
+    for p in range(3):
+        whole = own(f"whole{p}x", 52)
+        for i in range(40):  # each too short for a passage, and before the documents that hold all of it
+            texts[100 * p + i] = own(f"a{p}x{i}x", 20) + (whole[:46], whole[6:])[i % 2] + own(f"b{p}x{i}x", 20)
+        for i in range(6):
+            texts[1000 + 10 * p + i] = own(f"c{p}x{i}x", 10 + i) + whole + own(f"d{p}x{i}x", 20)
+    table = spark.createDataFrame([(i, " ".join(text)) for i, text in texts.items()], "doc_id long, text string")
+    found = spans(table)
+    held = {1000 + 10 * p + i: (10 + i, 62 + i) for p in range(3) for i in range(6)}
+    assert {row[0] for row in found} == {doc for doc in held if doc % 10}
+    assert all(row[1:3] == held[row[0]] and row[4:] == held[row[3]] and row[3] < row[0] for row in found)
+
+
 def test_chains_follow_both_orders():
     chains = passages.chain_runs(np.array([0, 20, 40, 10]), np.array([0, 22, 43, 500]), np.array([10, 10, 10, 10]))
     assert [0, 1, 2] in chains and [3] in chains
