@@ -596,7 +596,7 @@ def topic_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def message_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = envelopes.read_messages(spark, fixtures.landed_events(spark, sf_dir))
+    landed = envelopes.read_messages(spark, fixtures.landed_events(spark, sf_dir).path)
     return landed.groupBy("source", "body_kind").agg(
         F.count(F.lit(1)).alias("messages"),
         F.min("arrival_seq").alias("first_seq"),
@@ -605,7 +605,8 @@ def message_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = envelopes.stream_messages(spark, fixtures.landed_events(spark, sf_dir), max_files=2)
+    landed = fixtures.landed_events(spark, sf_dir)
+    stream = envelopes.stream_messages(spark, landed.path, max_files=2 * landed.files)
     sink = new_folder(spark, "sink")
     run_ingest(stream, NUMBERED, sink, new_folder(spark, "checkpoint")).awaitTermination()
     return spark.read.parquet(sink)
@@ -634,7 +635,7 @@ def stream_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches that stay open over micro-batches: those of the whole table, however it arrives."""
     landed = fixtures.landed_in_turn(spark, sf_dir)
-    stream = envelopes.stream_messages(spark, landed, max_files=1)
+    stream = envelopes.stream_messages(spark, landed.path, max_files=landed.files)
     options = replace(NUMBERED, batch_size=LIMIT_SIZE, max_poll_ms=LIMIT_MS, gap_ms=GAP_MS)
     sink = new_folder(spark, "sink")
     run_ingest(stream, options, sink, new_folder(spark, "checkpoint")).awaitTermination()
@@ -642,10 +643,10 @@ def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _delivered_in_order(
-    spark: SparkSession, landed: str, in_order: InOrder, options: IngestOptions = JSON_TO_DEAD
+    spark: SparkSession, landed: fixtures.Landed, in_order: InOrder, options: IngestOptions = JSON_TO_DEAD
 ) -> tuple[DataFrame, str]:
     """The records of a stream put in order, each with its place in its queue as published, and the checkpoint."""
-    stream = envelopes.stream_messages(spark, landed, max_files=1)
+    stream = envelopes.stream_messages(spark, landed.path, max_files=landed.files)
     sink, checkpoint = new_folder(spark, "sink"), new_folder(spark, "checkpoint")
     run_ingest(stream, options, sink, checkpoint, in_order=in_order).awaitTermination()
     published = spark.read.parquet(sink).select(
@@ -663,7 +664,7 @@ def stream_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One that gives numbers up at once: the holes, and how many messages came all the same."""
-    landed = fixtures.landed_out_of_order(spark, sf_dir, "arrival_seq % 100 IN (0, 1, 50)", files=1)
+    landed = fixtures.landed_out_of_order(spark, sf_dir, "arrival_seq % 100 IN (0, 1, 50)", parts=1)
     placed, checkpoint = _delivered_in_order(spark, landed, InOrder(delay_ms=0))
     came = placed.groupBy("source").agg(F.count(F.lit(1)).alias("came"), F.max("arrival_seq").alias("last_came"))
     holes = IngestLog(spark, f"{checkpoint}-log").holes()
@@ -672,7 +673,7 @@ def stream_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = fixtures.landed_events(spark, sf_dir)
-    stream = envelopes.stream_messages(spark, landed)
+    stream = envelopes.stream_messages(spark, landed.path)
     copies = F.when(F.col("properties")[0]["text"] == "purchase", 3).otherwise(1)
     doubled = stream.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")
     out = new_folder(spark, "deduped")

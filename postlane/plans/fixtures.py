@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,7 @@ from postlane.shared import new_folder, prepare, settle
 from postlane.sources.messages import MessageSpec, Property, as_messages, queue_id
 
 STATE_ID = 23
+ROWS_PER_FILE = 200_000
 
 ORDER_SCHEMA = """{"type":"struct","fields":[
 {"field":"order_key","type":"int32"},{"field":"status","type":"string"},
@@ -223,35 +227,58 @@ def delivery_tables(batched: DataFrame) -> tuple[DataFrame, DataFrame]:
     return state, state.select("source", proven.cast("long").alias("sequence_id"))
 
 
-def landed_events(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
+@dataclass(frozen=True)
+class Landed:
+    """Message files below ``path``, written in several parts of ``files`` files each."""
+
+    path: str
+    files: int
+
+
+def _files(messages: DataFrame, parts: int) -> int:
+    """How many files each of the parts takes, so that none is a large one."""
+    return max(1, math.ceil(messages.count() / (parts * ROWS_PER_FILE)))
+
+
+def landed_events(spark: SparkSession, sf_dir: str, parts: int = 4) -> Landed:
     """The event messages written out as several files, ready to be streamed."""
     path = new_folder(spark, "landed")
-    event_messages(spark, sf_dir).repartitionByRange(files, "arrival_seq").write.parquet(path)
-    return path
+    messages = event_messages(spark, sf_dir)
+    files = _files(messages, parts)
+    messages.repartitionByRange(parts * files, "arrival_seq").write.parquet(path)
+    return Landed(path, files)
+
+
+def _land(messages: DataFrame, path: str, files: int) -> None:
+    """Add one part to a landing folder."""
+    dealt = messages.coalesce(1) if files == 1 else messages.repartition(files)
+    dealt.write.mode("append").parquet(path)
 
 
-def landed_in_turn(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
-    """The event messages written out in order of arrival, one file after the other."""
+def landed_in_turn(spark: SparkSession, sf_dir: str, parts: int = 4) -> Landed:
+    """The event messages written out in order of arrival, one part after the other."""
     path = new_folder(spark, "landed")
     messages = event_messages(spark, sf_dir)
+    files = _files(messages, parts)
     first, last = messages.agg(F.min("arrival_seq"), F.max("arrival_seq")).first()
-    part = F.floor((F.col("arrival_seq") - first) * files / (last - first + 1))
-    for number in range(files):
-        messages.where(part == number).coalesce(1).write.mode("append").parquet(path)
-    return path
+    part = F.floor((F.col("arrival_seq") - first) * parts / (last - first + 1))
+    for number in range(parts):
+        _land(messages.where(part == number), path, files)
+    return Landed(path, files)
 
 
-def landed_out_of_order(spark: SparkSession, sf_dir: str, missing: str, files: int = 3) -> str:
-    """The event messages, numbered 1 to ``held`` in their queues, in files that each hold some from everywhere.
+def landed_out_of_order(spark: SparkSession, sf_dir: str, missing: str, parts: int = 3) -> Landed:
+    """The event messages, numbered 1 to ``held`` in their queues, in parts that each hold some from everywhere.
 
     Those that fulfil ``missing`` come in no file.
     """
     path = new_folder(spark, "landed")
     messages = number_in_order(event_messages(spark, sf_dir))
     messages = settle(messages.withColumn("arrival_seq", F.col("ordinal")).drop("ordinal"), "numbered")
+    files = _files(messages, parts)
     sizes = messages.groupBy("source").agg(F.count(F.lit(1)).alias("held"))
     there = messages.join(sizes, "source").where(~F.expr(missing)).select(*messages.columns)
-    part = F.pmod(F.crc32(F.col("message_id").cast("binary")), F.lit(files))
-    for number in range(files):
-        there.where(part == number).coalesce(1).write.mode("append").parquet(path)
-    return path
+    part = F.pmod(F.crc32(F.col("message_id").cast("binary")), F.lit(parts))
+    for number in range(parts):
+        _land(there.where(part == number), path, files)
+    return Landed(path, files)

@@ -165,3 +165,22 @@ def test_error_structs_are_constants(spark):
     built = to_records(fixtures.event_messages(spark, SF_DIR), catalogue.JSON_TO_DEAD)
     df = built.select(F.col("error.class"))
     assert "named_struct" not in optimized(df)
+
+
+def test_landed_files_stay_small(spark, tmp_path, monkeypatch):
+    events = spark.range(1, 1201).selectExpr(
+        "id AS event_id", "id % 7 AS user_id", "'view' AS event_type", "cast(id AS double) AS value",
+        "concat('{\"k\": ', id, '}') AS props", "timestamp_millis(1700000000000 + id) AS ts",
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(fixtures, "ROWS_PER_FILE", 100)
+    sf_dir = str(tmp_path)
+    for landed, parts in (
+        (fixtures.landed_events(spark, sf_dir), 4),
+        (fixtures.landed_in_turn(spark, sf_dir), 4),
+        (fixtures.landed_out_of_order(spark, sf_dir, "false"), 3),
+        (fixtures.landed_out_of_order(spark, sf_dir, "false", parts=1), 1),
+    ):
+        rows = spark.read.parquet(landed.path).groupBy("_metadata.file_path").count().collect()
+        assert sum(row["count"] for row in rows) == 1200 and landed.files == 12 // parts
+        assert len(rows) >= 10 and max(row["count"] for row in rows) <= 200
