@@ -17,10 +17,11 @@ has them. So two documents meet on a passage of stock lines too, whose lines by
 documents. Then the documents that came first go, and the rest meet again, ``ROUNDS`` times.
 
 What is in no passage of its document by then is compared without regard to who came first, with every smaller
-document that has two of its seeds in the same order and as far apart as a passage needs
-(``later_and_earlier``). One seed alone, however common, makes no two documents meet. The number of such
-documents is quadratic where two seeds are common and nothing explains them, e.g. in a stock paragraph too
-short for a passage; they are dealt over tasks in blocks.
+document that has seeds in common which a chain of a passage's span can begin with: two that chain at once
+and are as far apart as a passage needs, or two that chain and a third one as far away (``chain_starts``). One seed
+alone, however common, makes no two documents meet. The number of such documents is quadratic where these
+seeds are common and nothing explains them, e.g. in a stock paragraph too short for a passage; they are
+dealt over tasks in blocks.
 
 Words are what stands between ASCII white space, in lower case as far as ASCII goes. A null text has no words. Rows without an id, or
 whose id appears more than once with other texts, cannot be addressed: the former are not compared,
@@ -52,9 +53,12 @@ DROP = 8
 _SEED = 0x5EED
 LONGER = (2, 4, 8)
 ROUNDS = 4
-# Documents of two seeds that one task compares with all of the others.
+# Documents that share seeds and that one task compares with all of the others.
 PER_BLOCK = 1_000
+# Words of 64 bits in the filter of documents whose words are wanted.
+FILTER_WORDS = 1 << 18
 SEEDS = "h long, doc_id long, pos int, nth int"
+STARTS = "key long, doc_id long, apart int"
 KEYS = "h long, base long, doc_id long, pos int, nth int, span int, low long"
 RUN = "struct<begin: int, other: int, length: int>"
 CHAINS = f"doc_id long, rep long, chains array<array<{RUN}>>"
@@ -428,7 +432,7 @@ def align_chains(chains: DataFrame, words: DataFrame, min_words: int, similarity
 
 
 def word_hashes(docs: DataFrame) -> DataFrame:
-    """(doc_id, words): 32 bits of each word's hash, one row per id."""
+    """(doc_id, words): 32 bits of each word's hash, a row for each of ``docs``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -444,7 +448,20 @@ def word_hashes(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "words"],
                 )
 
-    return docs.mapInArrow(work, "doc_id long, words binary").dropDuplicates(["doc_id"])
+    return docs.mapInArrow(work, "doc_id long, words binary")
+
+
+def likely_named(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """The rows whose doc_id is in ``named``, and some others, without a shuffle of their texts.
+
+    The ids of ``named`` set bits in a table of at most ``FILTER_WORDS`` rows, which is broadcast.
+    """
+    h = F.xxhash64("doc_id")
+    slot = F.pmod(h, F.lit(FILTER_WORDS)).cast("int").alias("__slot")
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id) div {FILTER_WORDS}, 64) AS int))").alias("__bit")
+    bits = named.select(slot, bit).groupBy("__slot").agg(F.bit_or("__bit").alias("__bits"))
+    likely = rows.select("*", slot, bit).join(F.broadcast(bits), "__slot").where("(__bits & __bit) <> 0")
+    return likely.select(*rows.columns)
 
 
 def first_holders(seeds: DataFrame) -> DataFrame:
@@ -456,39 +473,91 @@ def first_holders(seeds: DataFrame) -> DataFrame:
     return settle(owners.where("rep < most").select("h", "rep"), "first-holders")
 
 
-def seed_pairs(shared: DataFrame, nearest: int, furthest: int) -> DataFrame:
-    """(first, second, doc_id, apart): two seeds of a document, ``apart`` words from one to the other."""
-    stretch = F.expr(f"pos div {furthest}")
-    one = shared.select("doc_id", F.col("h").alias("first"), F.col("pos").alias("begin"), stretch.alias("stretch"))
-    other = shared.select(
-        "doc_id", F.col("h").alias("second"), "pos", F.explode(F.array(stretch, stretch - 1)).alias("stretch")
-    )
-    both = one.join(other, ["doc_id", "stretch"]).withColumn("apart", F.col("pos") - F.col("begin"))
-    return both.where(F.col("apart").between(nearest, furthest)).select("first", "second", "doc_id", "apart").distinct()
+def linked(apart: Column, other: Column) -> Column:
+    """Whether a chain may go from its first seed to one ``apart`` words on, ``other`` words in the other text, as its second.
+
+    Either both are of one run, or the first is a run of its own and pays for the gap and the shift.
+    """
+    cost = GAP_COST * (apart + other - 2 * K) + SHIFT_COST * F.abs(apart - other)
+    return (apart == other) & (apart <= WINDOW + K) | (cost <= K + 1e-6)
+
+
+def chain_starts(seeds: DataFrame, link: int, nearest: int, furthest: int) -> DataFrame:
+    """(key, doc_id, apart): seeds of a document that a chain may begin with, ``apart`` being the distance of the first two.
+
+    These are two seeds from ``nearest`` to ``link`` words apart, or one seed, a second up to ``link`` words on and a third
+    from ``nearest`` to ``furthest`` words on. The key takes in the hashes of all of them.
+    """
+    whole = seeds.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "h")).alias("seeds"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            text = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(lists.offsets)))
+            found = lists.flatten()
+            pos, h = np.asarray(found.field(0)).astype(np.int64), np.asarray(found.field(1))
+            order = np.lexsort((h, pos, text))
+            text, pos, h = text[order], pos[order], h[order].view(np.uint64)
+            begin = np.arange(len(pos))
+            names, parts = np.asarray(batch.column(0)), []
+
+            def later(at: np.ndarray, first: np.ndarray, furthest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+                """Numbers of rows, and of the seeds that stand after theirs and not too far from their first, step by step."""
+                rows, step = np.arange(len(at)), 0
+                while len(rows):
+                    step += 1
+                    rows = rows[at[rows] + step < len(pos)]
+                    to = at[rows] + step
+                    near = (text[to] == text[first[rows]]) & (pos[to] - pos[first[rows]] <= furthest)
+                    rows, to = rows[near], to[near]
+                    ahead = pos[to] > pos[at[rows]]
+                    yield rows[ahead], to[ahead]
+
+            for first, second in later(begin, begin, link):
+                apart = pos[second] - pos[first]
+                key = mixed(h[first] * np.uint64(0x9E3779B97F4A7C15) + h[second])
+                far = apart >= nearest
+                parts.append((mixed(key[far]), text[first[far]], apart[far]))
+                for rows, third in later(second, first, furthest):
+                    far = pos[third] - pos[first[rows]] >= nearest
+                    rows, third = rows[far], third[far]
+                    parts.append((mixed(key[rows] + h[third]), text[first[rows]], apart[rows]))
+            if parts:
+                key, text, apart = (np.concatenate(column) for column in zip(*parts))
+                order = np.lexsort((apart, key, text))
+                key, text, apart = key[order], text[order], apart[order]
+                new = np.ones(len(key), bool)
+                new[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1]) | (apart[1:] != apart[:-1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[new].view(np.int64)), pa.array(names[text[new]]), pa.array(apart[new].astype(np.int32))],
+                    names=["key", "doc_id", "apart"],
+                )
+        release()
+
+    return whole.mapInArrow(work, STARTS)
 
 
 def later_and_earlier(later: DataFrame, earlier: DataFrame, least: int) -> DataFrame:
     """(doc_id, rep): every document of ``later`` with each smaller one of ``earlier`` that a passage of chained seeds may join.
 
     A chain spans ``least`` words and has no gap beyond ``MAX_GAP``, so the first of its seeds that is ``least``
-    from its beginning is not much further away. The same two seeds stand between half and twice as far apart in
-    the other document, as what is shifted more is not alike. The documents of two common seeds are dealt into blocks,
-    each of which meets all of the earlier ones.
+    from its beginning is not much further away; in the other document it is at most twice as far. Either that seed is the
+    chain's second, or the second stands before it, and the first has to pay for the way to the second. The
+    documents that share such seeds are dealt into blocks, each of which meets all of the earlier ones.
     """
     near, far = least - K, least + MAX_GAP
-    later = settle(seed_pairs(later, near, far), "seed-pairs")
-    earlier = seed_pairs(earlier, max(1, near // 2), 2 * far)
+    # The furthest that one seed pays for, where both texts have the same gap.
+    link = int(K + K / (2 * GAP_COST))
+    later = settle(chain_starts(later, link, near, far), "chain-starts")
+    earlier = chain_starts(earlier, link, 1, 2 * far)
     blocks = F.ceil(F.count(F.lit(1)) / PER_BLOCK).cast("int")
-    held = settle(later.groupBy("first", "second").agg(blocks.alias("blocks"), F.max("doc_id").alias("most")), "seed-pairs-held")
-    earlier = settle(earlier.join(held, ["first", "second"]).where("doc_id < most"), "earlier")
-    later = later.join(held, ["first", "second"]).withColumn(
-        "block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    )
+    held = settle(later.groupBy("key").agg(blocks.alias("blocks"), F.max("doc_id").alias("most")), "chain-starts-held")
+    earlier = settle(earlier.join(held, "key").where("doc_id < most"), "earlier")
+    later = later.join(held, "key").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     earlier = earlier.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    later = later.select("first", "second", "block", "doc_id", "apart")
-    earlier = earlier.select("first", "second", "block", F.col("doc_id").alias("rep"), F.col("apart").alias("other"))
-    alike = (F.col("other") * 2 >= F.col("apart")) & (F.col("other") <= F.col("apart") * 2)
-    met = later.join(earlier, ["first", "second", "block"]).where((F.col("rep") < F.col("doc_id")) & alike)
+    later = later.select("key", "block", "doc_id", "apart")
+    earlier = earlier.select("key", "block", F.col("doc_id").alias("rep"), F.col("apart").alias("other"))
+    met = later.join(earlier, ["key", "block"]).where((F.col("rep") < F.col("doc_id")) & linked(F.col("apart"), F.col("other")))
     return settle(met.select("doc_id", "rep").distinct(), "later-and-earlier")
 
 
@@ -630,8 +699,8 @@ def _matched_passages(
     chains = settle(find_chains(pairs, least), "chains")
     if chains.isEmpty():
         return None
-    named = chains.select("doc_id").union(chains.select("rep")).distinct()
-    words = settle(word_hashes(rows.join(named, "doc_id", "left_semi").select("doc_id", "text")), "words")
+    named = chains.select("doc_id").union(chains.select("rep"))
+    words = settle(word_hashes(likely_named(rows.select("doc_id", "text"), named)), "words")
     return settle(align_chains(chains, words, min_words, similarity), "passages")
 
 

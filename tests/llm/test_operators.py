@@ -453,6 +453,45 @@ def test_passages_behind_many_documents_that_hold_most_of_them(spark):
     assert all(row[1:3] == held[row[0]] and row[4:] == held[row[3]] and row[3] < row[0] for row in found)
 
 
+def test_documents_meet_that_a_chain_may_join(spark):
+    """All that have a chain, by comparing every two, and none that share two seeds which no chain joins."""
+    rng = np.random.default_rng(8)
+    least = 22
+    held = {}
+    for doc in range(60):
+        pos = np.unique(rng.integers(0, 200, rng.integers(4, 24)))
+        held[doc] = (pos, rng.integers(0, 30, len(pos)))
+    held[100] = held[101] = (np.array([0, 40]), np.array([100, 101]))  # as far apart as a passage needs, but too far to chain
+    held[102] = held[103] = (np.array([0, 29]), np.array([102, 103]))  # just paid for
+    rows = [(int(h), doc, int(at)) for doc, (pos, hashes) in held.items() for at, h in zip(pos, hashes)]
+    seeds = spark.createDataFrame(rows, "h long, doc_id long, pos int")
+    met = {tuple(row) for row in passages.later_and_earlier(seeds, seeds, least).collect()}
+    chained = set()
+    for doc, (pos, hashes) in held.items():
+        for rep in (rep for rep in held if rep < doc):
+            other, keys = held[rep]
+            first = {h: other[keys == h][0] for h in hashes.tolist() if (keys == h).any()}
+            some = [at for at, h in enumerate(hashes.tolist()) if h in first]
+            if some:
+                begin, to, length = passages.merge_runs(pos[some], np.array([first[hashes[at]] for at in some]))
+                chains = passages.chain_runs(begin, to, length)
+                if any(begin[one[-1]] + length[one[-1]] - begin[one[0]] >= least for one in chains):
+                    chained.add((doc, rep))
+    assert len(chained) > 50 and chained <= met
+    assert (103, 102) in chained and (101, 100) not in met
+
+
+def test_texts_are_not_shuffled_for_their_words(spark):
+    texts = spark.range(200).selectExpr("id AS doc_id", "repeat('word ', 40) AS text")
+    named = spark.range(0, 400, 20).selectExpr("id AS doc_id")
+    some = passages.likely_named(texts, named.union(named))
+    found = [row.doc_id for row in some.collect()]
+    assert set(found) >= set(range(0, 200, 20)) and len(found) == len(set(found)) < 20
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert "Aggregate" not in passages.word_hashes(some)._jdf.queryExecution().optimizedPlan().toString().split("MapInArrow")[0]
+
+
 def test_chains_follow_both_orders():
     chains = passages.chain_runs(np.array([0, 20, 40, 10]), np.array([0, 22, 43, 500]), np.array([10, 10, 10, 10]))
     assert [0, 1, 2] in chains and [3] in chains
