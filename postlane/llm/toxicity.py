@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlane.llm.words import bounded_batches, text_chunks, word_codes
+from postlane.llm.words import bounded_batches, release, text_chunks, word_codes
 from postlane.shared import settle
 
 MAX_LABELLED = 40_000
@@ -216,24 +216,25 @@ def _run_vectors(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _kernel_to(triples: np.ndarray, weights: np.ndarray, dense: np.ndarray) -> np.ndarray:
     """Kernel of runs to landmarks, given as a dense row per triple of letters."""
     out = np.empty((len(triples), dense.shape[1]), np.float32)
-    for at in range(0, len(triples), 2000):
-        part = slice(at, at + 2000)
+    for at in range(0, len(triples), 500):
+        part = slice(at, at + 500)
         out[part] = np.einsum("nk,nkm->nm", weights[part].astype(np.float32), dense[triples[part]])
     return out
 
 
 def _machine(features: np.ndarray, sign: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
     """Linear support vector machine with squared hinge loss, by Newton steps."""
-    x = np.hstack([features, np.ones((len(features), 1), np.float32)]).astype(np.float64)
+    x = np.hstack([features, np.ones((len(features), 1), np.float32)]).astype(np.float64, copy=False)
     w = np.zeros(x.shape[1])
     ridge = np.full(x.shape[1], 1e-2)
     ridge[-1] = 1e-6
     for _ in range(30):
         margin = sign * (x @ w)
         active = margin < 1
-        part = x[active] * weight[active][:, None]
+        some = x[active]
+        part = some * weight[active][:, None]
         gradient = ridge * w - part.T @ (sign[active] * (1 - margin[active]))
-        step = np.linalg.solve(part.T @ x[active] + np.diag(ridge), gradient)
+        step = np.linalg.solve(part.T @ some + np.diag(ridge), gradient)
         w -= step
         if np.abs(step).max() < 1e-6:
             break
@@ -303,8 +304,11 @@ def train_weights(
         balance = np.concatenate(
             [importance[p_home[best]], np.full(len(n_triples), max(0.2, len(best) / len(n_triples)))]
         )
-        w, _ = _machine(x @ project, sign, balance)
-        weights = dense @ (project @ w)
+        x = x @ project
+        w, _ = _machine(x, sign, balance)
+        # In pieces, as the whole of ``dense`` in double precision takes more memory than all the rest.
+        direction = project @ w
+        weights = np.concatenate([dense[at : at + 4096] @ direction for at in range(0, size, 4096)])
     return weights.astype(np.float64)
 
 
@@ -417,6 +421,7 @@ def train(
         hard = scored.orderBy(F.desc("value"), "unit").limit(MINED).collect()
         negatives = list(dict.fromkeys([*negatives, *[row.unit for row in hard]]))
         weights = train_weights(positives, importance, negatives)
+    release()
     value = values_of(weights)
     counts = learnt.select((F.col("toxic") > 0).cast("int").alias("toxic"), F.round(value("text"), 2).alias("value"))
     rows = counts.groupBy("toxic", "value").count().orderBy("toxic", "value").collect()

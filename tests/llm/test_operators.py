@@ -311,6 +311,18 @@ def test_toxicity_kernel_against_plain_triples():
     assert np.allclose(got, [plain_value(unit, weights) for unit in units])
 
 
+def test_training_takes_little_of_the_driver():
+    """No table of all triples and landmarks in double precision, and no features in more copies than the machine needs."""
+    rng = np.random.default_rng(1)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), rng.integers(3, 12)))
+    positives, negatives = [word() for _ in range(300)], [word() for _ in range(2200)]
+    tracemalloc.start()
+    toxicity.train_weights(positives, rng.random(300) * 50, negatives)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 236e6
+
+
 def test_kernel_to_landmarks_against_plain_products():
     units = ["idiot", "idxiot", "harbour", "abcabcab"]
     triples, weights, home = toxicity._run_vectors(units)
