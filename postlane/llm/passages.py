@@ -50,6 +50,8 @@ SIMILARITY = 0.8
 MAX_GAP = 60
 GAP_COST, SHIFT_COST = 0.1, 0.5
 DROP = 8
+# Words beside a run that tell whether it goes on.
+BESIDE = 16
 _SEED = 0x5EED
 LONGER = (2, 4, 8)
 ROUNDS = 4
@@ -387,10 +389,62 @@ def equal_parts(x: np.ndarray, y: np.ndarray, begin: int, other: int, length: in
     return [(begin + a, other + a, b - a) for a, b in edges]
 
 
+def _words_of(chains: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, x) and (rep, y): the words of a document go only where it is needed, as the later one, the smaller one or both."""
+    mine = likely_named(words, chains.select("doc_id")).select("doc_id", F.col("words").alias("x"))
+    theirs = likely_named(words, chains.select(F.col("rep").alias("doc_id")))
+    return mine, theirs.select(F.col("doc_id").alias("rep"), F.col("words").alias("y"))
+
+
+def reach(run: int, left: np.ndarray, other_left: np.ndarray, right: np.ndarray, other_right: np.ndarray) -> int | None:
+    """Words of a run with its ends extended, given up to ``BESIDE`` words beside them; None where it may go on further."""
+    total = run
+    for x, y in ((left[::-1], other_left[::-1]), (right, other_right)):
+        if len(x) == len(y) == BESIDE:  # equal words behind them show whether the extension has ended before
+            equal = np.zeros(2 * DROP, x.dtype)
+            x, y = np.concatenate([x, equal]), np.concatenate([y, equal])
+        words = extension(x, y)
+        if words > BESIDE:
+            return None
+        total += words
+    return total
+
+
+def far_reaching(chains: DataFrame, words: DataFrame, min_words: int) -> DataFrame:
+    """The pairs of ``chains`` without those that have only runs too short for a passage, alone and with their ends extended.
+
+    The parts of such a run reach no further than it does. So pairs that share no more than a stock paragraph do
+    not take their whole texts along; only words beside the runs are compared for them.
+    """
+    mine, theirs = _words_of(chains, words)
+    short = F.forall("chains", lambda chain: (F.size(chain) == 1) & (F.get(chain, F.lit(0))["length"] < min_words))
+    runs = chains.where(short).select("doc_id", "rep", F.explode("chains").alias("chain"))
+    runs = runs.selectExpr("doc_id", "rep", "chain[0].begin AS begin", "chain[0].other AS other", "chain[0].length AS length")
+    beside = lambda text, at: (
+        f"substring({text}, 4 * greatest({at} - {BESIDE}, 0) + 1, 4 * least({at}, {BESIDE})) AS {text}_left",
+        f"substring({text}, 4 * ({at} + length) + 1, {4 * BESIDE}) AS {text}_right",
+    )
+    runs = runs.join(mine, "doc_id").selectExpr("doc_id", "rep", "other", "length", *beside("x", "begin"))
+    runs = runs.join(theirs, "rep").selectExpr("doc_id", "rep", "length", "x_left", "x_right", *beside("y", "other"))
+    runs = runs.select("doc_id", "rep", "length", "x_left", "y_left", "x_right", "y_right")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for at, (length, *sides) in enumerate(zip(*(column.to_pylist() for column in batch.columns[2:]))):
+                words = reach(length, *(np.frombuffer(side, "<u4") for side in sides))
+                if words is None or words >= min_words:
+                    kept.append(at)
+            yield batch.select(["doc_id", "rep"]).take(pa.array(kept, pa.int64()))
+        release()
+
+    far = settle(runs.mapInArrow(work, "doc_id long, rep long").distinct(), "far-reaching")
+    return settle(chains.where(~short).unionByName(chains.join(far, ["doc_id", "rep"], "left_semi")), "chains")
+
+
 def align_chains(chains: DataFrame, words: DataFrame, min_words: int, similarity: float) -> DataFrame:
     """Passages among the chains; ``words`` holds the word hashes of the documents they name."""
-    mine = words.select(F.col("doc_id"), F.col("words").alias("x"))
-    theirs = words.select(F.col("doc_id").alias("rep"), F.col("words").alias("y"))
+    mine, theirs = _words_of(chains, words)
     joined = chains.join(mine, "doc_id").join(theirs, "rep")
     joined = joined.select("doc_id", "rep", "chains", "x", "y")
 
@@ -451,14 +505,14 @@ def word_hashes(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(work, "doc_id long, words binary")
 
 
-def likely_named(rows: DataFrame, named: DataFrame) -> DataFrame:
-    """The rows whose doc_id is in ``named``, and some others, without a shuffle of their texts.
+def likely_named(rows: DataFrame, named: DataFrame, by: str = "doc_id") -> DataFrame:
+    """The rows whose ``by`` is in ``named``, and some others, without a shuffle of their texts.
 
-    The ids of ``named`` set bits in a table of at most ``FILTER_WORDS`` rows, which is broadcast.
+    The values of ``named`` set bits in a table of at most ``FILTER_WORDS`` rows, which is broadcast.
     """
-    h = F.xxhash64("doc_id")
+    h = F.xxhash64(by)
     slot = F.pmod(h, F.lit(FILTER_WORDS)).cast("int").alias("__slot")
-    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id) div {FILTER_WORDS}, 64) AS int))").alias("__bit")
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64({by}) div {FILTER_WORDS}, 64) AS int))").alias("__bit")
     bits = named.select(slot, bit).groupBy("__slot").agg(F.bit_or("__bit").alias("__bits"))
     likely = rows.select("*", slot, bit).join(F.broadcast(bits), "__slot").where("(__bits & __bit) <> 0")
     return likely.select(*rows.columns)
@@ -482,10 +536,10 @@ def linked(apart: Column, other: Column) -> Column:
     return (apart == other) & (apart <= WINDOW + K) | (cost <= K + 1e-6)
 
 
-def chain_starts(seeds: DataFrame, link: int, nearest: int, furthest: int) -> DataFrame:
+def chain_starts(seeds: DataFrame, link: int, nearest: int, furthest: int, close: int) -> DataFrame:
     """(key, doc_id, apart): seeds of a document that a chain may begin with, ``apart`` being the distance of the first two.
 
-    These are two seeds from ``nearest`` to ``link`` words apart, or one seed, a second up to ``link`` words on and a third
+    These are two seeds from ``nearest`` to ``link`` words apart, or one seed, a second up to ``close`` words on and a third
     from ``nearest`` to ``furthest`` words on. The key takes in the hashes of all of them.
     """
     whole = seeds.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "h")).alias("seeds"))
@@ -518,6 +572,7 @@ def chain_starts(seeds: DataFrame, link: int, nearest: int, furthest: int) -> Da
                 key = mixed(h[first] * np.uint64(0x9E3779B97F4A7C15) + h[second])
                 far = apart >= nearest
                 parts.append((mixed(key[far]), text[first[far]], apart[far]))
+                first, second, key, apart = (part[apart <= close] for part in (first, second, key, apart))
                 for rows, third in later(second, first, furthest):
                     far = pos[third] - pos[first[rows]] >= nearest
                     rows, third = rows[far], third[far]
@@ -548,8 +603,9 @@ def later_and_earlier(later: DataFrame, earlier: DataFrame, least: int) -> DataF
     near, far = least - K, least + MAX_GAP
     # The furthest that one seed pays for, where both texts have the same gap.
     link = int(K + K / (2 * GAP_COST))
-    later = settle(chain_starts(later, link, near, far), "chain-starts")
-    earlier = chain_starts(earlier, link, 1, 2 * far)
+    # Where the first two are as far apart as that, the two are a key, and no third one is needed.
+    later = settle(chain_starts(later, link, near, far, near - 1), "chain-starts")
+    earlier = chain_starts(earlier, link, 1, 2 * far, link)
     blocks = F.ceil(F.count(F.lit(1)) / PER_BLOCK).cast("int")
     held = settle(later.groupBy("key").agg(blocks.alias("blocks"), F.max("doc_id").alias("most")), "chain-starts-held")
     earlier = settle(earlier.join(held, "key").where("doc_id < most"), "earlier")
@@ -561,13 +617,16 @@ def later_and_earlier(later: DataFrame, earlier: DataFrame, least: int) -> DataF
     return settle(met.select("doc_id", "rep").distinct(), "later-and-earlier")
 
 
-def all_matches(later: DataFrame, seeds: DataFrame, least: int) -> DataFrame:
+def all_matches(later: DataFrame, seeds: DataFrame, least: int, short: DataFrame) -> DataFrame:
     """Matches (doc_id, rep, pos, nth, span, places, first_pos) of all documents that may have a passage in common.
 
-    ``later`` are the seeds to be matched, ``seeds`` those of all documents.
+    ``later`` are the seeds to be matched, ``seeds`` those of all documents. The documents (doc_id) of ``short`` have
+    fewer words than a passage and meet none.
     """
-    earlier = settle(seeds.join(later.select("h").distinct(), "h", "left_semi"), "earlier-seeds")
-    met = later_and_earlier(later, earlier, least)
+    later = settle(later.join(short, "doc_id", "left_anti"), "later-seeds")
+    # A plain join: a left semi join would be pushed below the filter, and all seeds be shuffled.
+    earlier = settle(likely_named(seeds, later.select("h"), by="h").join(later.select("h").distinct(), "h"), "earlier-seeds")
+    met = later_and_earlier(later, earlier.join(short, "doc_id", "left_anti"), least)
     held = places_of(earlier, ["doc_id", "h"]).withColumnRenamed("doc_id", "rep")
     return met.join(later.select("h", "doc_id", "pos", "nth", F.lit(0).alias("span")), "doc_id").join(held, ["rep", "h"])
 
@@ -586,19 +645,25 @@ def places_of(seeds: DataFrame, by: list[str]) -> DataFrame:
     return settle(heads.select(*by, filled.alias("places"), F.get("held", F.lit(0))["pos"].alias("first_pos")), "first-places")
 
 
-def unexplained(seeds: DataFrame, passages: DataFrame, sources: bool = True) -> DataFrame:
-    """The seeds that are not in or right beside a passage, nor, with ``sources``, the place where it stood first."""
-    spans = passages.select("doc_id", F.struct(F.col("start_word").alias("a"), F.col("end_word").alias("b")).alias("span"))
-    if sources:
-        spans = spans.unionByName(
-            passages.select(
-                F.col("source_doc_id").alias("doc_id"),
-                F.struct(F.col("source_start_word").alias("a"), F.col("source_end_word").alias("b")).alias("span"),
-            )
+def unexplained(seeds: DataFrame, passages: DataFrame) -> DataFrame:
+    """The seeds that are not in or right beside a passage; ``at_source`` tells which are where a passage stood first."""
+    spans = passages.selectExpr("doc_id", "struct(start_word AS a, end_word AS b, false AS source) AS span").unionByName(
+        passages.selectExpr(
+            "source_doc_id AS doc_id", "struct(source_start_word AS a, source_end_word AS b, true AS source) AS span"
         )
+    )
     spans = spans.distinct().groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
-    inside = F.exists("spans", lambda span: (F.col("pos") >= span["a"] - WINDOW) & (F.col("pos") <= span["b"] + WINDOW))
-    return seeds.join(spans, "doc_id", "left").where(~F.coalesce(inside, F.lit(False))).drop("spans")
+    inside = lambda span: (F.col("pos") >= span["a"] - WINDOW) & (F.col("pos") <= span["b"] + WINDOW)
+    own = F.exists("spans", lambda span: inside(span) & ~span["source"])
+    at_source = F.exists("spans", lambda span: inside(span) & span["source"])
+    left = seeds.join(spans, "doc_id", "left").where(~F.coalesce(own, F.lit(False)))
+    return left.withColumn("at_source", F.coalesce(at_source, F.lit(False))).drop("spans")
+
+
+def short_documents(rows: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id): documents of fewer than ``min_words`` words."""
+    enough = F.col("text").rlike(r"^(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){%d}" % max(1, min_words))
+    return rows.where(~F.coalesce(enough, F.lit(False))).select("doc_id")
 
 
 def text_hash(text: str) -> Column:
@@ -645,47 +710,59 @@ def _passage_rounds(rows: DataFrame, min_words: int, similarity: float, outer: S
     seeds = settle(find_seeds(rows), "seeds")
     # Of equal words, the outermost seeds stand less than a window from both ends.
     least = max(K + 1, min_words - 2 * (WINDOW + 2))
-    found, every = [], None
+    found, afterwards, every, later = [], [], None, None
     for number in range(ROUNDS + 1):
         with scratch() as scope:
-            dealt = seeds.select("h", F.col("h").alias("base"), "doc_id", "pos", "nth")
-            shared = settle(dealt.join(first_holders(dealt), "h"), "shared-seeds")
+            shared = seeds.join(first_holders(seeds), "h").select("h", F.col("h").alias("base"), "doc_id", "pos", "nth", "rep")
+            shared = settle(shared, "shared-seeds")
             if shared.isEmpty():
                 break
-            if every is None:
-                every = scope.keep(shared)
             if number:
                 keys = settle(longer_seeds(shared), "keys")
                 shared = settle(keys.join(first_holders(keys), "h"), "shared-keys")
             else:
+                every = scope.keep(shared)
                 shared = shared.selectExpr("*", "0 AS span", "rep AS low")
             places = places_of(shared.where("doc_id = rep"), ["h"])
             matches = shared.where("doc_id <> rep and (span = 0 or rep <> low)").join(places, "h")
             passages = _matched_passages(matches, rows, min_words, similarity, least)
-            rest = shared.where("span = 0 and doc_id <> rep" if number else "span = 0").select(F.col("base").alias("h"), "doc_id", "pos", "nth")
+            rest = shared.where("span = 0 and doc_id <> rep" if number else "span = 0")
+            rest = rest.select(F.col("base").alias("h"), "doc_id", "pos", "nth", "rep")
             if passages is not None:
                 found.append(outer.keep(scope.keep(passages)))
                 rest = unexplained(rest, passages)
-            left = scope.keep(settle(rest, "unexplained"))
+            else:
+                rest = rest.withColumn("at_source", F.lit(False))
+            if number:
+                afterwards += found[-1:] if passages is not None else []
+                left = scope.keep(settle(rest.where("not at_source").select("h", "doc_id", "pos", "nth"), "unexplained"))
+            else:  # what stands at a source is compared in the end, but not in the rounds
+                later = scope.keep(settle(rest.where("not at_source or doc_id <> rep"), "unexplained"))
+                left = later.where("not at_source").select("h", "doc_id", "pos", "nth")
         forget(seeds)
         seeds = left
     if every is None:
         return found
     with scratch() as scope:
-        later = every.where("doc_id <> rep")
-        if found:
-            later = unexplained(later, reduce(DataFrame.unionByName, found), sources=False)
-        matches = all_matches(settle(later, "unexplained"), every, least)
-        passages = _matched_passages(matches, rows, min_words, similarity, least)
+        later = later.where("doc_id <> rep").drop("at_source")
+        if afterwards:
+            later = unexplained(later, reduce(DataFrame.unionByName, afterwards))
+        later = later.select("h", "doc_id", "pos", "nth")
+        short = settle(short_documents(rows, min_words), "short-documents")
+        matches = all_matches(later, every, least, short)
+        passages = _matched_passages(matches, rows, min_words, similarity, least, crowded=True)
         if passages is not None:
             found.append(outer.keep(scope.keep(passages)))
     return found
 
 
 def _matched_passages(
-    matches: DataFrame, rows: DataFrame, min_words: int, similarity: float, least: int
+    matches: DataFrame, rows: DataFrame, min_words: int, similarity: float, least: int, crowded: bool = False
 ) -> DataFrame | None:
-    """The passages that matches make, settled; None where there is no chain at all."""
+    """The passages that matches make, settled; None where there is no chain at all.
+
+    In ``crowded`` ones many documents share short runs, which are looked at before whole texts are joined.
+    """
     # The n-th occurrence goes to the n-th one there, or else to the first.
     matches = matches.withColumn("rep_pos", F.coalesce(F.get("places", F.col("nth")), F.col("first_pos")))
     pairs = (
@@ -701,6 +778,8 @@ def _matched_passages(
         return None
     named = chains.select("doc_id").union(chains.select("rep"))
     words = settle(word_hashes(likely_named(rows.select("doc_id", "text"), named)), "words")
+    if crowded:
+        chains = far_reaching(chains, words, min_words)
     return settle(align_chains(chains, words, min_words, similarity), "passages")
 
 
