@@ -493,6 +493,53 @@ def test_documents_meet_that_a_chain_may_join(spark):
     assert (103, 102) in chained and (101, 100) not in met
 
 
+def test_documents_too_short_for_a_passage_meet_none(spark, monkeypatch):
+    own = lambda name, n: [f"{name}{i}" for i in range(n)]
+    met, plain = [], passages.later_and_earlier
+
+    def counted(*tables):
+        found = plain(*tables)
+        met.append(found.count())
+        return found
+
+    monkeypatch.setattr(passages, "later_and_earlier", counted)
+    texts = {i: own("w", 48) for i in range(20)}
+    texts[30], texts[31] = own("a", 9) + own("w", 48) + own("b", 9), own("c", 9) + own("w", 48) + own("b", 9)
+    table = spark.createDataFrame([(i, " ".join(text)) for i, text in texts.items()], "doc_id long, text string")
+    assert spans(table) == {(31, 9, 66, 30, 9, 66)}
+    assert met == [0]  # the two are found in a round before
+    short = passages.short_documents(spark.createDataFrame(
+        [(1, "a b"), (2, " a\tb\nc "), (3, None), (4, ""), (5, "a b c d"), (6, "abc de"), (7, "é\u00a0b c")], "doc_id long, text string"), 3)
+    assert {row.doc_id for row in short.collect()} == {1, 3, 4, 6, 7}
+
+
+def test_two_seeds_far_apart_are_one_key(spark):
+    seeds = spark.createDataFrame([(h, 1, pos) for h, pos in ((7, 0), (8, 20), (9, 40), (10, 45))], "h long, doc_id long, pos int")
+    found = passages.chain_starts(seeds, 30, 17, 82, 16).collect()
+    # 0 and 20, 20 and 40, 20 and 45; from 40 no seed is far enough.
+    assert sorted(row.apart for row in found) == [20, 20, 25]
+    assert len(passages.chain_starts(seeds, 30, 17, 82, 30).collect()) > len(found)
+
+
+def test_words_beside_a_run_tell_how_far_it_reaches():
+    rng = np.random.default_rng(4)
+    told = 0
+    for _ in range(400):
+        x, y = (rng.integers(0, rng.choice([2, 3, 20]), rng.integers(30, 90)).astype("<u4") for _ in range(2))
+        length = int(rng.integers(5, 25))
+        at, other = int(rng.integers(0, len(x) - length)), int(rng.integers(0, len(y) - length))
+        y[other : other + length] = x[at : at + length]
+        beside = passages.BESIDE
+        got = passages.reach(
+            length, x[max(0, at - beside) : at], y[max(0, other - beside) : other],
+            x[at + length :][:beside], y[other + length :][:beside],
+        )
+        start, end = passages.align_chain(x, y, [at], [other], [length])[:2]
+        assert got is None or got == end - start
+        told += got is not None
+    assert told > 200
+
+
 def test_texts_are_not_shuffled_for_their_words(spark):
     texts = spark.range(200).selectExpr("id AS doc_id", "repeat('word ', 40) AS text")
     named = spark.range(0, 400, 20).selectExpr("id AS doc_id")
