@@ -21,7 +21,8 @@ document that has seeds in common which a chain of a passage's span can begin wi
 and are as far apart as a passage needs, or two that chain and a third one as far away (``chain_starts``). One seed
 alone, however common, makes no two documents meet. The number of such documents is quadratic where these
 seeds are common and nothing explains them, e.g. in a stock paragraph too short for a passage; they are
-dealt over tasks in blocks.
+dealt over tasks in blocks. Documents of fewer words than a passage are left out there, and runs that reach too few words are
+told by the words beside them, before whole texts are joined.
 
 Words are what stands between ASCII white space, in lower case as far as ASCII goes. A null text has no words. Rows without an id, or
 whose id appears more than once with other texts, cannot be addressed: the former are not compared,
