@@ -35,7 +35,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlane.llm.words import bounded_batches, release, text_chunks, word_codes
@@ -51,6 +51,8 @@ LEAST_LETTERS = 3
 # Longer strings count as several, which overlap; so many letters are worked on at once.
 LONGEST, OVERLAP = 1000, 50
 LETTERS_AT_ONCE, UNITS_AT_ONCE = 300_000, 10_000
+# Runs of letters that training compares with landmarks at once, and whose kernel it holds at once.
+ROWS_AT_ONCE, RUNS_AT_ONCE = 100, 2000
 TYPICAL_SHARE = 0.05
 SPAN, GAP_COST, STARTS = 5, 0.65, 4
 LEAST_RATIO = 10.8  # chi-square at 0.001, one degree of freedom
@@ -216,35 +218,55 @@ def _run_vectors(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _kernel_to(triples: np.ndarray, weights: np.ndarray, dense: np.ndarray) -> np.ndarray:
     """Kernel of runs to landmarks, given as a dense row per triple of letters."""
     out = np.empty((len(triples), dense.shape[1]), np.float32)
-    for at in range(0, len(triples), 500):
-        part = slice(at, at + 500)
+    for at in range(0, len(triples), ROWS_AT_ONCE):
+        part = slice(at, at + ROWS_AT_ONCE)
         out[part] = np.einsum("nk,nkm->nm", weights[part].astype(np.float32), dense[triples[part]])
     return out
 
 
-def _machine(features: np.ndarray, sign: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
-    """Linear support vector machine with squared hinge loss, by Newton steps."""
-    x = np.hstack([features, np.ones((len(features), 1), np.float32)]).astype(np.float64, copy=False)
+def _features(triples: np.ndarray, weights: np.ndarray, dense: np.ndarray, project: np.ndarray) -> np.ndarray:
+    """Nystroem features of runs, and a column of ones; the kernel is held for some runs at once."""
+    x = np.ones((len(triples), project.shape[1] + 1))
+    # A short rest goes with the runs before it: products of few rows are rounded otherwise.
+    edges = [*range(0, max(1, len(triples) - RUNS_AT_ONCE + 1), RUNS_AT_ONCE), len(triples)]
+    for begin, end in itertools.pairwise(edges):
+        x[begin:end, :-1] = _kernel_to(triples[begin:end], weights[begin:end], dense) @ project
+    return x
+
+
+def _machine(x: np.ndarray, sign: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
+    """Linear support vector machine with squared hinge loss, by Newton steps. The last feature is one."""
     w = np.zeros(x.shape[1])
     ridge = np.full(x.shape[1], 1e-2)
     ridge[-1] = 1e-6
     for _ in range(30):
         margin = sign * (x @ w)
         active = margin < 1
-        some = x[active]
+        some = x if active.all() else x[active]
         part = some * weight[active][:, None]
         gradient = ridge * w - part.T @ (sign[active] * (1 - margin[active]))
-        step = np.linalg.solve(part.T @ some + np.diag(ridge), gradient)
+        bend = part.T @ some
+        del some, part
+        step = np.linalg.solve(bend + np.diag(ridge), gradient)
         w -= step
         if np.abs(step).max() < 1e-6:
             break
     return w[:-1], float(w[-1])
 
 
+def _rows_of(triples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The triples that occur, each a row of a table, and the row of every triple; others get one more row, of zeros."""
+    used = np.unique(triples)
+    row = np.full(LETTERS**3, len(used), np.int32)
+    row[used] = np.arange(len(used))
+    return used, row
+
+
 def _spread(triples: np.ndarray, weights: np.ndarray, most: int) -> np.ndarray:
     """Landmarks that differ: in the given order, runs unlike those taken before; then the rest."""
-    size = LETTERS**3
-    taken, later, total = [], [], np.zeros((size, most), np.float32)
+    used, row = _rows_of(triples)
+    triples = row[triples]
+    taken, later, total = [], [], np.zeros((len(used), most), np.float32)
     for at in range(len(triples)):
         if len(taken) == most:
             break
@@ -292,24 +314,43 @@ def train_weights(
         n_marks = np.union1d(hard, rng.permutation(len(n_triples))[: half // 2])
         triples = np.concatenate([p_triples[p_marks], n_triples[n_marks]])
         norms = np.concatenate([p_weights[p_marks], n_weights[n_marks]])
-        dense = np.zeros((size, len(triples)), np.float32)
+        used, row = _rows_of(triples)
+        dense = np.zeros((len(used) + 1, len(triples)), np.float32)
         for mark in range(len(triples)):
-            np.add.at(dense[:, mark], triples[mark], norms[mark])
-        between = _kernel_to(triples, norms, dense).astype(np.float64)
+            np.add.at(dense[:, mark], row[triples[mark]], norms[mark])
+        between = _kernel_to(row[triples], norms, dense).astype(np.float64)
         spectrum, vectors = np.linalg.eigh((between + between.T) / 2)
         real = spectrum > 1e-4
         project = vectors[:, real] / np.sqrt(spectrum[real])
-        x = np.vstack([_kernel_to(p_triples[best], p_weights[best], dense), _kernel_to(n_triples, n_weights, dense)])
+        x = _features(
+            np.concatenate([row[p_triples[best]], row[n_triples]]), np.concatenate([p_weights[best], n_weights]),
+            dense, project,
+        )
         sign = np.concatenate([np.ones(len(best)), -np.ones(len(n_triples))])
         balance = np.concatenate(
             [importance[p_home[best]], np.full(len(n_triples), max(0.2, len(best) / len(n_triples)))]
         )
-        x = x @ project
         w, _ = _machine(x, sign, balance)
-        # In pieces, as the whole of ``dense`` in double precision takes more memory than all the rest.
+        del x
+        # In pieces, as the rows of all triples in double precision take more memory than all the rest.
         direction = project @ w
-        weights = np.concatenate([dense[at : at + 4096] @ direction for at in range(0, size, 4096)])
-    return weights.astype(np.float64)
+        weights = np.concatenate([dense[row[at : at + 4096]] @ direction for at in range(0, size, 4096)])
+    return weights
+
+
+def trained_weights(
+    spark: SparkSession, positives: list[str], importance: np.ndarray, negatives: list[str]
+) -> np.ndarray:
+    """``train_weights`` in a task: its matrices would come on top of what the driver holds for the whole job."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            weights = train_weights(positives, importance, negatives).tobytes()
+            release()
+            yield pa.RecordBatch.from_pydict({"weights": [weights]})
+
+    [row] = spark.range(1, numPartitions=1).mapInArrow(work, "weights binary").collect()
+    return np.frombuffer(row.weights)
 
 
 def fit_curve(values: np.ndarray, toxic: np.ndarray, counts: np.ndarray) -> tuple[float, float]:
@@ -406,7 +447,7 @@ def train(
     negatives = [row.unit for row in clean.orderBy(F.xxhash64("unit"), "unit").limit(NEGATIVES).collect()]
     if not negatives:
         return nothing
-    weights = train_weights(positives, importance, negatives)
+    weights = trained_weights(docs.sparkSession, positives, importance, negatives)
     bad = learnt.where("toxic > 0").select("text")
     for _ in range(2):
         # What stands for each toxic text now, and the clean strings most like it.
@@ -420,7 +461,7 @@ def train(
         scored = clean.select("unit").mapInPandas(_scorer(weights), "unit string, value double")
         hard = scored.orderBy(F.desc("value"), "unit").limit(MINED).collect()
         negatives = list(dict.fromkeys([*negatives, *[row.unit for row in hard]]))
-        weights = train_weights(positives, importance, negatives)
+        weights = trained_weights(docs.sparkSession, positives, importance, negatives)
     release()
     value = values_of(weights)
     counts = learnt.select((F.col("toxic") > 0).cast("int").alias("toxic"), F.round(value("text"), 2).alias("value"))

@@ -323,6 +323,64 @@ def test_training_takes_little_of_the_driver():
     assert most < 236e6
 
 
+def test_training_holds_features_once_and_rows_of_landmarks_only():
+    rng = np.random.default_rng(1)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), rng.integers(3, 12)))
+    positives, negatives = [word() for _ in range(300)], [word() for _ in range(2200)]
+    runs = sum(max(1, len(unit) - 1) for unit in negatives) + 2 * len(positives)
+    tracemalloc.start()
+    toxicity.train_weights(positives, rng.random(300) * 50, negatives)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 3.7 * runs * 8 * (toxicity.LANDMARKS + 1)
+
+
+def test_features_do_not_depend_on_what_is_held_at_once(monkeypatch):
+    rng = np.random.default_rng(1)
+    units = ["".join(rng.choice(list("abcdefgh"), 9)) for _ in range(40)]
+    triples, weights, _ = toxicity._run_vectors(units)
+    used, row = toxicity._rows_of(triples[:30])
+    assert (row[used] == np.arange(len(used))).all() and (np.delete(row, used) == len(used)).all()
+    dense = rng.normal(size=(len(used) + 1, 30)).astype(np.float32)
+    dense[-1] = 0
+    project = rng.normal(size=(30, 20))
+    whole = np.zeros((toxicity.LETTERS**3, 30), np.float32)
+    whole[used] = dense[:-1]
+    plain = toxicity._kernel_to(triples, weights, whole) @ project
+    for held in (16, len(triples), 2 * len(triples)):
+        monkeypatch.setattr(toxicity, "RUNS_AT_ONCE", held)
+        got = toxicity._features(row[triples], weights, dense, project)
+        assert np.allclose(got[:, :-1], plain, rtol=0, atol=1e-12) and (got[:, -1] == 1).all()
+
+
+def test_the_driver_does_not_train(spark, monkeypatch):
+    class Called(Exception):
+        pass
+
+    def here(*given):
+        raise Called
+
+    positives, negatives = ["idiot", "moron", "idiots"], ["harbour", "window", "meadow", "garden"]
+    importance = np.array([3.0, 2.0, 1.0])
+    expected = toxicity.train_weights(positives, importance, negatives)
+    got = toxicity.trained_weights(spark, positives, importance, negatives)
+    assert np.allclose(got, expected, rtol=0, atol=1e-9)
+    docs = spark.createDataFrame(
+        [(at, f"you are an idiot {at}" if at % 3 == 0 else f"the harbour lies calm {at}") for at in range(300)],
+        "doc_id long, text string",
+    )
+    known = spark.createDataFrame([(at, int(at % 3 == 0)) for at in range(300)], "doc_id long, toxic int")
+    trained = []
+
+    def instead(session, *given):
+        trained.append(given)
+        return expected
+
+    monkeypatch.setattr(toxicity, "train_weights", here)
+    monkeypatch.setattr(toxicity, "trained_weights", instead)
+    assert toxicity.train(docs, known).weights is not None and len(trained) == 3
+
+
 def test_kernel_to_landmarks_against_plain_products():
     units = ["idiot", "idxiot", "harbour", "abcabcab"]
     triples, weights, home = toxicity._run_vectors(units)
